@@ -269,6 +269,12 @@ SQL_NORMALIZE_SYMBOL = """SELECT event_id AS trade_id, upper(event_type) || 'USD
 
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """name -> (Spark callable, DuckDB oracle text or None)."""
+    from tickflow.plans.registry_reports import report_registry
+
+    return {**_core_registry(), **report_registry()}
+
+
+def _core_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
         "decode_trades": (q_decode_trades, SQL_DECODE_TRADES),
         "decode_malformed": (q_decode_malformed, SQL_DECODE_MALFORMED),
