@@ -33,7 +33,7 @@ def enrich(
     threshold: float = ANOMALY_THRESHOLD,
     price_digits: int = 4,
     pct_digits: int = 6,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Window stats joined to the dimension, with range pct and status.
 
@@ -41,8 +41,10 @@ def enrich(
     computed from the unrounded prices and rounded to ``pct_digits``; the
     status compares that rounded pct; only then are prices and volume rounded
     to ``price_digits``.  Symbols missing from the dimension are dropped.
+    ``broadcast_max_rows=None`` takes ``meta`` as already prepared by
+    ``dimension_side`` (streams decide once, not per micro-batch).
     """
-    side = dimension_side(meta, broadcast_max_rows)
+    side = meta if broadcast_max_rows is None else dimension_side(meta, broadcast_max_rows)
     joined = stats.join(side, on="symbol", how="inner")
     out = joined.withColumn("price_range_pct", price_range_pct(digits=pct_digits)).withColumn(
         "status", label_status(threshold=threshold)

@@ -270,8 +270,9 @@ SQL_NORMALIZE_SYMBOL = """SELECT event_id AS trade_id, upper(event_type) || 'USD
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """name -> (Spark callable, DuckDB oracle text or None)."""
     from tickflow.plans.registry_reports import report_registry
+    from tickflow.plans.registry_streams import stream_registry
 
-    return {**_core_registry(), **report_registry()}
+    return {**_core_registry(), **report_registry(), **stream_registry()}
 
 
 def _core_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
