@@ -83,3 +83,23 @@ def test_scan_moving_avg_first_per_window(spark):
         ("2024-01-01 00:00:00_2024-01-01 00:02:00", 1.0),
         ("2024-01-01 00:00:30_2024-01-01 00:02:30", 2.0),
     ]
+
+
+def test_two_writers_same_batch_id_do_not_clobber(spark):
+    path = scratch_path(spark, "kv")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]).drop(SEQ_COL), path, 0, "windowed")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "2.0", "price:status": "NORMAL"}, 0)]).drop(SEQ_COL), path, 0, "enriched")
+    # retry of the first writer's batch 0 rewrites only its own puts (and is now the newest)
+    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]).drop(SEQ_COL), path, 0, "windowed")
+    cells = read_kv(spark, path).first().cells
+    assert cells == {"price:avg": "1.0", "volume:total": "5.0", "price:status": "NORMAL"}
+
+
+def test_read_metadata_csv(spark):
+    from tickflow.sources.files import metadata_frame, read_metadata, write_metadata
+
+    path = scratch_path(spark, "meta") + "/coins"
+    write_metadata(metadata_frame(spark), path)
+    meta = read_metadata(spark, path)
+    rows = {r.symbol: r for r in meta.collect()}
+    assert len(rows) == 5 and rows["BTCUSD"].launched_year == 2009 and rows["ETHUSD"].country_of_origin == "Canada"

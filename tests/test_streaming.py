@@ -100,3 +100,38 @@ def test_kafka_reader_needs_connector(spark):
     # The connector jar is not on this machine: building works, loading fails cleanly.
     with pytest.raises(Exception):
         read_kafka_trades(spark, "localhost:9092", "crypto-trades")
+
+
+def test_all_jobs_end_to_end(spark):
+    """Three tick queries and the enriched query on one replayed stream; the
+    windowed and enriched queries share one key-value table."""
+    from tickflow.operators.kv import read_kv
+    from tickflow.plans.registry import dimension_fixture
+    from tickflow.streaming.jobs import start_enriched_job, start_tick_jobs
+
+    trades, root = replay_events(spark, SF_SMALL, 3, ["symbol", "price", "quantity", "event_time"])
+    qs = start_tick_jobs(trades, f"{root}/out", f"{root}/ckpt", trigger=AVAILABLE_NOW)
+    qs.append(start_enriched_job(trades, dimension_fixture(spark), f"{root}/out", f"{root}/ckpt",
+                                 trigger=AVAILABLE_NOW))
+    run_until_done(*qs)
+    assert sorted(q.name for q in qs) == ["anomalies_writer", "enriched_writer", "moving_avg_writer",
+                                          "windowed_writer"]
+    kv = read_kv(spark, f"{root}/out/kv_windowed")
+    cells = {r.row_key.split("_")[0]: set(r.cells) for r in kv.collect()}
+    assert cells["error"] == {"price:avg", "price:min", "price:max", "volume:total"}  # not in the dimension
+    assert {"price:status", "price:full_name", "volume:total", "price:avg"} <= cells["click"]
+    stored = latest_by_key(spark, f"{root}/out/windowed", ["symbol", "window_start"])
+    from tickflow.plans.registry import trades as batch_trades
+
+    batch = window_stats(batch_trades(spark, SF_SMALL), "30 seconds")
+    assert stored.count() == batch.count()
+    assert latest_by_key(spark, f"{root}/out/anomalies", ["symbol", "window_start"]).count() > 0
+    assert read_kv(spark, f"{root}/out/kv_moving_avg").count() > 0
+
+
+def test_processing_time_puts_a_batch_in_one_window(spark):
+    from tickflow.plans.registry import trades as batch_trades
+
+    t = with_trade_time(batch_trades(spark, SF_SMALL).drop("timestamp"), "processing", as_ntz=True)
+    out = window_stats(t, "30 seconds")
+    assert out.select("window_start").distinct().count() == 1

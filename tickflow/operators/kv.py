@@ -1,11 +1,13 @@
 """Key-value (wide-column) view of the results, kept as parquet.
 
-A put is a row ``(row_key, cells map<"family:qualifier", string>, seq)``.  Puts
-are appended per micro-batch (``seq`` = batch id) through the keyed store, so
-a retried batch is idempotent.  Reading merges cell by cell: every cell keeps
-the value of its latest put, and cells a later put did not touch survive --
-the semantics of a wide-column store.  Files are sorted by ``row_key`` so the
-parquet statistics prune a prefix scan.
+A put is a row ``(row_key, cells map<"family:qualifier", string>)``.  Several
+streaming queries may put into one table (the windowed and the enriched jobs
+share theirs), so puts land in partition ``writer=W/batch_id=N``: a retried
+batch rewrites only its own partition (idempotent) and never another query's.
+Each put carries ``version`` = write time in microseconds, like a wide-column
+store's cell timestamp.  Reading merges cell by cell: every cell keeps the
+value of its newest put, and cells a later put did not touch survive.  Files
+are sorted by ``row_key`` so the parquet statistics prune a prefix scan.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.keys import key_time, row_key
-from tickflow.operators.store import BATCH_COL, read_log, upsert
+from tickflow.operators.store import BATCH_COL
 from tickflow.schema import (
     KV_ANOMALY_CELLS,
     KV_ENRICHED_CELLS,
@@ -26,6 +28,8 @@ from tickflow.schema import (
 )
 
 SEQ_COL = BATCH_COL
+VERSION_COL = "version"
+WRITER_COL = "writer"
 KV_SCHEMA = T.StructType(
     [
         T.StructField("row_key", T.StringType(), True),
@@ -77,30 +81,40 @@ def to_kv_enriched(df: DataFrame) -> DataFrame:
     return to_kv(df, [F.col("symbol"), key_time("window_start")], KV_ENRICHED_CELLS, None)
 
 
-def put_kv(kv: DataFrame, path: str, seq: int) -> None:
-    """Append one batch of puts (idempotent per ``seq``), sorted by row key."""
-    upsert(kv, path, seq, sort_by=["row_key"])
+def put_kv(kv: DataFrame, path: str, seq: int, writer: str = "put") -> None:
+    """Write one batch of puts from ``writer`` (idempotent per writer and ``seq``)."""
+    out = (
+        kv.withColumn(VERSION_COL, F.unix_micros(F.current_timestamp()))
+        .withColumn(WRITER_COL, F.lit(writer))
+        .withColumn(SEQ_COL, F.lit(int(seq)).cast("long"))
+        .sortWithinPartitions("row_key")
+    )
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(WRITER_COL, SEQ_COL)
+        .parquet(f"{path}/log")
+    )
 
 
-def merge_cells(puts: DataFrame) -> DataFrame:
-    """Cell-level last-write-wins over ``(row_key, cells, seq)`` puts.
+def merge_cells(puts: DataFrame, order: Sequence[str] = (SEQ_COL,)) -> DataFrame:
+    """Cell-level last-write-wins over puts ordered by the ``order`` columns.
 
-    Two hash aggregates: latest value per (row_key, cell), then the cells of a
+    Two hash aggregates: newest value per (row_key, cell), then the cells of a
     row back into a map (bounded by the number of distinct cell names).
     """
-    exploded = puts.select("row_key", SEQ_COL, F.explode("cells").alias("cell", "value"))
-    latest = exploded.groupBy("row_key", "cell").agg(
-        F.max_by("value", F.when(F.col("value").isNotNull(), F.col(SEQ_COL))).alias("value")
-    )
+    exploded = puts.select("row_key", *order, F.explode("cells").alias("cell", "value"))
+    newest = F.when(F.col("value").isNotNull(), F.struct(*[F.col(c) for c in order]))
+    latest = exploded.groupBy("row_key", "cell").agg(F.max_by("value", newest).alias("value"))
     return latest.groupBy("row_key").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "value")))).alias("cells")
     )
 
 
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
-    """The merged key-value table at ``path``."""
-    log = read_log(spark, path, KV_SCHEMA)
-    return merge_cells(log)
+    """The merged key-value table at ``path`` (newest put per cell wins)."""
+    log = spark.read.parquet(f"{path}/log")
+    return merge_cells(log, order=(VERSION_COL, WRITER_COL, SEQ_COL))
 
 
 def scan_prefix(kv: DataFrame, prefix: str, limit: int | None = 20, exact: bool = False) -> DataFrame:

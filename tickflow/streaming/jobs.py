@@ -120,9 +120,9 @@ def store_writer(path: str, columns: Sequence[str] | None = None) -> Writer:
     return write
 
 
-def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame]) -> Writer:
+def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame], writer: str = "put") -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
-        put_kv(to_kv(as_stored(batch, stamp_now=False)), path, batch_id)
+        put_kv(to_kv(as_stored(batch, stamp_now=False)), path, batch_id, writer)
 
     return write
 
@@ -147,7 +147,7 @@ def enriched_writer(meta: DataFrame, store_path: str | None = None, kv_path: str
             if store_path:
                 upsert(enriched, store_path, batch_id)
             if kv_path:
-                put_kv(to_kv_enriched(enriched), kv_path, batch_id)
+                put_kv(to_kv_enriched(enriched), kv_path, batch_id, writer="enriched")
         finally:
             enriched.unpersist()
 
@@ -179,7 +179,7 @@ def start_tick_jobs(
     for name, df, to_kv in specs:
         writers = []
         if kv:
-            writers.append(kv_writer(f"{root}/kv_{name}", to_kv))
+            writers.append(kv_writer(f"{root}/kv_{name}", to_kv, writer=name))
         if stores:
             writers.append(store_writer(f"{root}/{name}"))
         queries.append(start_query(df, f"{name}_writer", fan_out(*writers), f"{checkpoint_root}/{name}", trigger=trigger))
