@@ -65,3 +65,13 @@ def test_trade_time_modes(spark):
     assert dict(ltz.dtypes)["timestamp"] == "timestamp"
     proc = with_trade_time(df, "processing")
     assert dict(proc.dtypes)["timestamp"] == "timestamp"
+
+
+def test_scale_conf_bounds():
+    from tickflow.session import MB, scale_conf
+
+    big = scale_conf(100 * (1 << 40), 4000)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1024 * MB
+    assert big["spark.sql.shuffle.partitions"] == "12000"
+    small = scale_conf(10 * MB, 8)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * MB

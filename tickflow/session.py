@@ -74,3 +74,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int, state_partitions: int | None = None) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of parquet/Kafka input.
+
+    * Scan splits: at least three waves of tasks over all cores, each split
+      between 128 MB and 1 GB (100 TB on 4,000 cores -> 1 GB splits, ~100k
+      tasks rather than ~800k at the 128 MB default).
+    * Shuffle partitions: an upper bound of 3 per core; AQE coalesces them to
+      ~128 MB each.  The window aggregates shuffle partial aggregates only, so
+      post-shuffle data is small; the bound matters for the keyed-store reads.
+    * Streaming state: the number of state partitions is frozen in the
+      checkpoint at the first start, so it is set explicitly.
+    """
+    split = input_bytes // max(1, 3 * total_cores)
+    split = min(max(split, 128 * MB), 1024 * MB)
+    shuffle = max(8, 3 * total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.openCostInBytes": str(8 * MB),
+        "spark.sql.shuffle.partitions": str(state_partitions or shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+    }

@@ -18,13 +18,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.time import ntz_from_ltz
-from tickflow.operators.enrich import dimension_side, enrich_batch
+from tickflow.operators.enrich import dimension_side, enrich
 from tickflow.operators.kv import put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
 from tickflow.operators.store import upsert, upsert_dbapi
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 
 Writer = Callable[[DataFrame, int], None]
 
+# AQE is off in streaming, so a micro-batch result has one partition per
+# shuffle partition; without resizing, every batch would write that many tiny
+# files.  Writers coalesce to about this many rows per file.
+ROWS_PER_FILE = 2_000_000
+
+
+def sized(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Coalesce a (persisted) micro-batch result to ~``rows_per_file`` per file."""
+    n = df.count()
+    files = max(1, -(-n // rows_per_file))
+    return df.coalesce(files) if files < df.rdd.getNumPartitions() else df
+
 
 def start_query(
     df: DataFrame,
@@ -114,7 +126,7 @@ def as_stored(batch: DataFrame, stamp_now: bool = True) -> DataFrame:
 
 def store_writer(path: str, columns: Sequence[str] | None = None) -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = as_stored(batch)
+        out = sized(as_stored(batch))
         upsert(out.select(*columns) if columns else out, path, batch_id)
 
     return write
@@ -122,7 +134,7 @@ def store_writer(path: str, columns: Sequence[str] | None = None) -> Writer:
 
 def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame], writer: str = "put") -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
-        put_kv(to_kv(as_stored(batch, stamp_now=False)), path, batch_id, writer)
+        put_kv(sized(to_kv(as_stored(batch, stamp_now=False))), path, batch_id, writer)
 
     return write
 
@@ -142,7 +154,7 @@ def enriched_writer(meta: DataFrame, store_path: str | None = None, kv_path: str
     side = dimension_side(meta)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich_batch(as_stored(batch, stamp_now=False), side, broadcast_max_rows=None).persist()
+        enriched = sized(enrich(as_stored(batch, stamp_now=False), side, broadcast_max_rows=None)).persist()
         try:
             if store_path:
                 upsert(enriched, store_path, batch_id)
