@@ -124,13 +124,18 @@ def series(
     end: TimeLike,
     symbols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``(time, metric, value)`` rows in the range, ordered."""
+    """``(time, metric, value)`` rows in the range, ordered.
+
+    Rows written by one micro-batch share ``updated_at``; ``window_start`` is a
+    hidden last sort key so the range partitioner can split such ties instead
+    of sending a whole backfill of one symbol to one task.
+    """
     rows = for_symbols(in_range(df, "updated_at", start, end), symbols)
-    return rows.select(
+    return rows.orderBy("updated_at", "symbol", "window_start").select(
         F.col("updated_at").alias("time"),
         F.col("symbol").alias("metric"),
         F.col(value_col).alias("value"),
-    ).orderBy("time", "metric")
+    )
 
 
 def price_band(windowed: DataFrame, start: TimeLike, end: TimeLike, symbols: Sequence[str] | None = None) -> DataFrame:
@@ -139,6 +144,7 @@ def price_band(windowed: DataFrame, start: TimeLike, end: TimeLike, symbols: Seq
     long = rows.select(
         F.col("updated_at").alias("time"),
         "symbol",
+        "window_start",
         F.explode(
             F.array(
                 F.struct(F.lit(" min").alias("suffix"), F.col("min_price").alias("value")),
@@ -146,9 +152,13 @@ def price_band(windowed: DataFrame, start: TimeLike, end: TimeLike, symbols: Seq
             )
         ).alias("_p"),
     )
-    return long.select(
-        "time", F.concat(F.col("symbol"), F.col("_p.suffix")).alias("metric"), F.col("_p.value").alias("value")
-    ).orderBy("time", "metric")
+    out = long.select(
+        "time",
+        F.concat(F.col("symbol"), F.col("_p.suffix")).alias("metric"),
+        F.col("_p.value").alias("value"),
+        "window_start",
+    )
+    return out.orderBy("time", "metric", "window_start").drop("window_start")
 
 
 def anomaly_counts_by_minute(
