@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from tickflow.operators.store import latest_by_key  # noqa: E402
-from tickflow.operators.windows import window_stats  # noqa: E402
+from tickflow.operators.windows import moving_average, window_stats  # noqa: E402
 from tickflow.plans import registry as B  # noqa: E402
 from tickflow.operators.store import upsert  # noqa: E402
 from tickflow.plans import registry_reports as RR  # noqa: E402
@@ -37,6 +37,10 @@ def lineitem_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_stats(lineitem_as_ticks(load_table(spark, sf_dir, "lineitem")), "30 days")
 
 
+def lineitem_moving_average_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moving_average(lineitem_as_ticks(load_table(spark, sf_dir, "lineitem")), "30 days", "1 day")
+
+
 def stream_1h_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades, root = replay_events(spark, sf_dir, 5, ["symbol", "price", "quantity", "event_time"])
     q = start_query(
@@ -94,6 +98,7 @@ WORKLOADS = {
     "enriched_stats_1h": B.q_enriched_stats_1h,
     "stream_window_stats_1h_upsert": stream_1h_upsert,
     "lineitem_window_stats_30d": lineitem_30d,
+    "lineitem_moving_average_30d_1d": lineitem_moving_average_30d,
     "kv_merge_cells": KV_SPARK["kv_merge_cells"],
     "reports_17": all_reports,
 }

@@ -109,3 +109,13 @@ def test_enrich_rounds_after_pct(spark):
     r = enrich(stats, meta).first()
     assert r.min_price == 1.0 and r.max_price == 1.0001
     assert r.price_range_pct == round((1.00006 - 1.00004) / 1.00005 * 100, 6)
+
+
+def test_panes_long_offsets(spark):
+    # 1 hour by 1 minute: pane offsets reach 59 * 60e6 us (past 32-bit range).
+    df = _ticks(spark, [("A", float(i), 1.0, i * 97) for i in range(100)])
+    a = moving_average(df, "1 hour", "1 minute", method="panes")
+    b = moving_average(df, "1 hour", "1 minute", method="window")
+    assert sorted((r.window_start, round(r.moving_avg_price, 9)) for r in a.collect()) == sorted(
+        (r.window_start, round(r.moving_avg_price, 9)) for r in b.collect()
+    )

@@ -129,8 +129,10 @@ def moving_average(
         pane_aggs.append(F.max(time_col).alias("_last"))
     panes = df.groupBy(F.col("symbol"), F.window(time_col, slide).start.alias("_pane")).agg(*pane_aggs)
     # A pane starting at p lies in the windows starting at p, p - slide, ...
-    spread = panes.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
-        "window_start", F.timestamp_add("MICROSECOND", F.col("_i") * F.lit(-slide_us), F.col("_pane"))
+    offsets = F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
+    spread = panes.withColumn("_i", F.explode(offsets)).withColumn(
+        "window_start",
+        F.timestamp_add("MICROSECOND", F.col("_i") * F.lit(-slide_us).cast("long"), F.col("_pane")),
     )
     win_aggs = [F.sum("_psum").alias("_psum"), F.sum("_pcnt").alias("_pcnt"), F.sum("_qsum").alias("total_volume")]
     if stamp:
