@@ -231,6 +231,7 @@ KV_SPARK = {
     "kv_merge_cells": lambda s, d: explode_cells(kv_windowed_merged(s, d)),
     "kv_scan_windowed": lambda s, d: R.scan_windowed(kv_windowed_merged(s, d), "error"),
     "kpi_scan": lambda s, d: R.kpi_scan(kv_windowed_merged(s, d), "click"),
+    "kpi_latest": lambda s, d: R.kpi_latest(kv_windowed_merged(s, d), "click"),
     "scan_prices": lambda s, d: R.scan_prices(kv_windowed_merged(s, d), "view"),
     "scan_moving_avg": lambda s, d: R.scan_moving_avg(kv_moving_avg(s, d), "purchase"),
     "scan_anomaly_count": lambda s, d: R.scan_anomaly_count(kv_anomalies(s, d), "signup"),
@@ -297,6 +298,9 @@ FROM {_scan('error')}""",
     "kpi_scan": f"""WITH {KV_CTES}
 SELECT replace(row_key, 'click_', '') AS window, avg_price, min_price, max_price, total_volume
 FROM {_scan('click')} ORDER BY row_key DESC LIMIT 1""",
+    "kpi_latest": f"""WITH {KV_CTES}
+SELECT replace(row_key, 'click_', '') AS window, avg_price, min_price, max_price, total_volume
+FROM prices WHERE starts_with(row_key, 'click_') ORDER BY row_key DESC LIMIT 1""",
     "scan_prices": f"""WITH {KV_CTES}
 SELECT replace(row_key, 'view_', '') AS window, avg_price, min_price, max_price FROM {_scan('view')}""",
     "scan_moving_avg": f"""WITH {TRADES_CTE},

@@ -257,6 +257,19 @@ def kpi_scan(kv: DataFrame, symbol: str, limit: int = 20, exact: bool = False) -
     )
 
 
+def kpi_latest(kv: DataFrame, symbol: str) -> DataFrame:
+    """R17, corrected: the newest window of ``symbol`` in the key-value table.
+
+    Exact prefix (``symbol_``), no scan limit; one partial ``max_by`` per task,
+    so the whole key range never meets in one task.
+    """
+    rows = decode_kv_windowed(scan_prefix(kv, symbol, limit=None, exact=True), symbol)
+    cols = ["window", "avg_price", "min_price", "max_price", "total_volume"]
+    return rows.agg(F.max_by(F.struct(*cols), F.col("row_key")).alias("_r")).select("_r.*").where(
+        F.col("window").isNotNull()
+    )
+
+
 def scan_anomaly_count(kv: DataFrame, symbol: str, limit: int = 20, exact: bool = False) -> DataFrame:
     """Rows of the anomaly scan whose flag text is ``True``."""
     rows = decode_kv_anomalies(scan_prefix(kv, symbol, limit, exact), symbol)
