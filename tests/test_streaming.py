@@ -135,3 +135,25 @@ def test_processing_time_puts_a_batch_in_one_window(spark):
     t = with_trade_time(batch_trades(spark, SF_SMALL).drop("timestamp"), "processing", as_ntz=True)
     out = window_stats(t, "30 seconds")
     assert out.select("window_start").distinct().count() == 1
+
+
+def test_run_streams_returns_when_one_ends(spark):
+    from tickflow.streaming.jobs import run_streams
+
+    spark.streams.resetTerminated()  # an earlier test left a failed query behind
+    stream, path = _stage(spark, [(0, "A", 1.0, 1_700_000_000_000)], 1)
+    q = start_query(window_stats(stream, "30 seconds"), "any_end", lambda b, i: None, f"{path}/ckpt",
+                    trigger=AVAILABLE_NOW)
+    assert run_streams(spark, timeout=120) is True
+    q.awaitTermination()
+    spark.streams.resetTerminated()
+
+
+def test_console_default_checkpoint_is_shared_folder(spark):
+    stream, path = _stage(spark, [(0, "A", 1.0, 1_700_000_000_000)], 1)
+    q = start_console(window_stats(stream, "30 seconds"), "console_default", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    from tickflow.session import work_dir
+
+    assert q.lastProgress is not None
+    assert work_dir(spark)  # checkpoint went under the shared folder, not a driver temp dir

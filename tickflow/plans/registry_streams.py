@@ -104,7 +104,26 @@ def stream_registry() -> dict:
         # Symbol "error" is outside the dimension, so the batch twin's merged
         # table holds only the windowed puts for it: the same oracle text.
         "stream_kv_scan_windowed": (q_stream_kv_scan_windowed, KV_SQL["kv_scan_windowed"]),
+        "stream_decoded_window_stats_1h": (q_stream_decoded_window_stats_1h, B.sql_window_stats("1 hour")),
     }
 
 
 __all__ = ["read_kv", "stream_registry"]
+
+
+def q_stream_decoded_window_stats_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hops: replayed messages -> decoded parquet table -> hourly stats."""
+    from tickflow.streaming.jobs import read_decoded_stream, start_decode_job
+    from tickflow.streaming.replay import stage_events
+
+    raw, root = stage_events(spark, sf_dir, N_FILES)
+    dec = start_decode_job(raw, f"{root}/decoded", f"{root}/checkpoint/decode", fields=FIELDS,
+                           time_from="event_time", trigger=AVAILABLE_NOW)
+    run_until_done(dec)
+    trades = read_decoded_stream(spark, f"{root}/decoded", FIELDS)
+    q = start_query(window_stats(trades, "1 hour", watermark="1 minute"), "decoded_window_stats",
+                    store_writer(f"{root}/windowed"), f"{root}/checkpoint/windowed", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
+    cols = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]
+    return _round(out.select(*cols), ["avg_price"])

@@ -78,7 +78,16 @@ def start_console(
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Print each micro-batch (debugging sink of the upstream console job)."""
+    """Print each micro-batch (debugging sink of the upstream console job).
+
+    Without ``checkpoint`` the session's ``spark.sql.streaming.checkpointLocation``
+    root is used, else a folder under the shared work folder -- never the
+    driver's local temp folder.
+    """
+    if not checkpoint and not df.sparkSession.conf.get("spark.sql.streaming.checkpointLocation", None):
+        from tickflow.session import scratch_path
+
+        checkpoint = scratch_path(df.sparkSession, f"console-{name}")
     w = (
         df.writeStream.outputMode(output_mode)
         .format("console")
@@ -214,3 +223,64 @@ def start_enriched_job(
         f"{checkpoint_root}/enriched",
         trigger=trigger,
     )
+
+
+# --- decode once, aggregate many --------------------------------------------------------
+
+
+def decoded_schema(fields: Sequence[str] | None = None) -> T.StructType:
+    """Columns of the decoded-trades table written by ``start_decode_job``."""
+    from tickflow.schema import TRADE
+    from tickflow.sources.codec import narrow_schema
+
+    base = narrow_schema(TRADE, fields)
+    return T.StructType(
+        base.fields
+        + [
+            T.StructField("timestamp", T.TimestampType(), True),
+            T.StructField("event_date", T.DateType(), True),
+        ]
+    )
+
+
+def start_decode_job(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    fields: Sequence[str] | None = None,
+    time_from: str = "processing",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Parse the message stream once into a parquet table partitioned by day.
+
+    Upstream, each of the four queries reads the topic and parses every JSON
+    message itself.  Here one query parses, and the aggregation queries read
+    the decoded table as a file stream (``read_decoded_stream``): the JSON
+    cost is paid once, and each reader scans only the columns it needs.  The
+    parquet file sink is exactly-once (its commit log lists the files of each
+    finished batch, and readers only see committed files).
+    """
+    from tickflow.sources.codec import decode_trades, with_trade_time
+
+    trades = with_trade_time(decode_trades(raw, fields=fields), time_from)
+    out = trades.withColumn("event_date", F.to_date(ntz_from_ltz("timestamp")))
+    w = (
+        out.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("event_date")
+        .queryName("decode_writer")
+    )
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def read_decoded_stream(spark: SparkSession, path: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """Stream of decoded trades from ``start_decode_job``'s table.
+
+    Every trigger takes all newly committed files, i.e. whole decode batches,
+    so rows reach the watermark in the order they were decoded.
+    """
+    return spark.readStream.schema(decoded_schema(fields)).parquet(path)

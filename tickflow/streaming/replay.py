@@ -19,6 +19,14 @@ from tickflow.sources.testdata import events_as_messages, load_table
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def stage_events(spark: SparkSession, sf_dir: str, n_files: int = 5, root: str | None = None) -> tuple[DataFrame, str]:
+    """Stage events as messages; return the raw ``value`` stream and its root."""
+    root = root or scratch_path(spark, "replay")
+    msgs = events_as_messages(load_table(spark, sf_dir, "events"), keep_ts=True)
+    stage_replay(msgs, f"{root}/in", n_files, "ts")
+    return read_file_trades(spark, f"{root}/in", max_files_per_trigger=1), root
+
+
 def replay_events(
     spark: SparkSession,
     sf_dir: str,
@@ -27,10 +35,7 @@ def replay_events(
     root: str | None = None,
 ) -> tuple[DataFrame, str]:
     """Stage events as messages; return the decoded trade stream and its root."""
-    root = root or scratch_path(spark, "replay")
-    msgs = events_as_messages(load_table(spark, sf_dir, "events"), keep_ts=True)
-    stage_replay(msgs, f"{root}/in", n_files, "ts")
-    stream = read_file_trades(spark, f"{root}/in", max_files_per_trigger=1)
+    stream, root = stage_events(spark, sf_dir, n_files, root)
     decoded = decode_trades(stream, fields=fields)
     return with_trade_time(decoded, time_from="event_time"), root
 
