@@ -35,14 +35,14 @@ def test_compact_keeps_latest_and_later_batches_win(spark):
     for b, v in enumerate([1.0, 2.0, 3.0]):
         upsert(_rows(spark, [("A", T, v), ("B", T + dt.timedelta(hours=b), v)]), path, b)
     before = _table(latest_by_key(spark, path, keys))
-    assert compact(spark, path, keys) == 2
+    assert compact(spark, path, keys, keep_latest=0) == 2
     assert _table(latest_by_key(spark, path, keys)) == before
     assert read_log(spark, path).count() == 4  # snapshot only
     upsert(_rows(spark, [("A", T, 9.0)]), path, 3)
     after = dict(((s, w), v) for s, w, v in _table(latest_by_key(spark, path, keys)))
     assert after[("A", T)] == 9.0
-    assert compact(spark, path, keys) == 3
-    assert compact(spark, path, keys) == 3  # nothing new: no-op
+    assert compact(spark, path, keys, keep_latest=0) == 3
+    assert compact(spark, path, keys, keep_latest=0) == 3  # nothing new: no-op
 
 
 def test_upsert_dbapi_sqlite(spark, tmp_path):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.keys import key_time, row_key
-from tickflow.operators.store import BATCH_COL
+from tickflow.operators.store import BATCH_COL, _delete, _exists, _list_dirs
 from tickflow.schema import (
     KV_ANOMALY_CELLS,
     KV_ENRICHED_CELLS,
@@ -111,10 +111,95 @@ def merge_cells(puts: DataFrame, order: Sequence[str] = (SEQ_COL,)) -> DataFrame
     )
 
 
+KV_ORDER = (VERSION_COL, WRITER_COL, SEQ_COL)
+
+
+def _newest_cells(cells: DataFrame) -> DataFrame:
+    newest = F.when(F.col("value").isNotNull(), F.struct(*[F.col(c) for c in KV_ORDER]))
+    return cells.groupBy("row_key", "cell").agg(
+        F.max_by(F.struct("value", *KV_ORDER), newest).alias("_c")
+    ).select("row_key", "cell", "_c.*")
+
+
+def _kv_cells(spark: SparkSession, path: str) -> DataFrame | None:
+    """Every stored cell version: compacted base cells and exploded log puts."""
+    parts = []
+    base = _kv_base_versions(spark, path)
+    if base:
+        parts.append(spark.read.parquet(f"{path}/base/v={base[-1]}"))
+    if _list_dirs(spark, f"{path}/log"):
+        log = spark.read.parquet(f"{path}/log")
+        parts.append(log.select("row_key", *KV_ORDER, F.explode("cells").alias("cell", "value")))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
     """The merged key-value table at ``path`` (newest put per cell wins)."""
-    log = spark.read.parquet(f"{path}/log")
-    return merge_cells(log, order=(VERSION_COL, WRITER_COL, SEQ_COL))
+    cells = _kv_cells(spark, path)
+    if cells is None:
+        return spark.createDataFrame([], KV_SCHEMA)
+    latest = _newest_cells(cells)
+    return latest.groupBy("row_key").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "value")))).alias("cells")
+    )
+
+
+def _kv_base_versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(
+        int(name[2:])
+        for name in _list_dirs(spark, f"{path}/base")
+        if name.startswith("v=") and _exists(spark, f"{path}/base/{name}/_SUCCESS")
+    )
+
+
+def compact_kv(spark: SparkSession, path: str, keep_latest: int = 1) -> int | None:
+    """Fold the key-value log into a new base of newest cell versions.
+
+    Each writer's newest ``keep_latest`` batches stay in the log (a restarted
+    stream may re-run its last batch).  The base keeps every cell's own
+    version, so puts that arrive later -- from any writer -- still merge
+    correctly.  Old bases and folded partitions are deleted only after the new
+    base is complete; until then a reader may see a cell twice, which the
+    max-by-version merge absorbs.  Returns the new base version.
+    """
+    folded: list[tuple[str, int]] = []
+    cuts: dict[str, int] = {}
+    for wdir in _list_dirs(spark, f"{path}/log"):
+        if not wdir.startswith(f"{WRITER_COL}="):
+            continue
+        seqs = sorted(
+            int(n.split("=", 1)[1]) for n in _list_dirs(spark, f"{path}/log/{wdir}") if n.startswith(f"{SEQ_COL}=")
+        )
+        fold = seqs[: len(seqs) - keep_latest] if keep_latest > 0 else seqs
+        if fold:
+            cuts[wdir.split("=", 1)[1]] = fold[-1]
+            folded += [(wdir, s) for s in fold]
+    old = _kv_base_versions(spark, path)
+    if not folded:
+        return old[-1] if old else None
+    # One scan of the log; the per-writer cut-off prunes partitions.
+    cond = None
+    for w, cut in cuts.items():
+        c = (F.col(WRITER_COL) == F.lit(w)) & (F.col(SEQ_COL) <= F.lit(cut))
+        cond = c if cond is None else (cond | c)
+    log = spark.read.parquet(f"{path}/log").where(cond)
+    cells = log.select("row_key", *KV_ORDER, F.explode("cells").alias("cell", "value"))
+    if old:
+        cells = spark.read.parquet(f"{path}/base/v={old[-1]}").unionByName(cells)
+    version = (old[-1] + 1) if old else 1
+    _newest_cells(cells).select("row_key", *KV_ORDER, "cell", "value").write.mode("overwrite").parquet(
+        f"{path}/base/v={version}"
+    )
+    for v in old:
+        _delete(spark, f"{path}/base/v={v}")
+    for wdir, seq in folded:
+        _delete(spark, f"{path}/log/{wdir}/{SEQ_COL}={seq}")
+    return version
 
 
 def scan_prefix(kv: DataFrame, prefix: str, limit: int | None = 20, exact: bool = False) -> DataFrame:

@@ -126,20 +126,25 @@ def latest_by_key(
     return latest_rows(log, keys, keep_batch)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
-    """Fold base + log into a new snapshot ``base/v=N`` (N = highest batch).
+def compact(spark: SparkSession, path: str, keys: Sequence[str], keep_latest: int = 1) -> int | None:
+    """Fold base + log into a new snapshot ``base/v=N``.
 
+    N is the highest batch id except the newest ``keep_latest`` ones, which
+    stay in the log: Structured Streaming may re-run its last batch after a
+    restart, and that rewrite must land in a partition that is still read.
     The snapshot is written completely (``_SUCCESS``) before the old snapshot
-    and the folded log partitions are deleted; readers ignore partial ones.
-    Returns N, or None for an empty table.
+    and the folded log partitions are deleted; readers ignore partial ones,
+    and reading a folded partition twice is harmless (``max_by``).  Returns
+    N, or the current snapshot version when there is nothing to fold.
     """
     versions = _base_versions(spark, path)
-    batches = [
+    batches = sorted(
         int(name.split("=", 1)[1])
         for name in _list_dirs(spark, f"{path}/log")
         if name.startswith(f"{BATCH_COL}=")
-    ]
-    newer = [b for b in batches if not versions or b > versions[-1]]
+    )
+    foldable = batches[: len(batches) - keep_latest] if keep_latest > 0 else batches
+    newer = [b for b in foldable if not versions or b > versions[-1]]
     if not newer:
         return versions[-1] if versions else None
     top = max(newer)
@@ -151,9 +156,9 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     for v in _base_versions(spark, path):
         if v < top:
             _delete(spark, f"{path}/base/v={v}")
-    for name in _list_dirs(spark, f"{path}/log"):
-        if name.startswith(f"{BATCH_COL}=") and int(name.split("=", 1)[1]) <= top:
-            _delete(spark, f"{path}/log/{name}")
+    for b in batches:
+        if b <= top:
+            _delete(spark, f"{path}/log/{BATCH_COL}={b}")
     return int(top)
 
 
