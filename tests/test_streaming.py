@@ -99,7 +99,7 @@ def test_kafka_options():
 def test_kafka_reader_needs_connector(spark):
     # The connector jar is not on this machine: building works, loading fails cleanly.
     with pytest.raises(Exception):
-        read_kafka_trades(spark, "localhost:9092", "crypto-trades")
+        read_kafka_trades(spark, "localhost:9092", "trades")
 
 
 def test_all_jobs_end_to_end(spark):
