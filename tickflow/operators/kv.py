@@ -100,7 +100,7 @@ def put_kv(kv: DataFrame, path: str, seq: int, writer: str = "put") -> None:
 def merge_cells(puts: DataFrame, order: Sequence[str] = (SEQ_COL,)) -> DataFrame:
     """Cell-level last-write-wins over puts ordered by the ``order`` columns.
 
-    Two hash aggregates: newest value per (row_key, cell), then the cells of a
+    Two aggregates: newest value per (row_key, cell), then the cells of a
     row back into a map (bounded by the number of distinct cell names).
     """
     exploded = puts.select("row_key", *order, F.explode("cells").alias("cell", "value"))

@@ -8,7 +8,7 @@ Layout of a table at ``path``::
 ``upsert`` overwrites exactly the partition of its batch id, so a retried
 micro-batch rewrites itself and the table is unchanged.  ``latest_by_key``
 keeps, per key, the row of the highest batch id (base and log together) with
-one hash aggregate -- partial ``max_by`` per task, then a shuffle on the key.
+one aggregate -- partial ``max_by`` per task, then a shuffle on the key.
 ``compact`` folds the log into a new snapshot; readers always see either the
 old or the new snapshot plus the log, so a crash mid-way loses nothing.
 """
@@ -105,7 +105,7 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def latest_rows(log: DataFrame, keys: Sequence[str], keep_batch: bool = False) -> DataFrame:
-    """Per key, the row with the highest ``batch_id`` (hash agg, no sort)."""
+    """Per key, the row with the highest ``batch_id`` (partial ``max_by``, no window)."""
     values = [c for c in log.columns if c not in keys and c != BATCH_COL]
     packed = F.struct(*[F.col(c) for c in values], F.col(BATCH_COL))
     out = log.groupBy(*keys).agg(F.max_by(packed, F.col(BATCH_COL)).alias("_row")).select(*keys, "_row.*")

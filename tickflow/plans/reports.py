@@ -6,9 +6,9 @@ updated_at), ``moving_avg`` and ``anomalies``; or the key-value table for the
 scan reports.  ``now()`` and the dashboard time range are explicit parameters
 (``as_of``, ``start``, ``end``) so results are reproducible.
 
-"Latest per symbol" is a ``max_by`` hash aggregate (partial per task, then one
-row per symbol), not a window sort, so a symbol holding a third of all rows
-never lands whole in one task.
+"Latest per symbol" is a ``max_by`` aggregate (partial per task, then one row
+per symbol), not a window over a per-symbol partition, so a symbol holding a
+third of all rows never lands whole in one task.
 """
 
 from __future__ import annotations
