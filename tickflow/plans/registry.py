@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.functions.keys import normalize_symbol
 from tickflow.operators.enrich import enrich
 from tickflow.operators.windows import (
     baseline_price,

@@ -108,7 +108,6 @@ def stream_registry() -> dict:
     }
 
 
-__all__ = ["read_kv", "stream_registry"]
 
 
 def q_stream_decoded_window_stats_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
