@@ -117,7 +117,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = set(sys.argv[1:])
-    spark = build_session(f"local[{cpus}]", app_name="tickflow-bench", shuffle_partitions=cpus * 2)
+    spark = build_session(f"local[{cpus}]", app_name="tickflow-bench", shuffle_partitions=cpus)
     results = {}
     for name, fn in WORKLOADS.items():
         if only and name not in only:
