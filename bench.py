@@ -1,7 +1,8 @@
 """Benchmark the headline workloads; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 5, after one warm-up run).  Each workload is executed in
+BENCH_RUNS (default 5, after one warm-up run), BENCH_EVENT_LOG_DIR (optional:
+write Spark's event log there for stage and task times).  Each workload is executed in
 full through the ``noop`` sink (nothing is collected to the driver); the value
 per query is the median wall time in seconds.
 """
@@ -117,7 +118,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = set(sys.argv[1:])
-    spark = build_session(f"local[{cpus}]", app_name="tickflow-bench", shuffle_partitions=cpus)
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # stage/task times without the UI: Spark's event log in a scratch folder
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = build_session(f"local[{cpus}]", app_name="tickflow-bench", shuffle_partitions=cpus, extra=extra)
     results = {}
     for name, fn in WORKLOADS.items():
         if only and name not in only:
