@@ -126,6 +126,11 @@ def test_all_jobs_end_to_end(spark):
     batch = window_stats(batch_trades(spark, SF_SMALL), "30 seconds")
     assert stored.count() == batch.count()
     assert latest_by_key(spark, f"{root}/out/anomalies", ["symbol", "window_start"]).count() > 0
+    from tickflow.plans import reports as R
+
+    latest = R.latest_avg_price(stored).collect()  # reports run on the stream-written table
+    assert [r.symbol for r in latest] == ["click", "error", "purchase", "signup", "view"]
+    assert R.freshness_seconds(stored, "2100-01-01 00:00:00").first().band == "red"
     assert read_kv(spark, f"{root}/out/kv_moving_avg").count() > 0
 
 
@@ -157,3 +162,18 @@ def test_console_default_checkpoint_is_shared_folder(spark):
 
     assert q.lastProgress is not None
     assert work_dir(spark)  # checkpoint went under the shared folder, not a driver temp dir
+
+
+def test_text_replay_source(spark):
+    """One JSON message per line, read as the Kafka-style binary ``value``."""
+    path = scratch_path(spark, "text")
+    lines = spark.createDataFrame(
+        [('{"symbol":"A","price":1.0,"quantity":2.0,"event_time":1700000000000}',),
+         ('{"symbol":"A","price":3.0,"quantity":1.0,"event_time":1700000001000}',)], "value string")
+    lines.coalesce(1).write.text(f"{path}/in")
+    stream = with_trade_time(decode_trades(read_file_trades(spark, f"{path}/in", fmt="text")), "event_time")
+    out = []
+    q = start_query(window_stats(stream, "30 seconds"), "text_src",
+                    lambda b, i: out.extend(b.collect()), f"{path}/ckpt", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    assert [(r.symbol, r.avg_price, r.total_volume) for r in out] == [("A", 2.0, 3.0)]

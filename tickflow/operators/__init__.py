@@ -1,6 +1,18 @@
 """DataFrame operators: windows, enrichment, keyed store, key-value cells."""
 
-from tickflow.operators.enrich import enrich, enrich_batch
+from tickflow.operators.enrich import dimension_side, enrich, enrich_batch
+from tickflow.operators.kv import (
+    compact_kv,
+    merge_cells,
+    put_kv,
+    read_kv,
+    scan_prefix,
+    to_kv_anomalies,
+    to_kv_enriched,
+    to_kv_moving_avg,
+    to_kv_windowed,
+)
+from tickflow.operators.store import compact, latest_by_key, upsert, upsert_dbapi
 from tickflow.operators.windows import (
     baseline_price,
     moving_average,
@@ -10,9 +22,23 @@ from tickflow.operators.windows import (
 
 __all__ = [
     "baseline_price",
+    "compact",
+    "compact_kv",
+    "dimension_side",
     "enrich",
     "enrich_batch",
+    "latest_by_key",
+    "merge_cells",
     "moving_average",
+    "put_kv",
     "range_anomalies",
+    "read_kv",
+    "scan_prefix",
+    "to_kv_anomalies",
+    "to_kv_enriched",
+    "to_kv_moving_avg",
+    "to_kv_windowed",
+    "upsert",
+    "upsert_dbapi",
     "window_stats",
 ]

@@ -49,13 +49,16 @@ def read_file_trades(
     max_files_per_trigger: int = 1,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Streaming frame over replay files, oldest file first."""
-    return (
-        spark.readStream.schema(REPLAY_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .format(fmt)
-        .load(path)
-    )
+    """Streaming frame over replay files, oldest file first.
+
+    ``fmt="parquet"`` reads staged files with a binary ``value``; ``fmt="text"``
+    reads one JSON message per line (``value`` cast to binary, the Kafka
+    contract).
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    if fmt == "text":
+        return reader.text(path).select(F.col("value").cast("binary").alias("value"))
+    return reader.schema(REPLAY_SCHEMA).format(fmt).load(path)
 
 
 def read_metadata(spark: SparkSession, path: str, schema: T.StructType = METADATA) -> DataFrame:
