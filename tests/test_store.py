@@ -68,3 +68,15 @@ def test_upsert_dbapi_sqlite(spark, tmp_path):
     upsert_dbapi(df2, connect, "w", ["symbol", "window_start"])  # retry is harmless
     rows = sqlite3.connect(db).execute("SELECT symbol, avg_price, updated_at IS NOT NULL FROM w ORDER BY 1").fetchall()
     assert rows == [("A", 5.0, 1), ("B", 2.0, 0)]
+
+
+def test_fully_compacted_read_needs_no_shuffle(spark):
+    path = scratch_path(spark, "store")
+    keys = ["symbol", "window_start"]
+    upsert(_rows(spark, [("A", T, 1.0), ("B", T, 2.0)]), path, 0)
+    upsert(_rows(spark, [("A", T, 3.0)]), path, 1)
+    before = _table(latest_by_key(spark, path, keys))
+    compact(spark, path, keys, keep_latest=0)
+    after = latest_by_key(spark, path, keys)
+    assert _table(after) == before
+    assert "Exchange" not in after._jdf.queryExecution().executedPlan().toString()

@@ -119,7 +119,20 @@ def latest_by_key(
     schema: T.StructType | None = None,
     keep_batch: bool = False,
 ) -> DataFrame:
-    """The current table: latest version of every key."""
+    """The current table: latest version of every key.
+
+    A fully compacted table (snapshot, no newer log partitions) is unique per
+    key by construction and is returned as a plain scan, without the shuffle.
+    """
+    versions = _base_versions(spark, path)
+    if versions:
+        newer = [
+            n for n in _list_dirs(spark, f"{path}/log")
+            if n.startswith(f"{BATCH_COL}=") and int(n.split("=", 1)[1]) > versions[-1]
+        ]
+        if not newer:
+            base = spark.read.parquet(f"{path}/base/v={versions[-1]}")
+            return base if keep_batch else base.drop(BATCH_COL)
     log = read_log(spark, path, schema)
     if log is None:
         raise FileNotFoundError(f"no stored table at {path}")
