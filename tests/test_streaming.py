@@ -177,3 +177,45 @@ def test_text_replay_source(spark):
                     lambda b, i: out.extend(b.collect()), f"{path}/ckpt", trigger=AVAILABLE_NOW)
     run_until_done(q)
     assert [(r.symbol, r.avg_price, r.total_volume) for r in out] == [("A", 2.0, 3.0)]
+
+
+def test_tick_jobs_with_sql_sink_and_console(spark, tmp_path):
+    import sqlite3
+
+    from tickflow.streaming.jobs import start_console_jobs, start_tick_jobs
+
+    db = str(tmp_path / "tick.db")
+    con = sqlite3.connect(db)
+    con.executescript(
+        "CREATE TABLE w (symbol TEXT, window_start TEXT, window_end TEXT, avg_price REAL, min_price REAL, "
+        "max_price REAL, total_volume REAL, updated_at TEXT DEFAULT CURRENT_TIMESTAMP, PRIMARY KEY (symbol, window_start));"
+        "CREATE TABLE m (symbol TEXT, window_start TEXT, window_end TEXT, moving_avg_price REAL, total_volume REAL, "
+        "updated_at TEXT DEFAULT CURRENT_TIMESTAMP, PRIMARY KEY (symbol, window_start, window_end));"
+        "CREATE TABLE a (symbol TEXT, window_start TEXT, avg_price REAL, max_price REAL, min_price REAL, "
+        "price_range_pct REAL, is_anomaly INTEGER, updated_at TEXT DEFAULT CURRENT_TIMESTAMP, PRIMARY KEY (symbol, window_start));"
+    )
+    con.close()
+
+    def connect(path=db):
+        import sqlite3 as s
+
+        return s.connect(path, timeout=60)
+
+    def to_sql(v):
+        import datetime as d
+
+        return v.isoformat(sep=" ") if isinstance(v, d.datetime) else v
+
+    trades, root = replay_events(spark, SF_SMALL, 2, ["symbol", "price", "quantity", "event_time"])
+    qs = start_tick_jobs(trades, f"{root}/out", f"{root}/ckpt", kv=False, sql_connect=connect,
+                         sql_tables={"windowed": "w", "moving_avg": "m", "anomalies": "a"},
+                         sql_options={"convert": to_sql}, trigger=AVAILABLE_NOW)
+    run_until_done(*qs)
+    stored = latest_by_key(spark, f"{root}/out/windowed", ["symbol", "window_start"]).count()
+    c = sqlite3.connect(db)
+    assert c.execute("SELECT count(*) FROM w").fetchone()[0] == stored
+    assert c.execute("SELECT count(*) FROM m").fetchone()[0] > 0
+    assert c.execute("SELECT count(*) FROM a WHERE updated_at IS NOT NULL").fetchone()[0] > 0
+    cq = start_console_jobs(trades, f"{root}/console", trigger=AVAILABLE_NOW)
+    run_until_done(*cq)
+    assert sorted(q.name for q in cq) == ["anomaly_detection", "moving_average", "windowed_aggregation"]

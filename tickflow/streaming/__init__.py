@@ -7,6 +7,7 @@ from tickflow.streaming.jobs import (
     kv_writer,
     run_streams,
     start_console,
+    start_console_jobs,
     start_enriched_job,
     start_query,
     start_tick_jobs,
@@ -23,6 +24,7 @@ __all__ = [
     "run_streams",
     "run_until_done",
     "start_console",
+    "start_console_jobs",
     "start_enriched_job",
     "start_query",
     "start_tick_jobs",

@@ -178,35 +178,77 @@ def enriched_writer(meta: DataFrame, store_path: str | None = None, kv_path: str
 # --- the upstream jobs ------------------------------------------------------------------
 
 
+def tick_aggregations(trades: DataFrame) -> dict[str, DataFrame]:
+    """The three upstream aggregations with their widths and watermarks:
+    30 s stats (1 min), 2 min by 30 s mean (3 min), 1 min anomalies (2 min)."""
+    return {
+        "windowed": window_stats(trades, "30 seconds", "1 minute"),
+        "moving_avg": moving_average(trades, "2 minutes", "30 seconds", "3 minutes"),
+        "anomalies": range_anomalies(trades, "1 minute", "2 minutes"),
+    }
+
+
+# Conflict keys of the stored tables (used by the external SQL upsert).
+TABLE_KEYS = {
+    "windowed": ["symbol", "window_start"],
+    "moving_avg": ["symbol", "window_start", "window_end"],
+    "anomalies": ["symbol", "window_start"],
+}
+_TO_KV = {"windowed": to_kv_windowed, "moving_avg": to_kv_moving_avg, "anomalies": to_kv_anomalies}
+
+
 def start_tick_jobs(
     trades: DataFrame,
     root: str,
     checkpoint_root: str,
     kv: bool = True,
     stores: bool = True,
+    sql_connect: Callable[[], object] | None = None,
+    sql_tables: dict[str, str] | None = None,
+    sql_options: dict | None = None,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
     """Windowed stats, moving average and anomalies, each its own query.
 
-    Widths and watermarks are the upstream ones (30 s / 1 min, 2 min by 30 s /
-    3 min, 1 min / 2 min).  Each query fans out to a KV table and a keyed store.
+    Each query fans out, in order, to a KV table, a keyed parquet store and --
+    when ``sql_connect`` is given -- an external SQL table (upsert on the
+    table's key, ``updated_at`` stamped by the database).  ``sql_tables`` maps
+    ``windowed``/``moving_avg``/``anomalies`` to table names.
     """
-    specs = [
-        ("windowed", window_stats(trades, "30 seconds", "1 minute"), to_kv_windowed),
-        ("moving_avg", moving_average(trades, "2 minutes", "30 seconds", "3 minutes"), to_kv_moving_avg),
-        ("anomalies", range_anomalies(trades, "1 minute", "2 minutes"), to_kv_anomalies),
-    ]
     queries = []
-    for name, df, to_kv in specs:
+    for name, df in tick_aggregations(trades).items():
         writers = []
         if kv:
-            writers.append(kv_writer(f"{root}/kv_{name}", to_kv, writer=name))
+            writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=name))
         if stores:
             writers.append(store_writer(f"{root}/{name}"))
+        if sql_connect is not None:
+            table = (sql_tables or {}).get(name, name)
+            writers.append(dbapi_writer(sql_connect, table, TABLE_KEYS[name], **(sql_options or {})))
         queries.append(start_query(df, f"{name}_writer", fan_out(*writers), f"{checkpoint_root}/{name}", trigger=trigger))
     return queries
 
 
+def start_console_jobs(
+    trades: DataFrame,
+    checkpoint_root: str | None = None,
+    num_rows: int = 20,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """The three aggregations printed to the console (the upstream debug job)."""
+    names = {"windowed": "windowed_aggregation", "moving_avg": "moving_average", "anomalies": "anomaly_detection"}
+    return [
+        start_console(
+            df,
+            names[name],
+            num_rows=num_rows,
+            checkpoint=f"{checkpoint_root}/{name}" if checkpoint_root else None,
+            trigger=trigger,
+        )
+        for name, df in tick_aggregations(trades).items()
+    ]
+
+
 def start_enriched_job(
     trades: DataFrame,
     meta: DataFrame,
