@@ -219,3 +219,18 @@ def test_tick_jobs_with_sql_sink_and_console(spark, tmp_path):
     cq = start_console_jobs(trades, f"{root}/console", trigger=AVAILABLE_NOW)
     run_until_done(*cq)
     assert sorted(q.name for q in cq) == ["anomaly_detection", "moving_average", "windowed_aggregation"]
+
+
+def test_enrich_directly_on_the_stream(spark):
+    """Stream-static inner join in update mode (no foreachBatch needed)."""
+    from tickflow.operators.enrich import enrich
+    from tickflow.plans.registry import dimension_fixture
+
+    trades, root = replay_events(spark, SF_SMALL, 2, ["symbol", "price", "quantity", "event_time"])
+    enriched = enrich(window_stats(trades, "1 hour", watermark="1 minute"), dimension_fixture(spark))
+    q = start_query(enriched, "enrich_stream", store_writer(f"{root}/e"), f"{root}/ckpt", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    out = latest_by_key(spark, f"{root}/e", ["symbol", "window_start"])
+    symbols = {r.symbol for r in out.select("symbol").distinct().collect()}
+    assert symbols == {"click", "purchase", "signup", "view"}  # error dropped, refund unmatched
+    assert set(out.columns) >= {"full_name", "status", "price_range_pct"}
