@@ -234,3 +234,8 @@ def test_enrich_directly_on_the_stream(spark):
     symbols = {r.symbol for r in out.select("symbol").distinct().collect()}
     assert symbols == {"click", "purchase", "signup", "view"}  # error dropped, refund unmatched
     assert set(out.columns) >= {"full_name", "status", "price_range_pct"}
+
+
+def test_kafka_scale_options():
+    o = kafka_source_options("h:9092", "t", max_offsets_per_trigger=1_000_000, min_partitions=64)
+    assert o["maxOffsetsPerTrigger"] == "1000000" and o["minPartitions"] == "64"

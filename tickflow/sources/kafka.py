@@ -17,15 +17,27 @@ def kafka_source_options(
     topic: str,
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
-    """Options of the upstream subscription: one topic, latest, tolerate loss."""
+    """Options of the upstream subscription: one topic, latest, tolerate loss.
+
+    At scale: ``max_offsets_per_trigger`` bounds a micro-batch (a backlog after
+    a restart is then worked off in sized batches, not one huge one), and
+    ``min_partitions`` splits topic partitions into more tasks so JSON parsing
+    uses every core even when the topic has few partitions.
+    """
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
