@@ -89,6 +89,37 @@ def q_stream_kv_scan_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed"), "error")
 
 
+def q_stream_window_stats_1h_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed hourly stats, the log folded by ``compact``, then read back."""
+    from tickflow.operators.store import compact
+
+    root = _run(
+        spark, sf_dir,
+        lambda t: window_stats(t, "1 hour", watermark="1 minute"),
+        lambda r: store_writer(f"{r}/windowed"),
+        "stream_window_stats_1h_compacted",
+    )
+    compact(spark, f"{root}/windowed", WINDOWED_KEYS, keep_latest=1)
+    out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
+    cols = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]
+    return _round(out.select(*cols), ["avg_price"])
+
+
+def q_stream_kv_scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed 30 s key-value puts, folded by ``compact_kv``, then scanned."""
+    from tickflow.operators.kv import compact_kv
+    from tickflow.plans import reports as R
+
+    root = _run(
+        spark, sf_dir,
+        lambda t: window_stats(t, "30 seconds", watermark="1 minute"),
+        lambda r: kv_writer(f"{r}/kv_windowed", to_kv_windowed, writer="windowed"),
+        "stream_kv_scan_compacted",
+    )
+    compact_kv(spark, f"{root}/kv_windowed", keep_latest=1)
+    return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed"), "error")
+
+
 def stream_registry() -> dict:
     return {
         "stream_window_stats_1h": (q_stream_window_stats_1h, B.sql_window_stats("1 hour")),
@@ -105,6 +136,8 @@ def stream_registry() -> dict:
         # table holds only the windowed puts for it: the same oracle text.
         "stream_kv_scan_windowed": (q_stream_kv_scan_windowed, KV_SQL["kv_scan_windowed"]),
         "stream_decoded_window_stats_1h": (q_stream_decoded_window_stats_1h, B.sql_window_stats("1 hour")),
+        "stream_window_stats_1h_compacted": (q_stream_window_stats_1h_compacted, B.sql_window_stats("1 hour")),
+        "stream_kv_scan_compacted": (q_stream_kv_scan_compacted, KV_SQL["kv_scan_windowed"]),
     }
 
 
