@@ -120,6 +120,19 @@ def q_stream_kv_scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed"), "error")
 
 
+def q_backfill_window_stats_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch backfill of all upstream tables from events, windowed table read back."""
+    from tickflow.plans.registry import trades as batch_trades
+    from tickflow.session import scratch_path
+    from tickflow.streaming.jobs import run_backfill
+
+    root = scratch_path(spark, "backfill")
+    run_backfill(batch_trades(spark, sf_dir), root, 0, meta=dimension_fixture(spark))
+    out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
+    cols = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]
+    return _round(out.select(*cols), ["avg_price"])
+
+
 def stream_registry() -> dict:
     return {
         "stream_window_stats_1h": (q_stream_window_stats_1h, B.sql_window_stats("1 hour")),
@@ -138,6 +151,7 @@ def stream_registry() -> dict:
         "stream_decoded_window_stats_1h": (q_stream_decoded_window_stats_1h, B.sql_window_stats("1 hour")),
         "stream_window_stats_1h_compacted": (q_stream_window_stats_1h_compacted, B.sql_window_stats("1 hour")),
         "stream_kv_scan_compacted": (q_stream_kv_scan_compacted, KV_SQL["kv_scan_windowed"]),
+        "backfill_window_stats_30s": (q_backfill_window_stats_30s, B.sql_window_stats("30 seconds")),
     }
 
 
