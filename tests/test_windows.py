@@ -119,3 +119,65 @@ def test_panes_long_offsets(spark):
     assert sorted((r.window_start, round(r.moving_avg_price, 9)) for r in a.collect()) == sorted(
         (r.window_start, round(r.moving_avg_price, 9)) for r in b.collect()
     )
+
+
+def _same(a, b, digits=9):
+    from pyspark.sql import functions as F
+
+    num = [c for c, d in b.dtypes if d == "double"]
+    a = a.select(*b.columns).withColumns({c: F.round(c, digits) for c in num})
+    b = b.withColumns({c: F.round(c, digits) for c in num})
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_pane_derivations_equal_direct_operators(spark):
+    from conftest import SF_SMALL
+    from tickflow.operators.windows import (
+        moving_average_from_panes,
+        range_anomalies_from_panes,
+        shared_pane,
+        tick_panes,
+        window_stats_from_panes,
+    )
+    from tickflow.plans.registry import trades
+
+    t = trades(spark, SF_SMALL)
+    pane = shared_pane("30 seconds", "1 minute", "2 minutes")
+    assert pane == "30000000 microseconds"
+    panes = tick_panes(t, pane, stamp=True).persist()
+    try:
+        assert _same(window_stats_from_panes(panes, pane, "30 seconds"), window_stats(t, "30 seconds", stamp=True))
+        assert _same(window_stats_from_panes(panes, pane, "1 hour"), window_stats(t, "1 hour", stamp=True))
+        assert _same(range_anomalies_from_panes(panes, pane, "1 minute"), range_anomalies(t, "1 minute", stamp=True))
+        assert _same(
+            moving_average_from_panes(panes, pane, "6 hours", "1 hour"),
+            moving_average(t, "6 hours", "1 hour", stamp=True, method="window"),
+        )
+    finally:
+        panes.unpersist()
+
+
+def test_roll_panes_rejects_a_width_the_pane_does_not_divide(spark):
+    import pytest
+
+    from tickflow.operators.windows import roll_panes, tick_panes
+
+    panes = tick_panes(_ticks(spark, [("A", 1.0, 1.0, 1)]), "30 seconds")
+    with pytest.raises(ValueError):
+        roll_panes(panes, "30 seconds", "45 seconds")
+
+
+def test_panes_keep_null_prices_and_empty_groups(spark):
+    from tickflow.operators.windows import range_anomalies_from_panes, tick_panes, window_stats_from_panes
+
+    df = spark.createDataFrame(
+        [("A", None, 1.0, T0), ("A", None, 2.0, T0 + dt.timedelta(seconds=40)), ("B", 4.0, None, T0)],
+        "symbol string, price double, quantity double, timestamp timestamp_ntz",
+    )
+    panes = tick_panes(df, "30 seconds")
+    got = {r.symbol: r for r in window_stats_from_panes(panes, "30 seconds", "1 minute").collect()}
+    exp = {r.symbol: r for r in window_stats(df, "1 minute").collect()}
+    assert got == exp
+    assert got["A"].avg_price is None and got["A"].total_volume == 3.0 and got["B"].total_volume is None
+    an = {r.symbol: r for r in range_anomalies_from_panes(panes, "30 seconds", "1 minute").collect()}
+    assert an["A"].price_range_pct is None and an["A"].is_anomaly is False

@@ -10,9 +10,10 @@ partial row per task, not a third of the data in one task.
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.functions.prices import flag_anomaly, price_range_pct
@@ -119,35 +120,8 @@ def moving_average(
         out = src.groupBy(F.window(time_col, width, slide).alias("window"), F.col("symbol")).agg(*aggs)
         return out.select(*_flat_window(cols))
 
-    k = width_us // slide_us
-    pane_aggs = [
-        F.sum("price").alias("_psum"),
-        F.count("price").alias("_pcnt"),
-        F.sum("quantity").alias("_qsum"),
-    ]
-    if stamp:
-        pane_aggs.append(F.max(time_col).alias("_last"))
-    panes = df.groupBy(F.col("symbol"), F.window(time_col, slide).start.alias("_pane")).agg(*pane_aggs)
-    # A pane starting at p lies in the windows starting at p, p - slide, ...
-    offsets = F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
-    spread = panes.withColumn("_i", F.explode(offsets)).withColumn(
-        "window_start",
-        F.timestamp_add("MICROSECOND", F.col("_i") * F.lit(-slide_us).cast("long"), F.col("_pane")),
-    )
-    win_aggs = [F.sum("_psum").alias("_psum"), F.sum("_pcnt").alias("_pcnt"), F.sum("_qsum").alias("total_volume")]
-    if stamp:
-        win_aggs.append(F.max("_last").alias("updated_at"))
-    out = spread.groupBy("symbol", "window_start").agg(*win_aggs)
-    cols = [
-        F.col("symbol"),
-        F.col("window_start"),
-        F.timestamp_add("MICROSECOND", F.lit(width_us), F.col("window_start")).alias("window_end"),
-        F.try_divide(F.col("_psum"), F.col("_pcnt")).alias("moving_avg_price"),
-        F.col("total_volume"),
-    ]
-    if stamp:
-        cols.append(F.col("updated_at"))
-    return out.select(*cols)
+    panes = tick_panes(df, slide, time_col=time_col, stamp=stamp)
+    return moving_average_from_panes(panes, slide, width, slide)
 
 
 def range_anomalies(
@@ -203,3 +177,134 @@ def baseline_price(
         F.avg("price").alias("baseline_price")
     )
     return out.select(*_flat_window(["baseline_price"]))
+
+
+# --- panes: aggregate every tick once, derive the windows from the panes ------------
+#
+# A pane is a tumbling window whose width divides every window of interest.
+# One pass over the ticks gives one row per (symbol, pane) with the price sum,
+# count, min and max and the summed quantity -- all algebraic, so the pass has
+# a map-side partial aggregate.  Tumbling windows that are multiples of the
+# pane, and sliding windows whose slide is, are then aggregates over pane rows
+# (a bounded number per window), never over ticks again.
+
+
+def shared_pane(*durations: str) -> str:
+    """The widest pane dividing all ``durations`` (their gcd)."""
+    return f"{math.gcd(*(interval_micros(d) for d in durations))} microseconds"
+
+
+def tick_panes(
+    df: DataFrame,
+    pane: str = "30 seconds",
+    time_col: str = "timestamp",
+    stamp: bool = False,
+) -> DataFrame:
+    """One row per (symbol, pane start ``_pane``): ``_psum``, ``_pcnt``,
+    ``_pmin``, ``_pmax`` of price, ``_qsum`` of quantity (when the frame has
+    one) and, with ``stamp``, the latest tick time ``_last``."""
+    aggs = [
+        F.sum("price").alias("_psum"),
+        F.count("price").alias("_pcnt"),
+        F.min("price").alias("_pmin"),
+        F.max("price").alias("_pmax"),
+    ]
+    if "quantity" in df.columns:
+        aggs.append(F.sum("quantity").alias("_qsum"))
+    if stamp:
+        aggs.append(F.max(time_col).alias("_last"))
+    return df.groupBy(F.col("symbol"), F.window(time_col, pane).start.alias("_pane")).agg(*aggs)
+
+
+def roll_panes(panes: DataFrame, pane: str, width: str) -> DataFrame:
+    """Panes of ``pane`` -> tumbling panes of ``width`` (a multiple of it)."""
+    pane_us, width_us = interval_micros(pane), interval_micros(width)
+    if width_us % pane_us:
+        raise ValueError(f"{width!r} is not a multiple of the pane {pane!r}")
+    if width_us == pane_us:
+        return panes
+    merge = {"_psum": F.sum, "_pcnt": F.sum, "_pmin": F.min, "_pmax": F.max, "_qsum": F.sum, "_last": F.max}
+    aggs = [fn(c).alias(c) for c, fn in merge.items() if c in panes.columns]
+    return panes.groupBy(F.col("symbol"), F.window("_pane", width).start.alias("_pane")).agg(*aggs)
+
+
+def _pane_mean() -> Column:
+    # Spark's avg is sum / count with null for an empty count: the same value.
+    return F.try_divide(F.col("_psum"), F.col("_pcnt"))
+
+
+def _stamped(panes: DataFrame, cols: list) -> list:
+    return cols + ([F.col("_last").alias("updated_at")] if "_last" in panes.columns else [])
+
+
+def window_stats_from_panes(panes: DataFrame, pane: str, width: str = "30 seconds") -> DataFrame:
+    """``window_stats`` from ``tick_panes`` rows (no shuffle when width == pane)."""
+    w = roll_panes(panes, pane, width)
+    cols = [
+        F.col("symbol"),
+        F.col("_pane").alias("window_start"),
+        F.timestamp_add("MICROSECOND", F.lit(interval_micros(width)), F.col("_pane")).alias("window_end"),
+        _pane_mean().alias("avg_price"),
+        F.col("_pmin").alias("min_price"),
+        F.col("_pmax").alias("max_price"),
+        F.col("_qsum").alias("total_volume"),
+    ]
+    return w.select(*_stamped(w, cols))
+
+
+def range_anomalies_from_panes(
+    panes: DataFrame,
+    pane: str,
+    width: str = "1 minute",
+    threshold: float = ANOMALY_THRESHOLD,
+) -> DataFrame:
+    """``range_anomalies`` from ``tick_panes`` rows."""
+    w = roll_panes(panes, pane, width).select(
+        "symbol",
+        "_pane",
+        _pane_mean().alias("avg_price"),
+        F.col("_pmax").alias("max_price"),
+        F.col("_pmin").alias("min_price"),
+        *(["_last"] if "_last" in panes.columns else []),
+    )
+    out = w.withColumn("price_range_pct", price_range_pct()).withColumn(
+        "is_anomaly", flag_anomaly(threshold=threshold)
+    )
+    cols = [
+        F.col("symbol"),
+        F.col("_pane").alias("window_start"),
+        "avg_price",
+        "max_price",
+        "min_price",
+        "price_range_pct",
+        "is_anomaly",
+    ]
+    return out.select(*_stamped(out, cols))
+
+
+def moving_average_from_panes(panes: DataFrame, pane: str, width: str, slide: str) -> DataFrame:
+    """``moving_average`` from ``tick_panes`` rows: each slide-wide pane is
+    copied into the width/slide windows that contain it, then summed."""
+    width_us, slide_us = interval_micros(width), interval_micros(slide)
+    if width_us % slide_us:
+        raise ValueError("panes need width to be a multiple of slide")
+    p = roll_panes(panes, pane, slide)
+    k = width_us // slide_us
+    # A pane starting at p lies in the windows starting at p, p - slide, ...
+    offsets = F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
+    spread = p.withColumn("_i", F.explode(offsets)).withColumn(
+        "window_start",
+        F.timestamp_add("MICROSECOND", F.col("_i") * F.lit(-slide_us).cast("long"), F.col("_pane")),
+    )
+    win_aggs = [F.sum("_psum").alias("_psum"), F.sum("_pcnt").alias("_pcnt"), F.sum("_qsum").alias("total_volume")]
+    if "_last" in p.columns:
+        win_aggs.append(F.max("_last").alias("_last"))
+    out = spread.groupBy("symbol", "window_start").agg(*win_aggs)
+    cols = [
+        F.col("symbol"),
+        F.col("window_start"),
+        F.timestamp_add("MICROSECOND", F.lit(width_us), F.col("window_start")).alias("window_end"),
+        _pane_mean().alias("moving_avg_price"),
+        F.col("total_volume"),
+    ]
+    return out.select(*_stamped(out, cols))

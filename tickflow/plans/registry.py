@@ -19,7 +19,10 @@ from tickflow.operators.windows import (
     baseline_price,
     moving_average,
     range_anomalies,
+    range_anomalies_from_panes,
+    tick_panes,
     window_stats,
+    window_stats_from_panes,
 )
 from tickflow.schema import METADATA
 from tickflow.sources.codec import (
@@ -132,6 +135,30 @@ def q_baseline_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(out, ["baseline_price"])
 
 
+PANE = "30 seconds"
+
+
+def q_panes_window_stats(width: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Window stats rolled up from 30 s panes (one pass over the ticks)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = window_stats_from_panes(tick_panes(trades(spark, sf_dir), PANE), PANE, width)
+        return _round(out, ["avg_price"])
+
+    return run
+
+
+def q_panes_range_anomalies(width: str, threshold: float) -> Callable[[SparkSession, str], DataFrame]:
+    """Range anomalies from 30 s panes."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        panes = tick_panes(trades(spark, sf_dir, ["symbol", "price", "event_time"]), PANE)
+        out = range_anomalies_from_panes(panes, PANE, width, threshold)
+        return _round(out, ["avg_price", "price_range_pct"])
+
+    return run
+
+
 def q_enriched_stats_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = window_stats(trades(spark, sf_dir), width="1 hour")
     return enrich(stats, dimension_fixture(spark))
@@ -296,5 +323,7 @@ def _core_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame]
         "range_anomalies_1m": (q_range_anomalies("1 minute", 0.5), sql_range_anomalies("1 minute", 0.5)),
         "range_anomalies_1h_200": (q_range_anomalies("1 hour", 200.0), sql_range_anomalies("1 hour", 200.0)),
         "baseline_price_1m": (q_baseline_price, sql_baseline_price("1 minute")),
+        "panes_window_stats_1h": (q_panes_window_stats("1 hour"), sql_window_stats("1 hour")),
+        "panes_range_anomalies_1m": (q_panes_range_anomalies("1 minute", 0.5), sql_range_anomalies("1 minute", 0.5)),
         "enriched_stats_1h": (q_enriched_stats_1h, sql_enriched_stats("1 hour")),
     }

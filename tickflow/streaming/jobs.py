@@ -20,8 +20,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow.functions.time import ntz_from_ltz
 from tickflow.operators.enrich import dimension_side, enrich
 from tickflow.operators.kv import put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
-from tickflow.operators.store import upsert, upsert_dbapi
-from tickflow.operators.windows import moving_average, range_anomalies, window_stats
+from tickflow.operators.store import _delete, upsert, upsert_dbapi
+from tickflow.operators.windows import (
+    moving_average,
+    moving_average_from_panes,
+    range_anomalies,
+    range_anomalies_from_panes,
+    shared_pane,
+    tick_panes,
+    window_stats,
+    window_stats_from_panes,
+)
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -178,13 +187,34 @@ def enriched_writer(meta: DataFrame, store_path: str | None = None, kv_path: str
 # --- the upstream jobs ------------------------------------------------------------------
 
 
+# --- fixed values: the upstream windows ---------------------------------------------
+# 30 s stats with a 1 min watermark; 2 min mean every 30 s, 3 min watermark;
+# 1 min anomalies, 2 min watermark.
+WINDOWED_WIDTH, WINDOWED_WATERMARK = "30 seconds", "1 minute"
+MOVING_WIDTH, MOVING_SLIDE, MOVING_WATERMARK = "2 minutes", "30 seconds", "3 minutes"
+ANOMALY_WIDTH, ANOMALY_WATERMARK = "1 minute", "2 minutes"
+
+
 def tick_aggregations(trades: DataFrame) -> dict[str, DataFrame]:
-    """The three upstream aggregations with their widths and watermarks:
-    30 s stats (1 min), 2 min by 30 s mean (3 min), 1 min anomalies (2 min)."""
+    """The three upstream aggregations with their widths and watermarks."""
+    return {
+        "windowed": window_stats(trades, WINDOWED_WIDTH, WINDOWED_WATERMARK),
+        "moving_avg": moving_average(trades, MOVING_WIDTH, MOVING_SLIDE, MOVING_WATERMARK),
+        "anomalies": range_anomalies(trades, ANOMALY_WIDTH, ANOMALY_WATERMARK),
+    }
+
+
+def upstream_pane() -> str:
+    """The widest pane every upstream window is made of (30 s)."""
+    return shared_pane(WINDOWED_WIDTH, MOVING_WIDTH, MOVING_SLIDE, ANOMALY_WIDTH)
+
+
+def pane_aggregations(panes: DataFrame, pane: str) -> dict[str, DataFrame]:
+    """The three upstream tables derived from one ``tick_panes`` table."""
     return {
-        "windowed": window_stats(trades, "30 seconds", "1 minute"),
-        "moving_avg": moving_average(trades, "2 minutes", "30 seconds", "3 minutes"),
-        "anomalies": range_anomalies(trades, "1 minute", "2 minutes"),
+        "windowed": window_stats_from_panes(panes, pane, WINDOWED_WIDTH),
+        "moving_avg": moving_average_from_panes(panes, pane, MOVING_WIDTH, MOVING_SLIDE),
+        "anomalies": range_anomalies_from_panes(panes, pane, ANOMALY_WIDTH),
     }
 
 
@@ -341,25 +371,40 @@ def run_backfill(
 ) -> None:
     """Reprocess historical ticks (a batch frame) into the same tables.
 
-    The three aggregations, and the enrichment when ``meta`` is given, go
-    through the streaming writers as micro-batch ``batch_id``: rerunning a
-    backfill with the same id replaces exactly its own partitions, and a
-    later id wins over earlier stream batches per key.  Each result is
-    persisted once while its writers run.
+    The ticks are read, decoded and aggregated **once**, into 30 s panes per
+    symbol (``tick_panes``; a partial aggregate before the only shuffle over
+    tick data).  The panes are written to the shared work folder, which cuts
+    the lineage: a lost executor later recomputes pane partitions from parquet,
+    never from the raw ticks.  The 30 s stats are the panes themselves, the
+    1 min anomalies and the 2 min / 30 s mean aggregate pane rows -- so the
+    upstream's three passes over the ticks (four with the enrichment) become
+    one.  The tables then go through the streaming writers as micro-batch
+    ``batch_id``: rerunning a backfill with the same id replaces exactly its
+    own partitions, and a later id wins over earlier stream batches per key.
     """
+    from tickflow.session import scratch_path
+
     if trades.isStreaming:
         raise ValueError("run_backfill takes a batch frame; use start_tick_jobs for streams")
-    for name, df in tick_aggregations(trades).items():
-        writers = []
-        if kv:
-            writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=f"backfill_{name}"))
-        if stores:
-            writers.append(store_writer(f"{root}/{name}"))
-        if name == "windowed" and meta is not None:
-            # The enrichment joins the same 30 s stats: computed once, reused.
-            writers.append(enriched_writer(meta, store_path=f"{root}/enriched", kv_path=f"{root}/kv_windowed"))
-        out = df.persist()
-        try:
-            fan_out(*writers)(out, batch_id)
-        finally:
-            out.unpersist()
+    spark = trades.sparkSession
+    pane = upstream_pane()
+    panes_path = scratch_path(spark, "backfill-panes")
+    tick_panes(trades, pane).write.mode("overwrite").parquet(panes_path)
+    try:
+        panes = spark.read.parquet(panes_path)
+        for name, df in pane_aggregations(panes, pane).items():
+            writers = []
+            if kv:
+                writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=f"backfill_{name}"))
+            if stores:
+                writers.append(store_writer(f"{root}/{name}"))
+            if name == "windowed" and meta is not None:
+                # The enrichment joins the same 30 s stats: computed once, reused.
+                writers.append(enriched_writer(meta, store_path=f"{root}/enriched", kv_path=f"{root}/kv_windowed"))
+            out = df.persist()
+            try:
+                fan_out(*writers)(out, batch_id)
+            finally:
+                out.unpersist()
+    finally:
+        _delete(spark, panes_path)
