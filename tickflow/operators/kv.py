@@ -103,7 +103,8 @@ def merge_cells(puts: DataFrame, order: Sequence[str] = (SEQ_COL,)) -> DataFrame
     Two aggregates: newest value per (row_key, cell), then the cells of a
     row back into a map (bounded by the number of distinct cell names).
     """
-    exploded = puts.select("row_key", *order, F.explode("cells").alias("cell", "value"))
+    # One shuffle on row_key serves both aggregates (see ``read_kv``).
+    exploded = puts.select("row_key", *order, F.explode("cells").alias("cell", "value")).repartition("row_key")
     newest = F.when(F.col("value").isNotNull(), F.struct(*[F.col(c) for c in order]))
     latest = exploded.groupBy("row_key", "cell").agg(F.max_by("value", newest).alias("value"))
     return latest.groupBy("row_key").agg(
@@ -143,7 +144,11 @@ def read_kv(spark: SparkSession, path: str) -> DataFrame:
     cells = _kv_cells(spark, path)
     if cells is None:
         return spark.createDataFrame([], KV_SCHEMA)
-    latest = _newest_cells(cells)
+    # Both aggregates below group by row_key first, so one shuffle on row_key
+    # serves them (without it Spark shuffles on (row_key, cell), then again on
+    # row_key).  A row key is one (symbol, window): no key is hot, and a cell
+    # has only a few versions, so a map-side combine would save little.
+    latest = _newest_cells(cells.repartition("row_key"))
     return latest.groupBy("row_key").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "value")))).alias("cells")
     )

@@ -41,10 +41,21 @@ ROWS_PER_FILE = 2_000_000
 
 
 def sized(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Coalesce a (persisted) micro-batch result to ~``rows_per_file`` per file."""
+    """A (persisted) micro-batch result cut into files of ~``rows_per_file`` rows.
+
+    When the file count still fills the cluster's cores, partitions are merged
+    without a shuffle (``coalesce``).  Below that, ``coalesce`` would also run
+    the writers' per-row work (cell formatting, sorting, encoding) in that few
+    tasks, so the rows are shuffled to the file count instead and that work
+    stays spread over every core.
+    """
     n = df.count()
     files = max(1, -(-n // rows_per_file))
-    return df.coalesce(files) if files < df.rdd.getNumPartitions() else df
+    if files >= df.rdd.getNumPartitions():
+        return df
+    if files >= df.sparkSession.sparkContext.defaultParallelism:
+        return df.coalesce(files)
+    return df.repartition(files)
 
 
 def start_query(
