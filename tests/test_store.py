@@ -80,3 +80,24 @@ def test_fully_compacted_read_needs_no_shuffle(spark):
     after = latest_by_key(spark, path, keys)
     assert _table(after) == before
     assert "Exchange" not in after._jdf.queryExecution().executedPlan().toString()
+
+
+def test_since_prunes_before_the_merge_without_changing_answers(spark):
+    path = scratch_path(spark, "store")
+    keys = ["symbol", "window_start"]
+    schema = "symbol string, window_start timestamp_ntz, avg_price double, updated_at timestamp_ntz"
+    h = dt.timedelta(hours=1)
+    # A: old version before the bound, newer after it.  B: only before.  C: only after.
+    upsert(spark.createDataFrame([("A", T, 1.0, T), ("B", T, 2.0, T)], schema), path, 0)
+    upsert(spark.createDataFrame([("A", T, 5.0, T + 2 * h), ("C", T, 7.0, T + 3 * h)], schema), path, 1)
+    since = (T + h).strftime("%Y-%m-%d %H:%M:%S")
+    full = latest_by_key(spark, path, keys)
+    pruned = latest_by_key(spark, path, keys, since=since)
+    expect = sorted(tuple(r) for r in full.where(f"updated_at >= '{since}'").collect())
+    assert sorted(tuple(r) for r in pruned.collect()) == expect
+    assert [(r[0], r[2]) for r in expect] == [("A", 5.0), ("C", 7.0)]
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(updated_at" in plan  # reaches the parquet scan
+    # A compacted table is filtered as a plain scan.
+    compact(spark, path, keys, keep_latest=0)
+    assert sorted(tuple(r) for r in latest_by_key(spark, path, keys, since=since).collect()) == expect
