@@ -24,6 +24,7 @@ from tickflow.operators.store import latest_by_key  # noqa: E402
 from tickflow.operators.windows import moving_average, window_stats  # noqa: E402
 from tickflow.plans import registry as B  # noqa: E402
 from tickflow.operators.store import upsert  # noqa: E402
+from tickflow.operators.views import put_views, read_latest, read_newest  # noqa: E402
 from tickflow.plans import registry_reports as RR  # noqa: E402
 from tickflow.plans import reports as R  # noqa: E402
 from tickflow.plans.registry_reports import KV_SPARK  # noqa: E402
@@ -76,7 +77,10 @@ def _stored_tables(spark: SparkSession, sf_dir: str, since=None) -> dict:
             ("moving_avg", RR.stored_moving_avg, MOVING_AVG_KEYS),
             ("anomalies", RR.stored_anomalies, ANOMALY_KEYS),
         ]:
-            upsert(build(spark, sf_dir), f"{root}/{name}", 0)
+            table = build(spark, sf_dir).persist()
+            upsert(table, f"{root}/{name}", 0)
+            put_views(table, f"{root}/{name}/views", 0)
+            table.unpersist()
         _STORED[sf_dir] = root
     root = _STORED[sf_dir]
     return {
@@ -90,17 +94,21 @@ def all_reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The 17 panel queries over the stored tables (the dashboard's read path).
 
     Panels with a time range read the tables with the range start pushed
-    below the merge; "latest" panels read every key."""
+    below the merge; "latest" panels read the incremental views; the symbol
+    list reads every key."""
     t = _stored_tables(spark, sf_dir)
     r = _stored_tables(spark, sf_dir, since=RR.RANGE_START)
-    w, a = t["windowed"], t["anomalies"]
+    root = _STORED[sf_dir]
+    lw, la = read_latest(spark, f"{root}/windowed/views"), read_latest(spark, f"{root}/anomalies/views")
+    nw = read_newest(spark, f"{root}/windowed/views")
+    w = t["windowed"]
     rw, rm, ra = r["windowed"], r["moving_avg"], r["anomalies"]
     rng = (RR.RANGE_START, RR.RANGE_END)
     return [
-        R.latest_avg_price(w), R.latest_total_volume(w), R.anomaly_count(ra, *rng), R.latest_range_pct(a),
-        R.rows_written(rw, *rng), R.freshness_seconds(w, RR.AS_OF), R.series(rw, "avg_price", *rng),
+        R.latest_avg_price(lw), R.latest_total_volume(lw), R.anomaly_count(ra, *rng), R.latest_range_pct(la),
+        R.rows_written(rw, *rng), R.freshness_seconds(lw, RR.AS_OF), R.series(rw, "avg_price", *rng),
         R.price_band(rw, *rng), R.series(rm, "moving_avg_price", *rng), R.series(rw, "total_volume", *rng),
-        R.series(ra, "price_range_pct", *rng), R.anomaly_counts_by_minute(ra, *rng), R.latest_rows(w, 50),
+        R.series(ra, "price_range_pct", *rng), R.anomaly_counts_by_minute(ra, *rng), R.latest_rows(nw, 50),
         R.symbol_summary(rw, *rng), R.anomaly_log(ra, *rng, n=100), R.symbols(w),
         R.series_legend(R.series(rw, "avg_price", *rng)),
     ]

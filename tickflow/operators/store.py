@@ -104,11 +104,18 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return out
 
 
-def latest_rows(log: DataFrame, keys: Sequence[str], keep_batch: bool = False) -> DataFrame:
-    """Per key, the row with the highest ``batch_id`` (partial ``max_by``, no window)."""
+def latest_rows(
+    log: DataFrame,
+    keys: Sequence[str],
+    keep_batch: bool = False,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Per key, the row with the highest ``(*order, batch_id)`` (partial
+    ``max_by``, no window); by default the row of the newest batch."""
     values = [c for c in log.columns if c not in keys and c != BATCH_COL]
     packed = F.struct(*[F.col(c) for c in values], F.col(BATCH_COL))
-    out = log.groupBy(*keys).agg(F.max_by(packed, F.col(BATCH_COL)).alias("_row")).select(*keys, "_row.*")
+    rank = F.struct(*[F.col(c) for c in order], F.col(BATCH_COL)) if order else F.col(BATCH_COL)
+    out = log.groupBy(*keys).agg(F.max_by(packed, rank).alias("_row")).select(*keys, "_row.*")
     return out if keep_batch else out.drop(BATCH_COL)
 
 
@@ -129,8 +136,9 @@ def latest_by_key(
     keep_batch: bool = False,
     since=None,
     time_col: str = "updated_at",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """The current table: latest version of every key.
+    """The current table: latest version of every key (``order``: see ``latest_rows``).
 
     A fully compacted table (snapshot, no newer log partitions) is unique per
     key by construction and is returned as a plain scan, without the shuffle.
@@ -155,10 +163,17 @@ def latest_by_key(
     log = read_log(spark, path, schema)
     if log is None:
         raise FileNotFoundError(f"no stored table at {path}")
-    return latest_rows(since_filter(log, since, time_col), keys, keep_batch)
+    return latest_rows(since_filter(log, since, time_col), keys, keep_batch, order)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], keep_latest: int = 1) -> int | None:
+def compact(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    keep_latest: int = 1,
+    order: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> int | None:
     """Fold base + log into a new snapshot ``base/v=N``.
 
     N is the highest batch id except the newest ``keep_latest`` ones, which
@@ -166,8 +181,10 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], keep_latest: in
     restart, and that rewrite must land in a partition that is still read.
     The snapshot is written completely (``_SUCCESS``) before the old snapshot
     and the folded log partitions are deleted; readers ignore partial ones,
-    and reading a folded partition twice is harmless (``max_by``).  Returns
-    N, or the current snapshot version when there is nothing to fold.
+    and reading a folded partition twice is harmless (``max_by``).  ``order``
+    is passed to ``latest_rows``; ``finish`` may trim the folded rows (a view
+    keeping only its top n).  Returns N, or the current snapshot version when
+    there is nothing to fold.
     """
     versions = _base_versions(spark, path)
     batches = sorted(
@@ -182,9 +199,8 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], keep_latest: in
     top = max(newer)
     log = read_log(spark, path)
     target = f"{path}/base/v={top}"
-    latest_rows(log.where(F.col(BATCH_COL) <= F.lit(top)), keys, keep_batch=True).write.mode(
-        "overwrite"
-    ).parquet(target)
+    folded = latest_rows(log.where(F.col(BATCH_COL) <= F.lit(top)), keys, True, order)
+    (finish(folded) if finish else folded).write.mode("overwrite").parquet(target)
     for v in _base_versions(spark, path):
         if v < top:
             _delete(spark, f"{path}/base/v={v}")

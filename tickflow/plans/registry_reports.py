@@ -23,6 +23,7 @@ from tickflow.operators.kv import (
     to_kv_windowed,
 )
 from tickflow.operators.store import latest_by_key, upsert
+from tickflow.operators.views import put_views, read_latest, read_newest
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 from tickflow.plans import reports as R
 from tickflow.plans.registry import (
@@ -349,9 +350,13 @@ def stored_windowed_table(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "stored-windowed")
     t = trades(spark, sf_dir)
     split = F.lit(SPLIT).cast("timestamp_ntz")
-    upsert(window_stats(t.where(F.col("timestamp") < split), "1 hour", stamp=True), path, 0)
-    full = window_stats(t, "1 hour", stamp=True)
-    upsert(full.where(F.col("updated_at") >= split), path, 1)
+    batches = [
+        window_stats(t.where(F.col("timestamp") < split), "1 hour", stamp=True),
+        window_stats(t, "1 hour", stamp=True).where(F.col("updated_at") >= split),
+    ]
+    for batch_id, batch in enumerate(batches):
+        upsert(batch, path, batch_id)
+        put_views(batch, f"{path}/views", batch_id)
     return path
 
 
@@ -359,13 +364,30 @@ def _stored_w(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_key(spark, stored_windowed_table(spark, sf_dir), WINDOWED_KEYS, since=RANGE_START)
 
 
+def _latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_latest(spark, f"{stored_windowed_table(spark, sf_dir)}/views")
+
+
+def _newest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_newest(spark, f"{stored_windowed_table(spark, sf_dir)}/views")
+
+
 STORED_SPARK = {
     "stored_series_avg_price": lambda s, d: _round(R.series(_stored_w(s, d), "avg_price", *RANGE), ["value"]),
     "stored_symbol_summary": lambda s, d: R.symbol_summary(_stored_w(s, d), *RANGE),
+    # "Latest" panels answered from the incremental views, not the history.
+    "view_latest_avg_price": lambda s, d: _round(R.latest_avg_price(_latest_view(s, d)), ["avg_price"]),
+    "view_latest_total_volume": lambda s, d: R.latest_total_volume(_latest_view(s, d)),
+    "view_freshness_seconds": lambda s, d: R.freshness_seconds(_latest_view(s, d), AS_OF),
+    "view_latest_rows": lambda s, d: _round(R.latest_rows(_newest_view(s, d), 50), ["avg_price"]),
 }
 STORED_SQL = {
     "stored_series_avg_price": SQL["series_avg_price"],
     "stored_symbol_summary": SQL["symbol_summary"],
+    "view_latest_avg_price": SQL["latest_avg_price"],
+    "view_latest_total_volume": SQL["latest_total_volume"],
+    "view_freshness_seconds": SQL["freshness_seconds"],
+    "view_latest_rows": SQL["latest_rows"],
 }
 
 

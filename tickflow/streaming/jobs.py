@@ -10,6 +10,7 @@ folder, so a restarted driver or lost executors resume from the last commit.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tickflow.functions.time import ntz_from_ltz
 from tickflow.operators.enrich import dimension_side, enrich
 from tickflow.operators.kv import put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
 from tickflow.operators.store import _delete, upsert, upsert_dbapi
+from tickflow.operators.views import put_views
 from tickflow.operators.windows import (
     moving_average,
     moving_average_from_panes,
@@ -148,15 +150,24 @@ def as_stored(batch: DataFrame, stamp_now: bool = True) -> DataFrame:
     """
     out = batch
     if stamp_now and "updated_at" not in out.columns:
-        out = out.withColumn("updated_at", F.current_timestamp())
+        # One write time per batch, taken once on the driver, so every writer
+        # of the batch (the table and its views) stamps the same value.
+        out = out.withColumn("updated_at", F.lit(dt.datetime.now(dt.timezone.utc)))
     conv = {f.name: ntz_from_ltz(f.name) for f in out.schema.fields if isinstance(f.dataType, T.TimestampType)}
     return out.withColumns(conv) if conv else out
 
 
-def store_writer(path: str, columns: Sequence[str] | None = None) -> Writer:
+def store_writer(path: str, columns: Sequence[str] | None = None, views: bool = False) -> Writer:
+    """Upsert each batch into the keyed table at ``path``; with ``views``,
+    also add its candidates to the "latest" panel views in ``path/views``."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = sized(as_stored(batch))
-        upsert(out.select(*columns) if columns else out, path, batch_id)
+        stamped = as_stored(batch)
+        if columns:
+            stamped = stamped.select(*columns)
+        upsert(sized(stamped), path, batch_id)
+        if views:
+            put_views(stamped, f"{path}/views", batch_id)
 
     return write
 
@@ -236,6 +247,8 @@ TABLE_KEYS = {
     "anomalies": ["symbol", "window_start"],
 }
 _TO_KV = {"windowed": to_kv_windowed, "moving_avg": to_kv_moving_avg, "anomalies": to_kv_anomalies}
+# Tables read by "latest" panels (R1, R2, R4, R6, R13) keep incremental views.
+VIEW_TABLES = ("windowed", "anomalies")
 
 
 def start_tick_jobs(
@@ -262,7 +275,7 @@ def start_tick_jobs(
         if kv:
             writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=name))
         if stores:
-            writers.append(store_writer(f"{root}/{name}"))
+            writers.append(store_writer(f"{root}/{name}", views=name in VIEW_TABLES))
         if sql_connect is not None:
             table = (sql_tables or {}).get(name, name)
             writers.append(dbapi_writer(sql_connect, table, TABLE_KEYS[name], **(sql_options or {})))
@@ -408,7 +421,7 @@ def run_backfill(
             if kv:
                 writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=f"backfill_{name}"))
             if stores:
-                writers.append(store_writer(f"{root}/{name}"))
+                writers.append(store_writer(f"{root}/{name}", views=name in VIEW_TABLES))
             if name == "windowed" and meta is not None:
                 # The enrichment joins the same 30 s stats: computed once, reused.
                 writers.append(enriched_writer(meta, store_path=f"{root}/enriched", kv_path=f"{root}/kv_windowed"))
