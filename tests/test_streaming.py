@@ -46,8 +46,19 @@ def test_late_row_is_dropped(spark):
     assert all(not rows for _, rows in seen[2:])
 
 
-def test_replay_in_batches_equals_batch(spark):
-    trades, root = replay_events(spark, SF_SMALL, 5, ["symbol", "price", "quantity", "event_time"])
+def _events_bytes(spark):
+    import os
+
+    return os.path.getsize(f"{SF_SMALL}/events.parquet")
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 3])
+def test_replay_in_batches_equals_batch(spark, files_per_batch):
+    # file_bytes small enough that each micro-batch is several range files
+    file_bytes = -(-_events_bytes(spark) // (5 * files_per_batch))
+    trades, root = replay_events(
+        spark, SF_SMALL, 5, ["symbol", "price", "quantity", "event_time"], file_bytes=file_bytes
+    )
     batches = []
 
     def count(batch, batch_id):

@@ -19,12 +19,44 @@ from tickflow.sources.testdata import events_as_messages, load_table
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def stage_events(spark: SparkSession, sf_dir: str, n_files: int = 5, root: str | None = None) -> tuple[DataFrame, str]:
-    """Stage events as messages; return the raw ``value`` stream and its root."""
+# Bytes of input per replay file: the staging job writes one file per task,
+# so the input is cut into at least this many tasks whatever the batch count.
+REPLAY_FILE_BYTES = 128 << 20
+
+
+def files_per_batch(spark: SparkSession, df: DataFrame, n_batches: int, file_bytes: int = REPLAY_FILE_BYTES) -> int:
+    """Replay files per micro-batch, from the input files' size on disk."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return max(1, -(-total // (n_batches * file_bytes)))
+
+
+def stage_events(
+    spark: SparkSession,
+    sf_dir: str,
+    n_files: int = 5,
+    root: str | None = None,
+    file_bytes: int = REPLAY_FILE_BYTES,
+) -> tuple[DataFrame, str]:
+    """Stage events as messages in ``n_files`` time-ordered micro-batches;
+    return the raw ``value`` stream and its root.
+
+    Each micro-batch is several range files when the input is large (one
+    staging task per file), replayed ``maxFilesPerTrigger`` at a time: the
+    files' modification times rise with their time range, so any run of
+    consecutive files is a time-ordered slice.  Small inputs give one file
+    per batch.
+    """
     root = root or scratch_path(spark, "replay")
-    msgs = events_as_messages(load_table(spark, sf_dir, "events"), keep_ts=True)
-    stage_replay(msgs, f"{root}/in", n_files, "ts")
-    return read_file_trades(spark, f"{root}/in", max_files_per_trigger=1), root
+    events = load_table(spark, sf_dir, "events")
+    per_batch = files_per_batch(spark, events, n_files, file_bytes)
+    msgs = events_as_messages(events, keep_ts=True)
+    stage_replay(msgs, f"{root}/in", n_files * per_batch, "ts")
+    return read_file_trades(spark, f"{root}/in", max_files_per_trigger=per_batch), root
 
 
 def replay_events(
@@ -33,9 +65,10 @@ def replay_events(
     n_files: int = 5,
     fields: Sequence[str] | None = None,
     root: str | None = None,
+    file_bytes: int = REPLAY_FILE_BYTES,
 ) -> tuple[DataFrame, str]:
     """Stage events as messages; return the decoded trade stream and its root."""
-    stream, root = stage_events(spark, sf_dir, n_files, root)
+    stream, root = stage_events(spark, sf_dir, n_files, root, file_bytes)
     decoded = decode_trades(stream, fields=fields)
     return with_trade_time(decoded, time_from="event_time"), root
 
