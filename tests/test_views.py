@@ -77,3 +77,32 @@ def test_backfill_keeps_views_of_its_tables(spark):
     w = latest_by_key(spark, f"{root}/windowed", KEYS)
     newest = read_newest(spark, f"{root}/windowed/views")
     assert R.latest_rows(newest, 50).collect() == R.latest_rows(w, 50).collect()
+
+
+def test_compact_tables_keeps_every_read(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from tickflow.operators.kv import read_kv
+    from tickflow.plans.registry import dimension_fixture, trades
+    from tickflow.streaming.jobs import compact_tables, run_backfill
+
+    root = scratch_path(spark, "compact-all")
+    t = trades(spark, SF_SMALL)
+    run_backfill(t.where(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")), root, 0,
+                 meta=dimension_fixture(spark))
+    run_backfill(t, root, 1, meta=dimension_fixture(spark))
+
+    def snapshot():
+        return (
+            sorted(map(tuple, latest_by_key(spark, f"{root}/windowed", KEYS).drop("updated_at").collect())),
+            sorted(map(tuple, latest_by_key(spark, f"{root}/moving_avg", KEYS + ["window_end"]).drop("updated_at").collect())),
+            sorted(map(tuple, read_latest(spark, f"{root}/anomalies/views").drop("updated_at").collect())),
+            [tuple(r)[1:] for r in R.latest_rows(read_newest(spark, f"{root}/windowed/views"), 50).collect()],
+            sorted((r.row_key, sorted(r.cells.items())) for r in read_kv(spark, f"{root}/kv_windowed").collect()),
+        )
+
+    before = snapshot()
+    done = compact_tables(spark, root, keep_latest=0)
+    assert done["windowed"] == 1 and done["kv_windowed"] is not None
+    assert snapshot() == before

@@ -122,13 +122,24 @@ def _newest_cells(cells: DataFrame) -> DataFrame:
     ).select("row_key", "cell", "_c.*")
 
 
+def _log_has_batches(spark: SparkSession, path: str) -> bool:
+    """True when some writer still has a batch partition (a full compaction
+    leaves empty ``writer=W`` folders behind)."""
+    for wdir in _list_dirs(spark, f"{path}/log"):
+        if wdir.startswith(f"{WRITER_COL}=") and any(
+            n.startswith(f"{SEQ_COL}=") for n in _list_dirs(spark, f"{path}/log/{wdir}")
+        ):
+            return True
+    return False
+
+
 def _kv_cells(spark: SparkSession, path: str) -> DataFrame | None:
     """Every stored cell version: compacted base cells and exploded log puts."""
     parts = []
     base = _kv_base_versions(spark, path)
     if base:
         parts.append(spark.read.parquet(f"{path}/base/v={base[-1]}"))
-    if _list_dirs(spark, f"{path}/log"):
+    if _log_has_batches(spark, path):
         log = spark.read.parquet(f"{path}/log")
         parts.append(log.select("row_key", *KV_ORDER, F.explode("cells").alias("cell", "value")))
     if not parts:

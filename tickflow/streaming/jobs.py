@@ -20,9 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.time import ntz_from_ltz
 from tickflow.operators.enrich import dimension_side, enrich
-from tickflow.operators.kv import put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
-from tickflow.operators.store import _delete, upsert, upsert_dbapi
-from tickflow.operators.views import put_views
+from tickflow.operators.kv import compact_kv, put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
+from tickflow.operators.store import _delete, _exists, compact, upsert, upsert_dbapi
+from tickflow.operators.views import compact_views, put_views
 from tickflow.operators.windows import (
     moving_average,
     moving_average_from_panes,
@@ -432,3 +432,29 @@ def run_backfill(
                 out.unpersist()
     finally:
         _delete(spark, panes_path)
+
+
+# --- maintenance ---------------------------------------------------------------------------
+
+
+def compact_tables(spark: SparkSession, root: str, keep_latest: int = 1) -> dict[str, int | None]:
+    """Fold the per-batch logs of every table the jobs write under ``root``.
+
+    Run it from a separate batch job (say hourly): it may run beside the
+    streams, since it folds only batches up to a cut-off taken at its start
+    and keeps each writer's newest ``keep_latest`` batches in the log (a
+    restarted stream may re-run its last one).  Tables that do not exist are
+    skipped.  Returns the new snapshot version per table.
+    """
+    done: dict[str, int | None] = {}
+    for name, keys in {**TABLE_KEYS, "enriched": ["symbol", "window_start"]}.items():
+        path = f"{root}/{name}"
+        if _exists(spark, f"{path}/log"):
+            done[name] = compact(spark, path, keys, keep_latest)
+        if _exists(spark, f"{path}/views"):
+            compact_views(spark, f"{path}/views", keep_latest=keep_latest)
+    for name in TABLE_KEYS:
+        path = f"{root}/kv_{name}"
+        if _exists(spark, f"{path}/log"):
+            done[f"kv_{name}"] = compact_kv(spark, path, keep_latest)
+    return done
