@@ -425,11 +425,15 @@ def run_backfill(
             if name == "windowed" and meta is not None:
                 # The enrichment joins the same 30 s stats: computed once, reused.
                 writers.append(enriched_writer(meta, store_path=f"{root}/enriched", kv_path=f"{root}/kv_windowed"))
-            out = df.persist()
+            # The 30 s stats are a projection of the written panes: each writer
+            # re-reads them column-pruned, cheaper than caching them.  The
+            # other two follow a shuffle and are cached while their writers run.
+            out = df if name == "windowed" else df.persist()
             try:
                 fan_out(*writers)(out, batch_id)
             finally:
-                out.unpersist()
+                if out is not df:
+                    out.unpersist()
     finally:
         _delete(spark, panes_path)
 
