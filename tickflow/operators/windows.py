@@ -120,7 +120,7 @@ def moving_average(
         out = src.groupBy(F.window(time_col, width, slide).alias("window"), F.col("symbol")).agg(*aggs)
         return out.select(*_flat_window(cols))
 
-    panes = tick_panes(df, slide, time_col=time_col, stamp=stamp)
+    panes = tick_panes(df, slide, time_col=time_col, stamp=stamp, extremes=False)
     return moving_average_from_panes(panes, slide, width, slide)
 
 
@@ -199,16 +199,15 @@ def tick_panes(
     pane: str = "30 seconds",
     time_col: str = "timestamp",
     stamp: bool = False,
+    extremes: bool = True,
 ) -> DataFrame:
-    """One row per (symbol, pane start ``_pane``): ``_psum``, ``_pcnt``,
-    ``_pmin``, ``_pmax`` of price, ``_qsum`` of quantity (when the frame has
-    one) and, with ``stamp``, the latest tick time ``_last``."""
-    aggs = [
-        F.sum("price").alias("_psum"),
-        F.count("price").alias("_pcnt"),
-        F.min("price").alias("_pmin"),
-        F.max("price").alias("_pmax"),
-    ]
+    """One row per (symbol, pane start ``_pane``): ``_psum``, ``_pcnt`` and --
+    with ``extremes`` -- ``_pmin``, ``_pmax`` of price, ``_qsum`` of quantity
+    (when the frame has one) and, with ``stamp``, the latest tick time
+    ``_last``.  Sliding means need no extremes."""
+    aggs = [F.sum("price").alias("_psum"), F.count("price").alias("_pcnt")]
+    if extremes:
+        aggs += [F.min("price").alias("_pmin"), F.max("price").alias("_pmax")]
     if "quantity" in df.columns:
         aggs.append(F.sum("quantity").alias("_qsum"))
     if stamp:
