@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import exact, langid, mixing, packing, simhash
+from tickflow.llm import exact, langid, mixing, packing, simhash, substring
 from tickflow.llm.common import load
 
 
@@ -27,6 +27,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.remove_repeats(load(spark, sf_dir, "documents")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -38,5 +42,6 @@ def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame],
         "op3_exact_dedup": (op3_exact_dedup, exact.ORACLE),
         "op4_simhash": (op4_simhash, None),
         "op5_packing": (op5_packing, None),
+        "op8_substring": (op8_substring, None),
         "op10_mixing": (op10_mixing, mixing.ORACLE),
     }
