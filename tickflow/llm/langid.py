@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 PROFILE_GRAMS = 400
 UNKNOWN = "und"
+BLANK = 1
 SLICE = 1 << 18  # characters counted at a time
 MERGE = 1 << 20  # n-gram rows held per language before they are merged
 MOST_LANGUAGES = 10_000  # profiles are sent to every task
@@ -53,21 +54,22 @@ def _sum_counts(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def gram_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram codes (21 bits a character, blank 0) in rising order, and their counts."""
+    """Distinct n-gram codes (21 bits a character, a blank is 1) in rising order, and their counts."""
     lowered = (text or b"").decode("utf-8", "replace").lower()
     points = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32)
-    points = np.where(_letters()[points], points, 0).astype(np.uint64)
-    points = np.concatenate((np.zeros(1, np.uint64), points, np.zeros(1, np.uint64)))
-    points = points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
+    points = np.where(_letters()[points], points, BLANK).astype(np.uint64)
+    edge = np.full(1, BLANK, np.uint64)
+    points = np.concatenate((edge, points, edge))
+    points = points[np.concatenate(([True], (points[1:] != BLANK) | (points[:-1] != BLANK)))]
     parts = []
     bits = np.uint64(21)
     for at in range(0, max(0, len(points) - 1), SLICE):
         a = points[at : at + SLICE + 2]
         here = a[:SLICE]
         pairs = (a[:-1] << bits) | a[1:]
-        inner = a[1:-1] != 0
+        inner = a[1:-1] != BLANK
         triples = ((pairs[:-1] << bits) | a[2:])[inner]
-        codes = np.sort(np.concatenate((here[here != 0], pairs[:SLICE], triples)))
+        codes = np.sort(np.concatenate((here[here != BLANK], pairs[:SLICE], triples)))
         starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
         parts.append((codes[starts], np.diff(np.concatenate((starts, [len(codes)])))))
     if not parts:
