@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import exact, langid, mixing, packing, simhash, substring
+from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, simhash, substring
 from tickflow.llm.common import load
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = permutation.usable(load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return permutation.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(load(spark, sf_dir, "documents"))
 
@@ -27,6 +32,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(load(spark, sf_dir, "documents")))
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(load(spark, sf_dir, "documents")))
 
@@ -38,10 +47,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """name -> (Spark callable, DuckDB oracle text or None)."""
     return {
+        "op1_permutation_index": (op1_permutation_index, None),
         "op2_language_id": (op2_language_id, None),
         "op3_exact_dedup": (op3_exact_dedup, exact.ORACLE),
         "op4_simhash": (op4_simhash, None),
         "op5_packing": (op5_packing, None),
+        "op6_licenses": (op6_licenses, None),
         "op8_substring": (op8_substring, None),
         "op10_mixing": (op10_mixing, mixing.ORACLE),
     }
