@@ -1,0 +1,67 @@
+import random
+import re
+
+from helpers import awkward_rows, documents
+from pyspark.sql import functions as F
+
+from tickflow.llm import secrets
+from tickflow.llm.common import load
+from tickflow.llm.secrets import candidates, features, scan, score, seed_labels, train
+
+CANDIDATE = re.compile(secrets.CANDIDATE)
+
+
+def _token(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def planted(seed=3, n=60):
+    rng = random.Random(seed)
+    hexes, wide = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, secret = [], {}
+    for i in range(n):
+        key, card = "AKIA" + _token(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 15) + "7", _token(rng, "0123456789", 16)
+        word, digest = _token(rng, wide, 23) + "9", "7" + _token(rng, hexes, 39)
+        rows.append((i, f'id {key} card {card}, set token = "{word}" and sha1 {digest}.\nsee https://host/users-list-page-{card} too'))
+        secret[i] = {key, word}
+    return rows, secret
+
+
+def test_candidates_match_the_expression(spark):
+    rows = [*awkward_rows(), *((5000 + i, t) for i, t in planted(n=5)[0]), (6000, "é1234567890123456é " * 3)]
+    got = sorted((r.doc_id, r.start, r.stop, r.match) for r in candidates(documents(spark, rows)).collect() if r.doc_id is not None)
+    want = sorted((i, m.start(), m.end(), m[0]) for i, t, *_ in rows if i is not None for m in CANDIDATE.finditer(t or ""))
+    assert got == want and got
+
+
+def test_planted_secrets_are_found_and_others_left(spark):
+    rows, secret = planted()
+    out = scan(documents(spark, rows)).collect()
+    assert all(0 <= r.score <= 1 for r in out)
+    kept = {(r.doc_id, r.match) for r in out if r.is_secret}
+    want = {(i, s) for i, found in secret.items() for s in found}
+    assert len(kept & want) >= 0.97 * len(want) and len(kept - want) <= 0.03 * len(want)
+
+
+def test_held_out_accuracy(spark):
+    docs = load(spark, "/root/testdata/sf0.1", "documents")
+    labelled = features(seed_labels(candidates(docs))).filter("label IS NOT NULL")
+    fold = F.pmod(F.xxhash64("match"), F.lit(3))
+    model = train(labelled.filter(fold != 1))
+    held = labelled.filter(fold == 1).withColumn("want", F.col("label")).drop("label").withColumn("label", F.lit(None).cast("double"))
+    got = score(held, model).join(held.select("doc_id", "start", "want"), ["doc_id", "start"])
+    right, total = got.select(F.sum((F.col("is_secret") == (F.col("want") == 1.0)).cast("int")), F.count(F.lit(1))).first()
+    assert total > 50 and right / total > 0.97
+
+
+def test_features_are_native_and_awkward_rows_pass(spark):
+    docs = documents(spark, awkward_rows())
+    plan = features(seed_labels(candidates(docs)))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Exchange", plan)
+    assert {r.score for r in scan(docs).collect()} <= {0.0, 0.5, 1.0}
+    assert scan(documents(spark, [])).count() == 0
+
+
+def test_one_label_only(spark):
+    out = scan(documents(spark, [(1, "card 4553023315272950 and 0f1e2d3c4b5a69788796a5b4c3d2e1f0")])).collect()
+    assert sorted(r.score for r in out) == [0.0, 0.5]

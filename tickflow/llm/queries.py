@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, simhash, substring
+from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, secrets, simhash, substring
 from tickflow.llm.common import load
 
 
@@ -40,6 +40,11 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(load(spark, sf_dir, "documents")))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "stop", "rule", "score", "is_secret")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -54,5 +59,6 @@ def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame],
         "op5_packing": (op5_packing, None),
         "op6_licenses": (op6_licenses, None),
         "op8_substring": (op8_substring, None),
+        "op9_secrets": (op9_secrets, None),
         "op10_mixing": (op10_mixing, mixing.ORACLE),
     }
