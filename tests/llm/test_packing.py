@@ -23,8 +23,8 @@ def model():
     return Tokenizer.from_file(PATH)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.characters(codec="utf-8"), max_size=60) | st.text(alphabet="aAé'́ \t\n  \x1c\x85st0-<|endoftext|>İΣ", max_size=40))
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=[chr(c) for c in range(0x20, 0x250)], max_size=30) | st.text(alphabet=st.characters(codec="utf-8"), max_size=60) | st.text(alphabet="aAé'́ \t\n  \x1c\x85st0-<|endoftext|>İΣ.,!$H̱", max_size=40))
 def test_word_ids_equal_text_ids(text):
     want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
     assert np.frombuffer(packing.WordIds.of(PATH).ids(text.encode()), "<u4").tolist() == want
@@ -52,7 +52,8 @@ def test_tree_is_first_fit(lengths):
 @pytest.mark.parametrize("group_docs", [8192, 5])
 def test_round_trip(spark, monkeypatch, group_docs):
     monkeypatch.setattr(packing, "GROUP_DOCS", group_docs)
-    monkeypatch.setattr(packing, "CACHE_WORDS", 500)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 500)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 300)
     rows = [r for r in awkward_rows() if r[0] is not None]
     rows = [(i, r[1]) for i, r in enumerate(rows)]
     out = packing.pack(documents(spark, rows), PATH, keep_ids=True).collect()

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +29,40 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_DOCS = 8192
-CACHE_WORDS = 700_000
+CACHED_WORDS, CACHED_PARTS = 400_000, 1_000_000
+CLOSING = b".,;:!?$%&*#"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# The byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes for 256 and up.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = sorted(set(range(256)).difference(_PRINTABLE))
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+
+
+def _plain_letters(part: bytes) -> str | None:
+    """A word of lower-case Latin letters in the byte-level alphabet, which the merges take as it is."""
+    if part.isalpha() and part.islower():
+        return part.decode()
+    text = part.decode("utf-8", "replace")
+    if text.isalpha() and text == text.lower() and max(text) < "\u0250" and is_normalized("NFC", text):
+        return part.decode("latin-1").translate(_BYTE_LETTERS)
+    return None
+
+
+def _little_endian(ids: list[int]) -> bytes:
+    return np.asarray(ids, "<u4").tobytes()
+
+
 class WordIds:
     """Token ids (little-endian uint32 bytes) of white-space separated words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in turn.  Words seen before come from a bounded
-    cache; new ones of a batch of texts are encoded together.
+    are those of its words in turn.  It also splits a word between a letter and
+    closing punctuation and folds case, so a new word is looked up as its
+    lower-case stem and its closing marks; only stems never seen are encoded.
+    Both tables are bounded and emptied when full.
     """
 
     loaded: dict[str, "WordIds"] = {}
@@ -47,7 +71,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -58,14 +83,39 @@ class WordIds:
 
     def ids(self, text: bytes) -> bytes:
         words = text.split()
-        new = list(set(words).difference(self.cache))
+        new = set(words).difference(self.words)
         if new:
-            if len(self.cache) + len(new) > CACHE_WORDS:
-                self.cache.clear()
-                new = list(set(words))
-            coded = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            self.cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, coded))
-        return b"".join(map(self.cache.__getitem__, words))
+            if len(self.words) + len(new) > CACHED_WORDS:
+                self.words.clear()
+                new = set(words)
+            self._learn(new)
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, new: set[bytes]) -> None:
+        split = []
+        for word in new:
+            stem = word.rstrip(CLOSING)
+            if len(stem) == len(word) or not stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha():
+                stem = word
+            tail = word[len(stem) :]
+            # Beyond ASCII, case folding and composition may not commute.
+            split.append((word, stem.lower() if stem.isascii() else stem, tail))
+        unseen = {part for _, *parts in split for part in parts}.difference(self.parts)
+        if unseen:
+            if len(self.parts) + len(unseen) > CACHED_PARTS:
+                self.parts = {b"": b""}
+                unseen = {part for _, *parts in split for part in parts if part}
+            whole = []
+            for part in unseen:
+                letters = _plain_letters(part)
+                if letters is None:
+                    whole.append(part)
+                else:
+                    self.parts[part] = _little_endian([t.id for t in self.model.model.tokenize(letters)])
+            coded = self.model.encode_batch_fast([p.decode("utf-8", "replace") for p in whole], add_special_tokens=False)
+            self.parts.update((p, _little_endian(e.ids)) for p, e in zip(whole, coded))
+        parts = self.parts
+        self.words.update((w, parts[stem] + parts[tail]) for w, stem, tail in split)
 
 
 def tokenize(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, keep_ids: bool = False) -> DataFrame:
