@@ -1,7 +1,9 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tickflow.operators.kv import (
-    SEQ_COL,
+    cells_of,
     decode_kv_anomalies,
     merge_cells,
     put_kv,
@@ -17,20 +19,21 @@ T = dt.datetime(2024, 1, 1, 12, 0, 30)
 
 
 def _puts(spark, rows):
-    return spark.createDataFrame(rows, f"row_key string, cells map<string,string>, {SEQ_COL} long")
+    return spark.createDataFrame([r[:2] for r in rows], "row_key string, cells map<string,string>")
 
 
 def test_cell_merge_union_later_wins(spark):
-    puts = _puts(spark, [
-        ("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0),
-        ("A_1", {"price:avg": "2.0", "price:status": "NORMAL"}, 1),
-    ])
-    cells = merge_cells(puts).first().cells
+    puts = [{"price:avg": "1.0", "volume:total": "5.0"}, {"price:avg": "2.0", "price:status": "NORMAL", "gone": None}]
+    first, second = (
+        cells_of(_puts(spark, [("A_1", p)])).withColumns({"version": F.lit(i).cast("long"), "writer": F.lit("w")})
+        for i, p in enumerate(puts)
+    )
+    cells = merge_cells(second.unionByName(first)).first().cells
     assert cells == {"price:avg": "2.0", "volume:total": "5.0", "price:status": "NORMAL"}
 
 
 def test_prefix_collision_and_exact(spark):
-    kv = _puts(spark, [("AB_1", {"x": "1"}, 0), ("ABC_1", {"x": "2"}, 0), ("B_1", {"x": "3"}, 0)]).drop(SEQ_COL)
+    kv = _puts(spark, [("AB_1", {"x": "1"}, 0), ("ABC_1", {"x": "2"}, 0), ("B_1", {"x": "3"}, 0)])
     assert [r.row_key for r in scan_prefix(kv, "AB").collect()] == ["ABC_1", "AB_1"]
     assert [r.row_key for r in scan_prefix(kv, "AB", exact=True).collect()] == ["AB_1"]
 
@@ -49,7 +52,7 @@ def test_row_key_and_cell_text(spark):
 
 
 def test_decode_defaults(spark):
-    kv = _puts(spark, [("A_2024-01-01 00:00:00", {"price:avg": "1.5"}, 0)]).drop(SEQ_COL)
+    kv = _puts(spark, [("A_2024-01-01 00:00:00", {"price:avg": "1.5"}, 0)])
     r = decode_kv_anomalies(kv, "A").first()
     assert r.window == "2024-01-01 00:00:00" and r.avg_price == 1.5 and r.max_price == 0.0
     assert r.is_anomaly == "False"
@@ -59,8 +62,8 @@ def test_put_read_scan_roundtrip_and_reports(spark):
     path = scratch_path(spark, "kv")
     rows = [(f"A_2024-01-01 00:00:{i:02d}", {"price:avg": str(float(i)), "alert:is_anomaly": "True" if i % 2 else "False"}, 0)
             for i in range(30)]
-    put_kv(_puts(spark, rows).drop(SEQ_COL), path, 0)
-    put_kv(_puts(spark, [("A_2024-01-01 00:00:00", {"price:avg": "99.0"}, 0)]).drop(SEQ_COL), path, 1)
+    put_kv(_puts(spark, rows), path, 0)
+    put_kv(_puts(spark, [("A_2024-01-01 00:00:00", {"price:avg": "99.0"}, 0)]), path, 1)
     kv = read_kv(spark, path)
     scan = scan_prefix(kv, "A")
     keys = [r.row_key for r in scan.collect()]
@@ -78,7 +81,7 @@ def test_scan_moving_avg_first_per_window(spark):
     kv = _puts(spark, [
         ("A_2024-01-01 00:00:00_2024-01-01 00:02:00", {"price:moving_avg": "1.0"}, 0),
         ("A_2024-01-01 00:00:30_2024-01-01 00:02:30", {"price:moving_avg": "2.0"}, 0),
-    ]).drop(SEQ_COL)
+    ])
     out = R.scan_moving_avg(kv, "A").collect()
     assert [(r.window, r.moving_avg_price) for r in out] == [
         ("2024-01-01 00:00:00_2024-01-01 00:02:00", 1.0),
@@ -88,22 +91,23 @@ def test_scan_moving_avg_first_per_window(spark):
 
 def test_two_writers_same_batch_id_do_not_clobber(spark):
     path = scratch_path(spark, "kv")
-    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]).drop(SEQ_COL), path, 0, "windowed")
-    put_kv(_puts(spark, [("A_1", {"price:avg": "2.0", "price:status": "NORMAL"}, 0)]).drop(SEQ_COL), path, 0, "enriched")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]), path, 0, "windowed")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "2.0", "price:status": "NORMAL"}, 0)]), path, 0, "enriched")
     # retry of the first writer's batch 0 rewrites only its own puts (and is now the newest)
-    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]).drop(SEQ_COL), path, 0, "windowed")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "1.0", "volume:total": "5.0"}, 0)]), path, 0, "windowed")
     cells = read_kv(spark, path).first().cells
     assert cells == {"price:avg": "1.0", "volume:total": "5.0", "price:status": "NORMAL"}
 
 
 def test_read_metadata_csv(spark):
+    from tickflow.plans.registry import DIMENSION_FIXTURE
     from tickflow.sources.files import metadata_frame, read_metadata, write_metadata
 
-    path = scratch_path(spark, "meta") + "/coins"
-    write_metadata(metadata_frame(spark), path)
+    path = scratch_path(spark, "meta") + "/dimension"
+    write_metadata(metadata_frame(spark, DIMENSION_FIXTURE), path)
     meta = read_metadata(spark, path)
-    rows = {r.symbol: r for r in meta.collect()}
-    assert len(rows) == 5 and rows["BTCUSD"].launched_year == 2009 and rows["ETHUSD"].country_of_origin == "Canada"
+    assert sorted(map(tuple, meta.collect())) == sorted(DIMENSION_FIXTURE)
+    assert dict(meta.dtypes)["launched_year"] == "int"
 
 
 def test_compact_kv_keeps_merge_semantics(spark):
@@ -111,14 +115,14 @@ def test_compact_kv_keeps_merge_semantics(spark):
 
     path = scratch_path(spark, "kv")
     for seq in range(3):
-        put_kv(_puts(spark, [("A_1", {"price:avg": str(float(seq)), f"c{seq}": "x"}, 0)]).drop(SEQ_COL),
+        put_kv(_puts(spark, [("A_1", {"price:avg": str(float(seq)), f"c{seq}": "x"}, 0)]),
                path, seq, "windowed")
-    put_kv(_puts(spark, [("A_1", {"price:status": "NORMAL"}, 0), ("B_1", {"price:avg": "7.0"}, 0)]).drop(SEQ_COL),
+    put_kv(_puts(spark, [("A_1", {"price:status": "NORMAL"}, 0), ("B_1", {"price:avg": "7.0"}, 0)]),
            path, 0, "enriched")
     before = {r.row_key: r.cells for r in read_kv(spark, path).collect()}
     assert compact_kv(spark, path) == 1  # folds windowed 0-1; keeps windowed 2 and enriched 0
     assert {r.row_key: r.cells for r in read_kv(spark, path).collect()} == before
-    put_kv(_puts(spark, [("A_1", {"price:avg": "9.0"}, 0)]).drop(SEQ_COL), path, 3, "windowed")
+    put_kv(_puts(spark, [("A_1", {"price:avg": "9.0"}, 0)]), path, 3, "windowed")
     assert compact_kv(spark, path) == 2
     after = {r.row_key: r.cells for r in read_kv(spark, path).collect()}
     assert after["A_1"]["price:avg"] == "9.0" and after["A_1"]["c0"] == "x" and after["A_1"]["price:status"] == "NORMAL"

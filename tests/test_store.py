@@ -1,6 +1,7 @@
 import datetime as dt
 import sqlite3
 
+from tickflow.operators import store
 from tickflow.operators.store import compact, latest_by_key, read_log, upsert, upsert_dbapi
 from tickflow.session import scratch_path
 
@@ -35,14 +36,14 @@ def test_compact_keeps_latest_and_later_batches_win(spark):
     for b, v in enumerate([1.0, 2.0, 3.0]):
         upsert(_rows(spark, [("A", T, v), ("B", T + dt.timedelta(hours=b), v)]), path, b)
     before = _table(latest_by_key(spark, path, keys))
-    assert compact(spark, path, keys, keep_latest=0) == 2
+    assert compact(spark, path, keys, keep_latest=0) == 1
     assert _table(latest_by_key(spark, path, keys)) == before
     assert read_log(spark, path).count() == 4  # snapshot only
     upsert(_rows(spark, [("A", T, 9.0)]), path, 3)
     after = dict(((s, w), v) for s, w, v in _table(latest_by_key(spark, path, keys)))
     assert after[("A", T)] == 9.0
-    assert compact(spark, path, keys, keep_latest=0) == 3
-    assert compact(spark, path, keys, keep_latest=0) == 3  # nothing new: no-op
+    assert compact(spark, path, keys, keep_latest=0) == 2
+    assert compact(spark, path, keys, keep_latest=0) == 2  # nothing new: no-op
 
 
 def test_upsert_dbapi_sqlite(spark, tmp_path):
@@ -101,3 +102,106 @@ def test_since_prunes_before_the_merge_without_changing_answers(spark):
     # A compacted table is filtered as a plain scan.
     compact(spark, path, keys, keep_latest=0)
     assert sorted(tuple(r) for r in latest_by_key(spark, path, keys, since=since).collect()) == expect
+
+
+KEYS = ["symbol", "window_start"]
+STAMPED = SCHEMA + ", updated_at timestamp_ntz"
+DAY = dt.timedelta(days=1)
+
+
+def _days(spark, path, days, value, batch, **kw):
+    upsert(_rows(spark, [(s, T + d * DAY, value) for d in days for s in "AB"]), path, batch, KEYS, **kw)
+
+
+def _files(spark, path):
+    return {f.rsplit("/base/", 1)[1] for f in latest_by_key(spark, path, KEYS).inputFiles()}
+
+
+def test_read_that_began_before_a_compaction_finds_every_row(spark):
+    path = scratch_path(spark, "store")
+    for b in range(4):
+        _days(spark, path, [b], float(b), b)
+    opened = latest_by_key(spark, path, KEYS)  # its files are listed now
+    before = _table(latest_by_key(spark, path, KEYS))
+    compact(spark, path, KEYS)
+    assert _table(opened) == before == _table(latest_by_key(spark, path, KEYS))
+    _days(spark, path, [4], 4.0, 4)
+    opened = latest_by_key(spark, path, KEYS)
+    before = _table(latest_by_key(spark, path, KEYS))
+    compact(spark, path, KEYS)  # deletes what the first compaction had replaced, nothing that is still read
+    assert _table(opened) == before == _table(latest_by_key(spark, path, KEYS))
+
+
+def test_a_half_written_batch_is_not_read(spark):
+    path = scratch_path(spark, "store")
+    _days(spark, path, [0], 1.0, 0)
+    # Another batch's folder without the success mark, as during its write.
+    spark.createDataFrame([(1,)], "other int").write.parquet(f"{path}/log/stream/0/1/99")
+    store._delete(spark, f"{path}/log/stream/0/1/99/_SUCCESS")
+    assert latest_by_key(spark, path, KEYS).count() == 2
+
+
+def test_first_read_needs_no_files_with_a_schema(spark):
+    from pyspark.sql import types as types
+
+    schema = types.StructType.fromDDL(SCHEMA)
+    assert latest_by_key(spark, scratch_path(spark, "none"), KEYS, schema=schema).count() == 0
+
+
+def test_compaction_rewrites_only_touched_days(spark):
+    path = scratch_path(spark, "store")
+    _days(spark, path, range(5), 1.0, 0)
+    compact(spark, path, KEYS, keep_latest=0)
+    old = _files(spark, path)
+    _days(spark, path, [4, 5], 2.0, 1)
+    compact(spark, path, KEYS, keep_latest=0)
+    new = _files(spark, path)
+    assert {f for f in old if "2024-01-05" not in f} == {f for f in new if f.startswith("1/")}
+    assert {f.split("/")[1] for f in new if f.startswith("2/")} == {"part_=d2024-01-05", "part_=d2024-01-06"}
+    assert [v for _, w, v in _table(latest_by_key(spark, path, KEYS)) if w >= T + 4 * DAY] == [2.0] * 4
+
+
+def test_last_hour_reads_only_the_last_day_after_compaction(spark):
+    path = scratch_path(spark, "store")
+    for b in range(6):
+        rows = [(s, T + b * DAY, 1.0, T + b * DAY) for s in "AB"]
+        upsert(spark.createDataFrame(rows, STAMPED), path, b)
+    compact(spark, path, KEYS, keep_latest=0)
+    plan = latest_by_key(spark, path, KEYS, since="2024-01-05 23:30:00")
+    assert plan.count() == 2 and "GreaterThanOrEqual(updated_at" in plan._jdf.queryExecution().executedPlan().toString()
+    touched = [f for f in plan.inputFiles() if spark.read.parquet(f).where("updated_at >= '2024-01-05 23:30:00'").count()]
+    assert len(touched) == 1 and "part_=d2024-01-06" in touched[0]
+
+
+def test_table_since_and_view_agree_on_the_current_version(spark):
+    from tickflow.operators.views import put_views, read_latest
+
+    path = scratch_path(spark, "store")
+    for batch_id, (value, minute) in ((7, (1.0, 30)), (2, (5.0, 10))):  # a lower id written later, with an older stamp
+        rows = spark.createDataFrame([("A", T, value, T + dt.timedelta(minutes=minute))], STAMPED)
+        upsert(rows, path, batch_id, writer=f"w{batch_id}")
+        put_views(rows, f"{path}/views", batch_id, writer=f"w{batch_id}")
+    table = latest_by_key(spark, path, KEYS).first().avg_price
+    since = latest_by_key(spark, path, KEYS, since="2024-01-01 00:20:00").first().avg_price
+    assert table == since == read_latest(spark, f"{path}/views").first().avg_price == 1.0
+
+
+def test_dbapi_connections_are_bounded(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def connect(folder=seen):
+        import os
+        import sqlite3 as s
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        con = s.connect(":memory:")
+        con.execute("CREATE TABLE w (symbol TEXT PRIMARY KEY, v REAL)")
+        return con
+
+    def send(cursor, sql, rows):
+        cursor.executemany(sql, rows)
+
+    df = spark.createDataFrame([(f"s{i}", 1.0) for i in range(64)], "symbol string, v double").repartition(16)
+    upsert_dbapi(df, connect, "w", ["symbol"], touch=None, max_connections=3, send=send)
+    assert 1 <= len(list(tmp_path.iterdir())) <= 3

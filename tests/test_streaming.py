@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tickflow.operators.store import latest_by_key
@@ -9,11 +10,13 @@ from tickflow.session import scratch_path
 from tickflow.sources.codec import decode_trades, encode_trades, with_trade_time
 from tickflow.sources.files import read_file_trades, stage_replay
 from tickflow.sources.kafka import kafka_sink_options, kafka_source_options, read_kafka_trades
-from tickflow.streaming.jobs import fan_out, start_console, start_query, store_writer
+from tickflow.streaming.jobs import checkpoint_id, fan_out, start_console, start_query, store_writer
 from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
 
 from conftest import SF_SMALL
 
+KEYS = ["symbol", "window_start"]
+
 
 def _stage(spark, rows, n_files):
     """rows: (seq, symbol, price, epoch_ms) -> staged files in seq order."""
@@ -65,7 +68,7 @@ def test_replay_in_batches_equals_batch(spark, files_per_batch):
         batches.append(batch_id)
 
     q = start_query(window_stats(trades, "1 hour", "1 minute"), "replay_test",
-                    fan_out(store_writer(f"{root}/w"), count), f"{root}/ckpt", trigger=AVAILABLE_NOW)
+                    fan_out(store_writer(f"{root}/w", KEYS), count), f"{root}/ckpt", trigger=AVAILABLE_NOW)
     run_until_done(q)
     assert len(batches) == 5
     streamed = latest_by_key(spark, f"{root}/w", ["symbol", "window_start"])
@@ -88,7 +91,7 @@ def test_writer_error_fails_the_query(spark):
         raise ValueError("sink down")
 
     q = start_query(window_stats(stream, "30 seconds"), "fail_test", boom, f"{path}/ckpt", trigger=AVAILABLE_NOW)
-    with pytest.raises(Exception):
+    with pytest.raises(StreamingQueryException, match="sink down"):
         run_until_done(q)
 
 
@@ -109,7 +112,7 @@ def test_kafka_options():
 
 def test_kafka_reader_needs_connector(spark):
     # The connector jar is not on this machine: building works, loading fails cleanly.
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException, match="kafka"):
         read_kafka_trades(spark, "localhost:9092", "trades")
 
 
@@ -166,13 +169,14 @@ def test_run_streams_returns_when_one_ends(spark):
 
 
 def test_console_default_checkpoint_is_shared_folder(spark):
+    from tickflow.operators.store import _glob
+    from tickflow.session import work_dir
+
     stream, path = _stage(spark, [(0, "A", 1.0, 1_700_000_000_000)], 1)
     q = start_console(window_stats(stream, "30 seconds"), "console_default", trigger=AVAILABLE_NOW)
     run_until_done(q)
-    from tickflow.session import work_dir
-
-    assert q.lastProgress is not None
-    assert work_dir(spark)  # checkpoint went under the shared folder, not a driver temp dir
+    (found,) = _glob(spark, f"{work_dir(spark)}/console-console_default-*/metadata")
+    assert checkpoint_id(spark, found.rsplit("/", 1)[0]) == str(q.id)
 
 
 def test_text_replay_source(spark):
@@ -239,7 +243,7 @@ def test_enrich_directly_on_the_stream(spark):
 
     trades, root = replay_events(spark, SF_SMALL, 2, ["symbol", "price", "quantity", "event_time"])
     enriched = enrich(window_stats(trades, "1 hour", watermark="1 minute"), dimension_fixture(spark))
-    q = start_query(enriched, "enrich_stream", store_writer(f"{root}/e"), f"{root}/ckpt", trigger=AVAILABLE_NOW)
+    q = start_query(enriched, "enrich_stream", store_writer(f"{root}/e", KEYS), f"{root}/ckpt", trigger=AVAILABLE_NOW)
     run_until_done(q)
     out = latest_by_key(spark, f"{root}/e", ["symbol", "window_start"])
     symbols = {r.symbol for r in out.select("symbol").distinct().collect()}
@@ -258,7 +262,7 @@ def test_restart_after_crash_between_write_and_commit(spark):
     overwrites its own partition and the table equals the batch answer."""
     trades, root = replay_events(spark, SF_SMALL, 4, ["symbol", "price", "quantity", "event_time"])
     agg = window_stats(trades, "1 hour", watermark="1 minute")
-    write = store_writer(f"{root}/w")
+    write = store_writer(f"{root}/w", KEYS)
     calls = []
 
     def crashing(batch, batch_id):
@@ -268,7 +272,7 @@ def test_restart_after_crash_between_write_and_commit(spark):
             raise RuntimeError("executor lost after the write")
 
     q = start_query(agg, "crash_once", crashing, f"{root}/ckpt", trigger=AVAILABLE_NOW)
-    with pytest.raises(Exception):
+    with pytest.raises(StreamingQueryException, match="executor lost after the write"):
         run_until_done(q)
     spark.streams.resetTerminated()
     q2 = start_query(agg, "crash_once", crashing, f"{root}/ckpt", trigger=AVAILABLE_NOW)
@@ -302,3 +306,114 @@ def test_backfill_writes_every_table_and_is_idempotent(spark):
     assert counts == again and counts["windowed"] == window_stats(t, "30 seconds").count()
     cells = {r.row_key.split("_")[0]: set(r.cells) for r in read_kv(spark, f"{root}/kv_windowed").collect()}
     assert "price:status" in cells["click"] and "price:status" not in cells["error"]
+
+
+def test_a_batch_is_counted_once_for_all_writers(spark, monkeypatch):
+    from tickflow.operators.kv import to_kv_windowed
+    from tickflow.streaming import jobs
+
+    counted = []
+    count = type(spark.range(1)).count
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda df: (counted.append(1), count(df))[1])
+    trades, root = replay_events(spark, SF_SMALL, 2, ["symbol", "price", "quantity", "event_time"])
+    writers = fan_out(jobs.kv_writer(f"{root}/kv", to_kv_windowed), store_writer(f"{root}/w", KEYS, views=True))
+    batches = []
+    q = start_query(window_stats(trades, "1 hour", "1 minute"), "count_once", fan_out(writers, lambda b, i: batches.append(i)),
+                    f"{root}/ckpt", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    assert len(counted) <= len(batches) + 1  # at most one batch more, an empty one
+
+
+def test_small_batch_writes_one_file_sorted_by_key(spark):
+    from tickflow.streaming.jobs import sized
+
+    df = spark.createDataFrame([(f"s{i % 7}", i) for i in range(500)], "symbol string, window_start int").repartition(8)
+    one = sized(df, ["symbol", "window_start"], rows=500)
+    assert one.rdd.getNumPartitions() == 1
+    rows = [tuple(r) for r in one.collect()]
+    assert rows == sorted(rows) and len(rows) == 500
+    assert sized(df, ["symbol"], rows=10**6).rdd.getNumPartitions() == 4
+
+
+def _ticks(spark, rows):
+    """(symbol, price, epoch second) -> batch trades."""
+    df = spark.createDataFrame([(s, p, 1.0, 1000 * t) for s, p, t in rows], "symbol string, price double, quantity double, event_time long")
+    return with_trade_time(df, "event_time", as_ntz=True)
+
+
+def _stream(spark, rows, root, checkpoint):
+    stream, _ = _stage(spark, [(i, s, p, 1000 * t) for i, (s, p, t) in enumerate(rows)], 1)
+    run_until_done(start_query(window_stats(stream, "30 seconds"), f"s_{checkpoint}", store_writer(f"{root}/windowed", KEYS, views=True),
+                               f"{root}/ckpt-{checkpoint}", trigger=AVAILABLE_NOW))
+
+
+def _prices(spark, root):
+    return sorted((r.symbol, r.avg_price) for r in latest_by_key(spark, f"{root}/windowed", KEYS).collect())
+
+
+T = 1_700_000_010
+
+
+def test_backfill_never_replaces_a_stream_batch(spark):
+    from tickflow.streaming.jobs import run_backfill
+
+    root = scratch_path(spark, "mix")
+    _stream(spark, [("A", 1.0, T), ("B", 2.0, T)], root, "a")
+    run_backfill(_ticks(spark, [("C", 3.0, T), ("D", 4.0, T)]), root, batch_id=0, kv=False)
+    assert _prices(spark, root) == [("A", 1.0), ("B", 2.0), ("C", 3.0), ("D", 4.0)]
+
+
+@pytest.mark.parametrize("keep_latest", [0, 1])
+def test_backfill_after_compaction_and_rerun(spark, keep_latest):
+    from tickflow.streaming.jobs import compact_tables, run_backfill
+
+    root = scratch_path(spark, "mix")
+    _stream(spark, [("A", 1.0, T), ("B", 2.0, T)], root, "a")
+    compact_tables(spark, root, keep_latest)
+    run_backfill(_ticks(spark, [("C", 3.0, T)]), root, batch_id=0, kv=False)
+    assert _prices(spark, root) == [("A", 1.0), ("B", 2.0), ("C", 3.0)]
+    run_backfill(_ticks(spark, [("D", 4.0, T)]), root, batch_id=0, kv=False)  # the same id replaces
+    assert _prices(spark, root) == [("A", 1.0), ("B", 2.0), ("D", 4.0)]
+
+
+def test_high_backfill_id_hides_no_later_stream_batch(spark):
+    from tickflow.streaming.jobs import compact_tables, run_backfill
+
+    root = scratch_path(spark, "mix")
+    run_backfill(_ticks(spark, [("A", 1.0, T), ("B", 2.0, T)]), root, batch_id=900, kv=False)
+    compact_tables(spark, root, keep_latest=0)
+    _stream(spark, [("A", 5.0, T), ("C", 3.0, T)], root, "a")
+    assert _prices(spark, root) == [("A", 5.0), ("B", 2.0), ("C", 3.0)]
+
+
+def test_new_checkpoint_adds_to_the_table(spark):
+    from tickflow.operators.views import read_latest
+    from tickflow.streaming.jobs import compact_tables
+
+    root = scratch_path(spark, "mix")
+    _stream(spark, [("A", 1.0, T), ("B", 2.0, T)], root, "a")
+    compact_tables(spark, root, keep_latest=0)
+    _stream(spark, [("A", 7.0, T), ("C", 3.0, T)], root, "b")
+    assert _prices(spark, root) == [("A", 7.0), ("B", 2.0), ("C", 3.0)]
+    assert sorted((r.symbol, r.avg_price) for r in read_latest(spark, f"{root}/windowed/views").collect()) == _prices(spark, root)
+
+
+def test_work_dir_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from tickflow.session import work_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session())

@@ -58,9 +58,9 @@ def test_views_equal_full_table_panels(spark, batches):
         put_views(df, f"{path}/views", b, n=N)
     table = latest_by_key(spark, path, KEYS)
     expect = _panels(table, table)
-    assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views")) == expect
-    compact_views(spark, f"{path}/views", n=N, keep_latest=0)
-    assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views")) == expect
+    assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views", N)) == expect
+    compact_views(spark, f"{path}/views", keep_latest=0)
+    assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views", N)) == expect
 
 
 def test_backfill_keeps_views_of_its_tables(spark):
@@ -106,3 +106,22 @@ def test_compact_tables_keeps_every_read(spark):
     done = compact_tables(spark, root, keep_latest=0)
     assert done["windowed"] == 1 and done["kv_windowed"] is not None
     assert snapshot() == before
+
+
+def test_newest_rows_of_a_subset_and_too_many(spark):
+    import pytest
+
+    path = scratch_path(spark, "views")
+    hour = dt.timedelta(hours=1)
+    rows = [(s, T0 + i * hour, T0 + (i + 1) * hour, 1.0, 1.0, 1.0, 1.0, T0 + i * hour + dt.timedelta(minutes=m))
+            for m, (s, n) in enumerate([("A", 40), ("B", 5), ("C", 8)]) for i in range(n)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    upsert(df, path, 0)
+    put_views(df, f"{path}/views", 0, n=6)
+    compact_views(spark, f"{path}/views", keep_latest=0)
+    table = latest_by_key(spark, path, KEYS)
+    for subset in (None, ["B", "C"], ["C"], ["Z"]):
+        newest = read_newest(spark, f"{path}/views", 6, subset)
+        assert R.latest_rows(newest, 6, subset).collect() == R.latest_rows(table, 6, subset).collect()
+    with pytest.raises(ValueError, match="keeps 6 rows"):
+        read_newest(spark, f"{path}/views", 7)

@@ -11,7 +11,6 @@ from tickflow.functions.prices import (
 from tickflow.functions.time import (
     epoch_ms_of_ntz,
     epoch_ntz,
-    ltz_from_ntz,
     ntz_from_epoch_ms,
     ntz_from_ltz,
 )
@@ -23,7 +22,6 @@ __all__ = [
     "flag_anomaly",
     "key_time",
     "label_status",
-    "ltz_from_ntz",
     "normalize_symbol",
     "ntz_from_epoch_ms",
     "ntz_from_ltz",

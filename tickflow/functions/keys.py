@@ -21,5 +21,6 @@ def key_time(col: Column | str) -> Column:
 
 
 def row_key(*parts: Column | str) -> Column:
-    """``symbol_start`` or ``symbol_start_end``: parts joined by ``_``."""
-    return F.concat_ws("_", *[F.col(p) if isinstance(p, str) else p for p in parts])
+    """``symbol_start`` or ``symbol_start_end``: parts joined by ``_``; a null part stays, as ``None``."""
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    return F.concat_ws("_", *[F.coalesce(c.cast("string"), F.lit("None")) for c in columns])

@@ -30,10 +30,5 @@ def ntz_from_ltz(ts: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), epoch_ntz())
 
 
-def ltz_from_ntz(ts: Column | str) -> Column:
-    """UTC wall clock ``timestamp_ntz`` -> ``timestamp`` (an instant)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts)))
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

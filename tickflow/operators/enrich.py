@@ -51,8 +51,3 @@ def enrich(
     )
     out = round_columns(out, ["avg_price", "min_price", "max_price", "total_volume"], price_digits)
     return out.select(*ENRICHED_COLUMNS)
-
-
-def enrich_batch(batch: DataFrame, meta: DataFrame, **kwargs) -> DataFrame:
-    """``enrich`` for one micro-batch, ordered by symbol and window start."""
-    return enrich(batch, meta, **kwargs).orderBy("symbol", "window_start")

@@ -1,13 +1,11 @@
 """Key-value (wide-column) view of the results, kept as parquet.
 
-A put is a row ``(row_key, cells map<"family:qualifier", string>)``.  Several
-streaming queries may put into one table (the windowed and the enriched jobs
-share theirs), so puts land in partition ``writer=W/batch_id=N``: a retried
-batch rewrites only its own partition (idempotent) and never another query's.
-Each put carries ``version`` = write time in microseconds, like a wide-column
-store's cell timestamp.  Reading merges cell by cell: every cell keeps the
-value of its newest put, and cells a later put did not touch survive.  Files
-are sorted by ``row_key`` so the parquet statistics prune a prefix scan.
+A put is a row ``(row_key, cells map<"family:qualifier", string>)``.  It is
+stored as one row per cell in a keyed table (``store``) with key (row_key,
+cell), so retries, several writers per table, versions and compaction work as
+for every other table: each cell keeps the value of its newest put, and cells
+a later put did not touch survive.  Files are sorted by ``row_key`` so the
+parquet statistics prune a prefix scan.
 """
 
 from __future__ import annotations
@@ -19,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.keys import key_time, row_key
-from tickflow.operators.store import BATCH_COL, _delete, _exists, _list_dirs
+from tickflow.operators.store import compact, latest_rows, read_log, upsert
 from tickflow.schema import (
     KV_ANOMALY_CELLS,
     KV_ENRICHED_CELLS,
@@ -27,9 +25,7 @@ from tickflow.schema import (
     KV_WINDOWED_CELLS,
 )
 
-SEQ_COL = BATCH_COL
-VERSION_COL = "version"
-WRITER_COL = "writer"
+CELL_KEYS = ["row_key", "cell"]
 KV_SCHEMA = T.StructType(
     [
         T.StructField("row_key", T.StringType(), True),
@@ -81,141 +77,56 @@ def to_kv_enriched(df: DataFrame) -> DataFrame:
     return to_kv(df, [F.col("symbol"), key_time("window_start")], KV_ENRICHED_CELLS, None)
 
 
-def put_kv(kv: DataFrame, path: str, seq: int, writer: str = "put") -> None:
-    """Write one batch of puts from ``writer`` (idempotent per writer and ``seq``)."""
-    out = (
-        kv.withColumn(VERSION_COL, F.unix_micros(F.current_timestamp()))
-        .withColumn(WRITER_COL, F.lit(writer))
-        .withColumn(SEQ_COL, F.lit(int(seq)).cast("long"))
-        .sortWithinPartitions("row_key")
-    )
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(WRITER_COL, SEQ_COL)
-        .parquet(f"{path}/log")
-    )
+def cells_of(kv: DataFrame) -> DataFrame:
+    """``(row_key, cell, value)`` rows; a null value is no cell."""
+    return kv.select("row_key", F.explode("cells").alias("cell", "value")).where(F.col("value").isNotNull())
 
 
-def merge_cells(puts: DataFrame, order: Sequence[str] = (SEQ_COL,)) -> DataFrame:
-    """Cell-level last-write-wins over puts ordered by the ``order`` columns.
+def put_kv(kv: DataFrame, path: str, seq: int, writer: str = "put", epoch: str | None = None) -> None:
+    """Write batch ``seq`` of puts from ``writer``; the same batch again replaces it."""
+    upsert(cells_of(kv), path, seq, sort_by=CELL_KEYS, writer=writer, epoch=epoch)
 
-    Two aggregates: newest value per (row_key, cell), then the cells of a
-    row back into a map (bounded by the number of distinct cell names).
-    """
-    # One shuffle on row_key serves both aggregates (see ``read_kv``).
-    exploded = puts.select("row_key", *order, F.explode("cells").alias("cell", "value")).repartition("row_key")
-    newest = F.when(F.col("value").isNotNull(), F.struct(*[F.col(c) for c in order]))
-    latest = exploded.groupBy("row_key", "cell").agg(F.max_by("value", newest).alias("value"))
-    return latest.groupBy("row_key").agg(
+
+def rows_of(cells: DataFrame) -> DataFrame:
+    """Merged cells back to one map per row (bounded by the number of cell names)."""
+    return cells.groupBy("row_key").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "value")))).alias("cells")
     )
 
 
-KV_ORDER = (VERSION_COL, WRITER_COL, SEQ_COL)
-
-
-def _newest_cells(cells: DataFrame) -> DataFrame:
-    newest = F.when(F.col("value").isNotNull(), F.struct(*[F.col(c) for c in KV_ORDER]))
-    return cells.groupBy("row_key", "cell").agg(
-        F.max_by(F.struct("value", *KV_ORDER), newest).alias("_c")
-    ).select("row_key", "cell", "_c.*")
-
-
-def _log_has_batches(spark: SparkSession, path: str) -> bool:
-    """True when some writer still has a batch partition (a full compaction
-    leaves empty ``writer=W`` folders behind)."""
-    for wdir in _list_dirs(spark, f"{path}/log"):
-        if wdir.startswith(f"{WRITER_COL}=") and any(
-            n.startswith(f"{SEQ_COL}=") for n in _list_dirs(spark, f"{path}/log/{wdir}")
-        ):
-            return True
-    return False
-
-
-def _kv_cells(spark: SparkSession, path: str) -> DataFrame | None:
-    """Every stored cell version: compacted base cells and exploded log puts."""
-    parts = []
-    base = _kv_base_versions(spark, path)
-    if base:
-        parts.append(spark.read.parquet(f"{path}/base/v={base[-1]}"))
-    if _log_has_batches(spark, path):
-        log = spark.read.parquet(f"{path}/log")
-        parts.append(log.select("row_key", *KV_ORDER, F.explode("cells").alias("cell", "value")))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def read_kv(spark: SparkSession, path: str) -> DataFrame:
-    """The merged key-value table at ``path`` (newest put per cell wins)."""
-    cells = _kv_cells(spark, path)
-    if cells is None:
-        return spark.createDataFrame([], KV_SCHEMA)
-    # Both aggregates below group by row_key first, so one shuffle on row_key
-    # serves them (without it Spark shuffles on (row_key, cell), then again on
-    # row_key).  A row key is one (symbol, window): no key is hot, and a cell
-    # has only a few versions, so a map-side combine would save little.
-    latest = _newest_cells(cells.repartition("row_key"))
-    return latest.groupBy("row_key").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "value")))).alias("cells")
-    )
+def merge_cells(versions: DataFrame) -> DataFrame:
+    """Cell-level last-write-wins over stored cell versions (the read side's merge).
+
+    ``versions``: row_key, cell, value, version, writer.  Partial aggregates run
+    before either shuffle, so a cell's many versions meet as one per task.
+    """
+    return rows_of(latest_rows(versions, CELL_KEYS))
 
 
-def _kv_base_versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(
-        int(name[2:])
-        for name in _list_dirs(spark, f"{path}/base")
-        if name.startswith("v=") and _exists(spark, f"{path}/base/{name}/_SUCCESS")
-    )
+def read_kv(
+    spark: SparkSession, path: str, prefix: str | None = None, limit: int | None = None, exact: bool = False
+) -> DataFrame:
+    """The merged key-value table at ``path`` (newest put per cell wins).
+
+    With ``prefix`` only row keys that start with it are read, and with
+    ``limit`` only the first ``limit`` of them: the keys are picked before
+    anything is merged.
+    """
+    versions = read_log(spark, path)
+    if versions is None:
+        return spark.createDataFrame([], KV_SCHEMA)
+    if prefix is not None:
+        versions = versions.where(F.col("row_key").startswith(prefix + "_" if exact else prefix))
+    if limit is not None:
+        first = versions.select("row_key").distinct().orderBy("row_key").limit(limit)
+        versions = versions.join(F.broadcast(first), "row_key", "left_semi")  # at most ``limit`` keys
+    return merge_cells(versions)
 
 
 def compact_kv(spark: SparkSession, path: str, keep_latest: int = 1) -> int | None:
-    """Fold the key-value log into a new base of newest cell versions.
-
-    Each writer's newest ``keep_latest`` batches stay in the log (a restarted
-    stream may re-run its last batch).  The base keeps every cell's own
-    version, so puts that arrive later -- from any writer -- still merge
-    correctly.  Old bases and folded partitions are deleted only after the new
-    base is complete; until then a reader may see a cell twice, which the
-    max-by-version merge absorbs.  Returns the new base version.
-    """
-    folded: list[tuple[str, int]] = []
-    cuts: dict[str, int] = {}
-    for wdir in _list_dirs(spark, f"{path}/log"):
-        if not wdir.startswith(f"{WRITER_COL}="):
-            continue
-        seqs = sorted(
-            int(n.split("=", 1)[1]) for n in _list_dirs(spark, f"{path}/log/{wdir}") if n.startswith(f"{SEQ_COL}=")
-        )
-        fold = seqs[: len(seqs) - keep_latest] if keep_latest > 0 else seqs
-        if fold:
-            cuts[wdir.split("=", 1)[1]] = fold[-1]
-            folded += [(wdir, s) for s in fold]
-    old = _kv_base_versions(spark, path)
-    if not folded:
-        return old[-1] if old else None
-    # One scan of the log; the per-writer cut-off prunes partitions.
-    cond = None
-    for w, cut in cuts.items():
-        c = (F.col(WRITER_COL) == F.lit(w)) & (F.col(SEQ_COL) <= F.lit(cut))
-        cond = c if cond is None else (cond | c)
-    log = spark.read.parquet(f"{path}/log").where(cond)
-    cells = log.select("row_key", *KV_ORDER, F.explode("cells").alias("cell", "value"))
-    if old:
-        cells = spark.read.parquet(f"{path}/base/v={old[-1]}").unionByName(cells)
-    version = (old[-1] + 1) if old else 1
-    _newest_cells(cells).select("row_key", *KV_ORDER, "cell", "value").write.mode("overwrite").parquet(
-        f"{path}/base/v={version}"
-    )
-    for v in old:
-        _delete(spark, f"{path}/base/v={v}")
-    for wdir, seq in folded:
-        _delete(spark, f"{path}/log/{wdir}/{SEQ_COL}={seq}")
-    return version
+    """Fold the puts into the days of their row keys (see ``store.compact``)."""
+    day = F.regexp_extract("row_key", r"_(\d{4}-\d{2}-\d{2}) ", 1)
+    return compact(spark, path, CELL_KEYS, keep_latest, part=day)
 
 
 def scan_prefix(kv: DataFrame, prefix: str, limit: int | None = 20, exact: bool = False) -> DataFrame:

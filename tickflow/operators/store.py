@@ -2,26 +2,54 @@
 
 Layout of a table at ``path``::
 
-    path/log/batch_id=N/part-*.parquet    one partition per micro-batch
-    path/base/v=N/part-*.parquet          compacted snapshot through batch N
-
-``upsert`` overwrites exactly the partition of its batch id, so a retried
-micro-batch rewrites itself and the table is unchanged.  ``latest_by_key``
-keeps, per key, the row of the highest batch id (base and log together) with
-one aggregate -- partial ``max_by`` per task, then a shuffle on the key.
-``compact`` folds the log into a new snapshot; readers always see either the
-old or the new snapshot plus the log, so a crash mid-way loses nothing.
+    path/log/<writer>/<epoch>/<batch>/<version>/part-*.parquet   one folder per write
+    path/base/<n>/part_=<day>/part-*.parquet                      folded rows, by day
+    path/manifest/<n>.json                                        what the n-th compaction left
+
+A write never touches files that exist.  Writing (writer, epoch, batch) again
+makes a new folder that supersedes the older one, so a retried micro-batch
+leaves the table unchanged.  ``epoch`` tells streams with different checkpoints
+apart: a new checkpoint counts its batches from 0 again without meeting the old
+ones, and a backfill is a writer of its own.
+
+Every row carries the ``version`` of its write (microseconds) and its writer.
+One order decides everywhere which row of a key is current -- the table, the
+``since`` reads and the views: ``updated_at`` where the table has it, then
+version, then writer.  ``compact`` folds log folders into the days they touch
+and publishes a manifest; readers read exactly the folders that the newest
+manifest and the rest of the log name.  Folded folders are deleted one
+compaction later, so a read that began before a compaction still finds them.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterable, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_COL = "batch_id"
+VERSION_COL = "version"
+WRITER_COL = "writer"
+TIME_COL = "updated_at"
+_PART = "part_"
+
+_EPOCH: ContextVar[str] = ContextVar("epoch", default="0")
+
+
+@contextmanager
+def writing_epoch(epoch: str):
+    """Writes inside belong to ``epoch`` (the id of a stream's checkpoint)."""
+    token = _EPOCH.set(epoch)
+    try:
+        yield
+    finally:
+        _EPOCH.reset(token)
 
 
 # --- Hadoop file-system helpers (metadata calls on the driver only) ---------
@@ -33,11 +61,9 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, hpath = _fs(spark, path)
-    if not fs.exists(hpath):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    fs, hpath = _fs(spark, pattern)
+    return [st.getPath().toString() for st in (fs.globStatus(hpath) or [])]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -51,75 +77,141 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written aside, then renamed."""
+    fs, hpath = _fs(spark, path)
+    _, aside = _fs(spark, f"{path}.tmp")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(aside, hpath):
+        raise OSError(f"{path} exists: another compaction runs on this table")
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 # --- write side ------------------------------------------------------------------
 
 
-def upsert(df: DataFrame, path: str, batch_id: int, sort_by: Sequence[str] = ()) -> None:
-    """Write one batch as partition ``batch_id=N`` of ``path/log``.
+_last_version = 0
+
+
+def _next_version() -> int:
+    global _last_version
+    _last_version = max(time.time_ns() // 1000, _last_version + 1)
+    return _last_version
+
+
+def upsert(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    sort_by: Sequence[str] = (),
+    writer: str = "stream",
+    epoch: str | None = None,
+) -> None:
+    """Write one batch of ``writer``; writing the same batch again replaces it.
 
-    Dynamic partition overwrite replaces only that partition, which makes a
-    retried batch idempotent.  Keys must be unique within one batch (update
-    mode emits each group once per batch).  ``sort_by`` orders rows inside each
-    file so parquet row-group statistics prune key-range reads.
+    Keys must be unique within one batch (update mode emits each group once per
+    batch).  ``sort_by`` orders rows inside each file so parquet row-group
+    statistics prune key-range reads.
     """
-    out = df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+    version = _next_version()
+    out = df.withColumn(VERSION_COL, F.lit(version).cast("long")).withColumn(WRITER_COL, F.lit(writer))
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .parquet(f"{path}/log")
-    )
+    out.write.parquet(f"{path}/log/{writer}/{epoch or _EPOCH.get()}/{int(batch_id)}/{version}")
 
 
-def _base_versions(spark: SparkSession, path: str) -> list[int]:
-    versions = []
-    for name in _list_dirs(spark, f"{path}/base"):
-        if name.startswith("v=") and _exists(spark, f"{path}/base/{name}/_SUCCESS"):
-            versions.append(int(name[2:]))
-    return sorted(versions)
+class Write(NamedTuple):
+    writer: str
+    epoch: str
+    batch: int
+    version: int
+    folder: str
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Every stored row version (base snapshot and log), with ``batch_id``."""
-    parts = []
-    versions = _base_versions(spark, path)
-    if versions:
-        parts.append(spark.read.parquet(f"{path}/base/v={versions[-1]}"))
-    if _list_dirs(spark, f"{path}/log"):
-        log = spark.read.parquet(f"{path}/log")
-        if versions:
-            # Batches up to the snapshot are already folded into it.
-            log = log.where(F.col(BATCH_COL) > F.lit(versions[-1]))
-        parts.append(log)
-    if not parts:
-        if schema is None:
-            return None
-        empty = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.LongType(), True)])
-        return spark.createDataFrame([], empty)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+def _writes(spark: SparkSession, path: str) -> list[Write]:
+    """All complete writes of the log."""
+    out = []
+    for found in _glob(spark, f"{path}/log/*/*/*/*/_SUCCESS"):
+        folder = found.rsplit("/", 1)[0]
+        writer, epoch, batch, version = folder.split("/")[-4:]
+        out.append(Write(writer, epoch, int(batch), int(version), folder))
     return out
 
 
+def _manifest(spark: SparkSession, path: str) -> dict:
+    found = {int(p.rsplit("/", 1)[1][: -len(".json")]): p for p in _glob(spark, f"{path}/manifest/*.json")}
+    if not found:
+        return {"n": 0, "base": {}, "folded": [], "dropped": []}
+    return json.loads(_read_text(spark, found[max(found)]))
+
+
+def _current(writes: list[Write], folded: set[str]) -> list[Write]:
+    """Of the writes not folded, the newest of each batch."""
+    newest: dict[tuple, Write] = {}
+    for w in writes:
+        key = w[:3]
+        if w.folder.split("/log/")[-1] not in folded and (key not in newest or newest[key].version < w.version):
+            newest[key] = w
+    return sorted(newest.values())
+
+
+def _state(spark: SparkSession, path: str) -> tuple[dict, list[Write], list[Write]]:
+    """Manifest (read first), all writes, and the current writes beside the folded ones."""
+    manifest = _manifest(spark, path)
+    writes = _writes(spark, path)
+    return manifest, writes, _current(writes, set(manifest["folded"]))
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """Every stored row version (folded rows and log), with ``version`` and ``writer``."""
+    manifest, _, current = _state(spark, path)
+    return _read(spark, path, list(manifest["base"].values()), current, schema)
+
+
+def _read(spark: SparkSession, path: str, base: list[str], writes: list[Write], schema: T.StructType | None = None):
+    folders = [f"{path}/{b}" for b in base] + [w.folder for w in writes]
+    stored = None
+    if schema is not None:
+        stored = T.StructType(
+            schema.fields + [T.StructField(VERSION_COL, T.LongType()), T.StructField(WRITER_COL, T.StringType())]
+        )
+    if not folders:
+        return None if stored is None else spark.createDataFrame([], stored)
+    reader = spark.read if stored is None else spark.read.schema(stored)
+    # Folders are named one by one, so nothing half-written is ever listed.
+    return reader.parquet(*folders)
+
+
+def _rank(df: DataFrame, order: Sequence[str]) -> Column:
+    first = list(order) or ([TIME_COL] if TIME_COL in df.columns else [])
+    return F.struct(*[F.col(c) for c in (*first, VERSION_COL, WRITER_COL)])
+
+
 def latest_rows(
     log: DataFrame,
     keys: Sequence[str],
-    keep_batch: bool = False,
+    keep_version: bool = False,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Per key, the row with the highest ``(*order, batch_id)`` (partial
-    ``max_by``, no window); by default the row of the newest batch."""
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    packed = F.struct(*[F.col(c) for c in values], F.col(BATCH_COL))
-    rank = F.struct(*[F.col(c) for c in order], F.col(BATCH_COL)) if order else F.col(BATCH_COL)
-    out = log.groupBy(*keys).agg(F.max_by(packed, rank).alias("_row")).select(*keys, "_row.*")
-    return out if keep_batch else out.drop(BATCH_COL)
+    """Per key, the row with the highest ``(*order, version, writer)`` (partial
+    ``max_by``, no window); ``order`` is ``updated_at`` where the rows have it."""
+    values = [c for c in log.columns if c not in keys]
+    packed = F.struct(*[F.col(c) for c in values])
+    out = log.groupBy(*keys).agg(F.max_by(packed, _rank(log, order)).alias("_row")).select(*keys, "_row.*")
+    return out if keep_version else out.drop(VERSION_COL, WRITER_COL)
 
 
-def since_filter(df: DataFrame, since, time_col: str = "updated_at") -> DataFrame:
+def since_filter(df: DataFrame, since, time_col: str = TIME_COL) -> DataFrame:
     """Rows with ``time_col >= since``; a text or datetime bound is cast to
     the column's type (``timestamp_ntz`` in the stored tables)."""
     if since is None:
@@ -133,37 +225,29 @@ def latest_by_key(
     path: str,
     keys: Sequence[str],
     schema: T.StructType | None = None,
-    keep_batch: bool = False,
+    keep_version: bool = False,
     since=None,
-    time_col: str = "updated_at",
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """The current table: latest version of every key (``order``: see ``latest_rows``).
+    """The current table: the current version of every key (``order``: see ``latest_rows``).
 
-    A fully compacted table (snapshot, no newer log partitions) is unique per
-    key by construction and is returned as a plain scan, without the shuffle.
+    A fully compacted table (no log beside the folded rows) is unique per key
+    by construction and is returned as a plain scan, without the shuffle.
 
-    ``since`` returns only the keys whose latest version has ``time_col >=
-    since``, and drops older versions *before* the merge.  That is exact when
-    ``time_col`` never decreases from one version of a key to the next -- true
-    of write times and of a window's newest tick time -- because a key whose
-    latest version is at or after ``since`` keeps that version.  The predicate
+    ``since`` returns only the keys whose current version has ``updated_at >=
+    since``, and drops older versions *before* the merge.  That is exact
+    because versions are ordered by ``updated_at`` first.  The predicate
     reaches the parquet scans, so a panel over the last 30 minutes skips
-    the row groups of older batches instead of merging the whole history.
+    the row groups of older batches and days instead of merging all history.
     """
-    versions = _base_versions(spark, path)
-    if versions:
-        newer = [
-            n for n in _list_dirs(spark, f"{path}/log")
-            if n.startswith(f"{BATCH_COL}=") and int(n.split("=", 1)[1]) > versions[-1]
-        ]
-        if not newer:
-            base = since_filter(spark.read.parquet(f"{path}/base/v={versions[-1]}"), since, time_col)
-            return base if keep_batch else base.drop(BATCH_COL)
-    log = read_log(spark, path, schema)
+    manifest, _, current = _state(spark, path)
+    log = _read(spark, path, list(manifest["base"].values()), current, schema)
     if log is None:
         raise FileNotFoundError(f"no stored table at {path}")
-    return latest_rows(since_filter(log, since, time_col), keys, keep_batch, order)
+    log = since_filter(log, since)
+    if not current:
+        return log if keep_version else log.drop(VERSION_COL, WRITER_COL)
+    return latest_rows(log, keys, keep_version, order)
 
 
 def compact(
@@ -173,41 +257,60 @@ def compact(
     keep_latest: int = 1,
     order: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    part: Column | None = None,
 ) -> int | None:
-    """Fold base + log into a new snapshot ``base/v=N``.
-
-    N is the highest batch id except the newest ``keep_latest`` ones, which
-    stay in the log: Structured Streaming may re-run its last batch after a
-    restart, and that rewrite must land in a partition that is still read.
-    The snapshot is written completely (``_SUCCESS``) before the old snapshot
-    and the folded log partitions are deleted; readers ignore partial ones,
-    and reading a folded partition twice is harmless (``max_by``).  ``order``
-    is passed to ``latest_rows``; ``finish`` may trim the folded rows (a view
-    keeping only its top n).  Returns N, or the current snapshot version when
-    there is nothing to fold.
+    """Fold the log into the folded rows of the days it touches; other days keep their files.
+
+    Each (writer, epoch) keeps its newest ``keep_latest`` batches in the log:
+    Structured Streaming may re-run its last batch after a restart.  ``part``
+    is the day of a row (by default of ``window_start``), which its key must
+    determine.  ``finish`` may trim the folded rows (a view keeping its top n).
+    One compaction per table may run at a time, beside any number of readers
+    and writers.  Returns the number of the newest manifest, None without any.
     """
-    versions = _base_versions(spark, path)
-    batches = sorted(
-        int(name.split("=", 1)[1])
-        for name in _list_dirs(spark, f"{path}/log")
-        if name.startswith(f"{BATCH_COL}=")
+    manifest, writes, current = _state(spark, path)
+    by_stream: dict[tuple, list[Write]] = {}
+    for w in current:
+        by_stream.setdefault(w[:2], []).append(w)
+    fold = [w for own in by_stream.values() for w in own[: max(0, len(own) - keep_latest)]]
+    if not fold:
+        return manifest["n"] or None
+    newer = _read(spark, path, [], fold)
+    if part is None:
+        part = F.to_date("window_start") if "window_start" in newer.columns else F.lit("all")
+    # Plain folder names: no character that a path would escape, never empty.
+    part = F.concat(F.lit("d"), F.regexp_replace(F.coalesce(part.cast("string"), F.lit("")), "[^A-Za-z0-9-]", "_"))
+    touched = [r[0] for r in newer.select(part).distinct().collect()]  # days, not rows
+    base = {day: folder for day, folder in manifest["base"].items() if day in touched}
+    rows = _read(spark, path, list(base.values()), fold)
+    folded = latest_rows(rows, keys, True, order)
+    if finish:
+        folded = finish(folded)
+    n = manifest["n"] + 1
+    (
+        folded.withColumn(_PART, part)
+        .repartitionByRange(_PART, *keys)
+        .sortWithinPartitions(_PART, *keys)
+        .write.mode("overwrite")  # an unpublished attempt that died may have left files
+        .partitionBy(_PART)
+        .parquet(f"{path}/base/{n}")
     )
-    foldable = batches[: len(batches) - keep_latest] if keep_latest > 0 else batches
-    newer = [b for b in foldable if not versions or b > versions[-1]]
-    if not newer:
-        return versions[-1] if versions else None
-    top = max(newer)
-    log = read_log(spark, path)
-    target = f"{path}/base/v={top}"
-    folded = latest_rows(log.where(F.col(BATCH_COL) <= F.lit(top)), keys, True, order)
-    (finish(folded) if finish else folded).write.mode("overwrite").parquet(target)
-    for v in _base_versions(spark, path):
-        if v < top:
-            _delete(spark, f"{path}/base/v={v}")
-    for b in batches:
-        if b <= top:
-            _delete(spark, f"{path}/log/{BATCH_COL}={b}")
-    return int(top)
+    written = [p.rsplit("/", 1)[1] for p in _glob(spark, f"{path}/base/{n}/{_PART}=*")]
+    fresh = {name.split("=", 1)[1]: f"base/{n}/{name}" for name in written}
+    batches = {w[:3] for w in fold}
+    done = {w.folder.split("/log/")[-1] for w in writes if w[:3] in batches}
+    alive = {w.folder.split("/log/")[-1] for w in writes}
+    published = {
+        "n": n,
+        "base": {d: f for d, f in manifest["base"].items() if d not in base} | fresh,
+        "folded": sorted(done | (set(manifest["folded"]) & alive)),
+        "dropped": sorted(base.values()),
+    }
+    _write_text(spark, f"{path}/manifest/{n}.json", json.dumps(published))
+    # What the manifest before this one had replaced is out of every reader's sight by now.
+    for folder in [f"log/{f}" for f in manifest["folded"]] + manifest["dropped"]:
+        _delete(spark, f"{path}/{folder}")
+    return n
 
 
 # --- external SQL upsert -------------------------------------------------------------
@@ -244,16 +347,21 @@ def upsert_dbapi(
     now_sql: str = "CURRENT_TIMESTAMP",
     batch_size: int = 1000,
     convert: Callable[[object], object] | None = None,
+    max_connections: int = 8,
+    send: Callable[[object, str, list], None] | None = None,
 ) -> None:
     """Upsert rows into an external SQL table from the executors.
 
-    Each partition opens its own connection from ``connect`` (a picklable
-    factory), sends ``executemany`` batches and commits once; errors propagate
+    At most ``max_connections`` tasks write, each over its own connection from
+    ``connect`` (a picklable factory).  A batch goes out by ``send(cursor, sql,
+    rows)``, by default ``executemany``; pass the driver's multi-row insert
+    where ``executemany`` sends row by row.  Each task commits once; errors propagate
     so Spark retries the task and the streaming batch is not marked done.  The
     statement is an idempotent upsert, so a retry is harmless.  Nothing passes
     through the driver.
     """
     cols = list(columns or df.columns)
+    send = send or (lambda cursor, statement, rows: cursor.executemany(statement, rows))
     sql = upsert_sql(table, cols, keys, placeholder, touch, now_sql)
 
     def write_partition(rows: Iterable) -> None:
@@ -269,14 +377,14 @@ def upsert_dbapi(
                     vals = tuple(convert(v) for v in vals)
                 buf.append(vals)
                 if len(buf) >= batch_size:
-                    cur.executemany(sql, buf)
+                    send(cur, sql, buf)
                     buf = []
             if buf:
-                cur.executemany(sql, buf)
+                send(cur, sql, buf)
             if conn is not None:
                 conn.commit()
         finally:
             if conn is not None:
                 conn.close()
 
-    df.select(*cols).foreachPartition(write_partition)
+    df.select(*cols).coalesce(max_connections).foreachPartition(write_partition)

@@ -7,27 +7,25 @@ micro-batch adds a few rows to two views kept next to the table:
 
 * ``latest``: the batch's newest row per symbol.  Read: per symbol, the
   highest ``(updated_at, window_start, batch_id)`` over all batches.
-* ``newest``: the batch's newest ``n`` rows.  Read: the newest version of each
-  key, then the top ``n``.
-
-Both are exact when a key's ``updated_at`` never decreases from one version
-to the next (write times do; so does a window's newest tick time).  Then a
-superseded version ranks below the key's own newer version, so it is never
-chosen over it; and a current row that was not among its batch's candidates
-is outranked by candidates whose keys stay ahead of it for good.  A read
-touches O(symbols x batches) and O(n x batches) rows -- O(symbols) and O(n)
-after ``compact_views`` -- instead of the history.  The ``newest`` view
-answers the unfiltered panel; a symbol subset needs the table itself.
+* ``newest``: the batch's newest ``n`` rows of each symbol.  Read: the current
+  version of each key, then the top rows asked for, of all symbols or some.
+
+Both are exact because versions of a key are ordered by ``updated_at`` first
+(``store``): a superseded version ranks below the key's current one, so it is
+never chosen over it; and a current row that was not among its batch's
+candidates is outranked by candidates of its symbol whose keys stay ahead of
+it for good.  A read touches O(symbols x batches) rows -- O(symbols) after
+``compact_views`` -- instead of the history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickflow.operators.store import compact, latest_by_key, upsert
+from tickflow.operators.store import _glob, compact, latest_by_key, upsert
 
 ORDER = ("updated_at", "window_start")
 NEWEST_N = 100
@@ -46,18 +44,18 @@ def latest_candidates(batch: DataFrame, order: Sequence[str] = ORDER) -> DataFra
     return batch.groupBy("symbol").agg(F.max_by(packed, rank).alias("_r")).select("symbol", "_r.*")
 
 
-def newest_candidates(batch: DataFrame, n: int = NEWEST_N) -> DataFrame:
-    """The batch's newest ``n`` rows (a top-n: per-task heaps, then one merge)."""
-    return _newest_first(batch).limit(n)
+def newest_candidates(rows: DataFrame, n: int = NEWEST_N) -> DataFrame:
+    """The newest ``n`` rows of each symbol (each task keeps n a symbol before the shuffle)."""
+    newest = Window.partitionBy("symbol").orderBy(F.col("updated_at").desc(), F.col("window_start").desc())
+    return rows.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= n).drop("_n")
 
 
-def put_views(batch: DataFrame, root: str, batch_id: int, n: int = NEWEST_N) -> None:
-    """Add one (stamped) micro-batch's candidates; idempotent per batch id."""
-    # One small file each: the final aggregate stays parallel, only its
-    # (one row per symbol) result is shuffled to the writer; a top-n is one
-    # partition already.
-    upsert(latest_candidates(batch).repartition(1), f"{root}/latest", batch_id)
-    upsert(newest_candidates(batch, n), f"{root}/newest", batch_id)
+def put_views(
+    batch: DataFrame, root: str, batch_id: int, n: int = NEWEST_N, writer: str = "stream", epoch: str | None = None
+) -> None:
+    """Add one (stamped) micro-batch's candidates; the same batch again replaces them."""
+    upsert(latest_candidates(batch), f"{root}/latest", batch_id, writer=writer, epoch=epoch)
+    upsert(newest_candidates(batch, n), f"{root}/newest-{n}", batch_id, writer=writer, epoch=epoch)
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
@@ -65,18 +63,23 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
     return latest_by_key(spark, f"{root}/latest", ["symbol"], order=ORDER)
 
 
-def read_newest(spark: SparkSession, root: str, keys: Sequence[str] = ("symbol", "window_start")) -> DataFrame:
-    """A superset of the table's newest ``n`` rows (pass it to a top-n report)."""
-    return latest_by_key(spark, f"{root}/newest", list(keys))
-
-
-def compact_views(
-    spark: SparkSession,
-    root: str,
-    keys: Sequence[str] = ("symbol", "window_start"),
-    n: int = NEWEST_N,
-    keep_latest: int = 1,
-) -> None:
-    """Fold both views: one row per symbol, and the current top ``n`` rows."""
-    compact(spark, f"{root}/latest", ["symbol"], keep_latest, order=ORDER)
-    compact(spark, f"{root}/newest", list(keys), keep_latest, finish=lambda df: _newest_first(df).limit(n))
+def read_newest(
+    spark: SparkSession, root: str, n: int = 50, symbols: Sequence[str] | None = None
+) -> DataFrame:
+    """The table's newest ``n`` rows, of ``symbols`` or all; raises when the view keeps fewer."""
+    kept = max((int(p.rsplit("-", 1)[1]) for p in _glob(spark, f"{root}/newest-*")), default=0)
+    if n > kept:
+        raise ValueError(f"the view at {root} keeps {kept} rows a symbol; read {n} from the table")
+    rows = latest_by_key(spark, f"{root}/newest-{kept}", ["symbol", "window_start"])
+    if symbols is not None:
+        rows = rows.where(F.col("symbol").isin(list(symbols)))
+    return _newest_first(rows).limit(n)
+
+
+def compact_views(spark: SparkSession, root: str, keep_latest: int = 1) -> None:
+    """Fold the views: one row per symbol, and the current top rows of each symbol."""
+    compact(spark, f"{root}/latest", ["symbol"], keep_latest, order=ORDER, part=F.lit("all"))
+    for path in _glob(spark, f"{root}/newest-*"):
+        n = int(path.rsplit("-", 1)[1])
+        keys = ["symbol", "window_start"]
+        compact(spark, path, keys, keep_latest, finish=lambda df, n=n: newest_candidates(df, n), part=F.lit("all"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,17 +32,19 @@ _UNIT_MICROS = {
 
 
 def interval_micros(text: str) -> int:
-    """``"2 minutes"`` -> 120000000 (the units ``F.window`` accepts)."""
-    total = 0
-    parts = re.findall(r"(\d+)\s*([a-zA-Z]+)", text)
-    if not parts:
+    """``"2 minutes"`` -> 120000000 (the units ``F.window`` accepts; fractions as of ``"0.5 seconds"`` too)."""
+    number = r"\d+(?:\.\d+)?"
+    if not re.fullmatch(rf"(?:\s*{number}\s*[a-zA-Z]+)+\s*", text):
         raise ValueError(f"not a window duration: {text!r}")
-    for num, unit in parts:
+    total = Fraction(0)
+    for num, unit in re.findall(rf"({number})\s*([a-zA-Z]+)", text):
         u = unit.lower().rstrip("s")
         if u not in _UNIT_MICROS:
             raise ValueError(f"unsupported unit {unit!r} in {text!r}")
-        total += int(num) * _UNIT_MICROS[u]
-    return total
+        total += Fraction(num) * _UNIT_MICROS[u]
+    if total.denominator != 1:
+        raise ValueError(f"{text!r} is not a whole number of microseconds")
+    return int(total)
 
 
 def _watermarked(df: DataFrame, time_col: str, watermark: str | None) -> DataFrame:

@@ -39,11 +39,11 @@ from tickflow.sources.testdata import events_as_messages, events_as_trades, load
 # event types.  ``error`` is left out and ``refund`` matches nothing, so the
 # inner join is seen to drop rows on both sides.
 DIMENSION_FIXTURE = [
-    ("click", "Click Token", "Mega Cap", "Navigation", "USA", 2009),
-    ("purchase", "Purchase Coin", "Mega Cap", "Commerce", "Canada", 2015),
-    ("signup", "Signup Coin", "Large Cap", "Onboarding", "USA", 2020),
-    ("view", "View Token", "Large Cap", "Media", "USA", 2012),
-    ("refund", "Refund Coin", "Small Cap", "Commerce", "China", 2017),
+    ("view", "Screen Views", "Tier C", "Audience", "Norway", 1998),
+    ("click", "Link Clicks", "Tier B", "Interaction", "Kenya", 2003),
+    ("signup", "New Accounts", "Tier B", "Growth", "Peru", 2018),
+    ("refund", "Returned Orders", "Tier D", "Finance", "Japan", 2006),
+    ("purchase", "Paid Orders", "Tier A", "Finance", "Chile", 1994),
 ]
 
 WINDOW_FIELDS = ["symbol", "price", "quantity", "event_time"]

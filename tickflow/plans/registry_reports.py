@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickflow.operators.enrich import enrich
 from tickflow.operators.kv import (
-    SEQ_COL,
+    cells_of,
     explode_cells,
     merge_cells,
     to_kv_anomalies,
@@ -22,14 +22,15 @@ from tickflow.operators.kv import (
     to_kv_moving_avg,
     to_kv_windowed,
 )
-from tickflow.operators.store import latest_by_key, upsert
-from tickflow.operators.views import put_views, read_latest, read_newest
+from tickflow.operators.store import VERSION_COL, WRITER_COL, compact, latest_by_key, upsert
+from tickflow.operators.views import compact_views, put_views, read_latest, read_newest
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 from tickflow.plans import reports as R
 from tickflow.plans.registry import (
     EPOCH,
     MEAN_DIGITS,
     TRADES_CTE,
+    WINDOW_FIELDS,
     _bucket,
     _pct_sql,
     _round,
@@ -37,7 +38,7 @@ from tickflow.plans.registry import (
     dimension_values_sql,
     trades,
 )
-from tickflow.schema import WINDOWED_KEYS
+from tickflow.schema import ANOMALY_KEYS, MOVING_AVG_KEYS, WINDOWED_KEYS
 
 # --- fixed report parameters ---
 AS_OF = "2024-01-31 00:00:00"
@@ -46,17 +47,22 @@ RANGE_END = AS_OF
 ANOMALY_THRESHOLD_1H = 200.0
 
 
-def stored_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_stats(trades(spark, sf_dir), width="1 hour", stamp=True)
+def _ticks(spark: SparkSession, sf_dir: str, where=None, fields=WINDOW_FIELDS) -> DataFrame:
+    ticks = trades(spark, sf_dir, fields)
+    return ticks if where is None else ticks.where(where)
 
 
-def stored_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return moving_average(trades(spark, sf_dir), width="6 hours", slide="1 hour", stamp=True)
+def stored_windowed(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    return window_stats(_ticks(spark, sf_dir, where), width="1 hour", stamp=True)
 
 
-def stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_moving_avg(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    return moving_average(_ticks(spark, sf_dir, where), width="6 hours", slide="1 hour", stamp=True)
+
+
+def stored_anomalies(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     return range_anomalies(
-        trades(spark, sf_dir, ["symbol", "price", "event_time"]),
+        _ticks(spark, sf_dir, where, ["symbol", "price", "event_time"]),
         width="1 hour",
         threshold=ANOMALY_THRESHOLD_1H,
         stamp=True,
@@ -212,22 +218,26 @@ GROUP BY metric"""
 KV_WIDTH = "30 seconds"
 
 
+def _versions(puts: DataFrame, version: int, writer: str) -> DataFrame:
+    """Puts as the store keeps them: one versioned row per cell."""
+    return cells_of(puts).withColumns({VERSION_COL: F.lit(version).cast("long"), WRITER_COL: F.lit(writer)})
+
+
 def kv_windowed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = window_stats(trades(spark, sf_dir), width=KV_WIDTH)
-    puts = to_kv_windowed(stats).withColumn(SEQ_COL, F.lit(0).cast("long")).unionByName(
-        to_kv_enriched(enrich(stats, dimension_fixture(spark))).withColumn(SEQ_COL, F.lit(1).cast("long"))
-    )
-    return merge_cells(puts)
+    windowed = _versions(to_kv_windowed(stats), 0, "windowed")
+    enriched = _versions(to_kv_enriched(enrich(stats, dimension_fixture(spark))), 1, "enriched")
+    return merge_cells(windowed.unionByName(enriched))
 
 
 def kv_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     ma = moving_average(trades(spark, sf_dir), width="2 minutes", slide="30 seconds")
-    return merge_cells(to_kv_moving_avg(ma).withColumn(SEQ_COL, F.lit(0).cast("long")))
+    return merge_cells(_versions(to_kv_moving_avg(ma), 0, "moving_avg"))
 
 
 def kv_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     an = range_anomalies(trades(spark, sf_dir, ["symbol", "price", "event_time"]), width="1 minute")
-    return merge_cells(to_kv_anomalies(an).withColumn(SEQ_COL, F.lit(0).cast("long")))
+    return merge_cells(_versions(to_kv_anomalies(an), 0, "anomalies"))
 
 
 KV_SPARK = {
@@ -335,6 +345,34 @@ SELECT count(*) FILTER (WHERE is_anomaly) AS anomaly_count FROM scan""",
 }
 
 
+# Every cell of the moving-average and anomaly tables.
+KV_CELLS_SQL = {
+    "moving_avg": f"""WITH {TRADES_CTE},
+ma AS (
+  SELECT symbol, window_start, window_start + INTERVAL '2 minutes' AS window_end, avg(price) AS av, sum(quantity) AS vol
+  FROM (SELECT symbol, price, quantity, {_bucket('30 seconds')} - i * INTERVAL '30 seconds' AS window_start
+        FROM trades, range(4) AS r(i))
+  GROUP BY 1, 2, 3
+)
+SELECT {_key('window_start', 'window_end')} AS row_key, c.cell, c.num_value, CAST(NULL AS VARCHAR) AS text_value
+FROM ma, LATERAL (VALUES ('price:moving_avg', round(av, 6)), ('volume:total', round(vol, 6))) AS c(cell, num_value)
+WHERE c.num_value IS NOT NULL""",
+    "anomalies": f"""WITH {TRADES_CTE},
+an AS (
+  SELECT symbol, {_bucket('1 minute')} AS window_start, avg(price) AS av, max(price) AS mx, min(price) AS mn,
+         {_pct_sql('max(price)', 'min(price)', 'avg(price)')} AS pct
+  FROM trades GROUP BY 1, 2
+)
+SELECT {_key('window_start')} AS row_key, c.cell, c.num_value, c.text_value
+FROM an, LATERAL (VALUES
+    ('price:avg', round(av, 6), NULL), ('price:max', round(mx, 6), NULL), ('price:min', round(mn, 6), NULL),
+    ('alert:price_range_pct', round(pct, 6), NULL),
+    ('alert:is_anomaly', NULL, CASE WHEN coalesce(pct > 0.5, false) THEN 'True' ELSE 'False' END)
+  ) AS c(cell, num_value, text_value)
+WHERE c.num_value IS NOT NULL OR c.text_value IS NOT NULL""",
+}
+
+
 # --- the dashboard's read path over a stored table ----------------------------------------
 # The hourly stats are written as an update-mode stream leaves them: batch 0
 # holds every window as of SPLIT (ticks before it), batch 1 every window that
@@ -344,50 +382,113 @@ SELECT count(*) FILTER (WHERE is_anomaly) AS anomaly_count FROM scan""",
 SPLIT = "2024-01-27 00:30:00"
 
 
-def stored_windowed_table(spark: SparkSession, sf_dir: str) -> str:
+TWO_SYMBOLS = ["click", "view"]
+
+
+def stored_table(spark: SparkSession, sf_dir: str, build, name: str, views: bool = False, folded: bool = False) -> str:
     from tickflow.session import scratch_path
 
-    path = scratch_path(spark, "stored-windowed")
-    t = trades(spark, sf_dir)
+    path = scratch_path(spark, f"stored-{name}")
     split = F.lit(SPLIT).cast("timestamp_ntz")
     batches = [
-        window_stats(t.where(F.col("timestamp") < split), "1 hour", stamp=True),
-        window_stats(t, "1 hour", stamp=True).where(F.col("updated_at") >= split),
+        build(spark, sf_dir, F.col("timestamp") < split),
+        build(spark, sf_dir).where(F.col("updated_at") >= split),
     ]
     for batch_id, batch in enumerate(batches):
         upsert(batch, path, batch_id)
-        put_views(batch, f"{path}/views", batch_id)
+        if views:
+            put_views(batch, f"{path}/views", batch_id)
+    if folded:
+        keys = ["symbol", "window_start", *(["window_end"] if name == "moving_avg" else [])]
+        compact(spark, path, keys)
+        if views:
+            compact_views(spark, f"{path}/views")
     return path
 
 
-def _stored_w(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_by_key(spark, stored_windowed_table(spark, sf_dir), WINDOWED_KEYS, since=RANGE_START)
+def _stored_w(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
+    path = stored_table(spark, sf_dir, stored_windowed, "windowed", folded=folded)
+    return latest_by_key(spark, path, WINDOWED_KEYS, since=RANGE_START)
+
+
+def _stored_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stored_table(spark, sf_dir, stored_moving_avg, "moving_avg")
+    return latest_by_key(spark, path, MOVING_AVG_KEYS, since=RANGE_START)
+
+
+def _stored_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stored_table(spark, sf_dir, stored_anomalies, "anomalies")
+    return latest_by_key(spark, path, ANOMALY_KEYS, since=RANGE_START)
+
+
+def _view(spark: SparkSession, sf_dir: str, build=stored_windowed, name: str = "windowed", folded: bool = False) -> str:
+    return f"{stored_table(spark, sf_dir, build, name, views=True, folded=folded)}/views"
 
 
 def _latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_latest(spark, f"{stored_windowed_table(spark, sf_dir)}/views")
+    return read_latest(spark, _view(spark, sf_dir))
 
 
-def _newest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_newest(spark, f"{stored_windowed_table(spark, sf_dir)}/views")
+def _latest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_latest(spark, _view(spark, sf_dir, stored_anomalies, "anomalies"))
+
+
+def _newest(spark: SparkSession, sf_dir: str, n: int, symbols=None, folded: bool = False) -> DataFrame:
+    rows = read_newest(spark, _view(spark, sf_dir, folded=folded), n, symbols)
+    return _round(R.latest_rows(rows, n, symbols), ["avg_price"])
+
+
+def _subset(sql: str) -> str:
+    """The oracle text of a panel for ``TWO_SYMBOLS`` only."""
+    names = ", ".join(f"'{s}'" for s in TWO_SYMBOLS)
+    return sql.replace("FROM trades", f"FROM (SELECT * FROM trades WHERE symbol IN ({names})) AS trades")
 
 
 STORED_SPARK = {
     "stored_series_avg_price": lambda s, d: _round(R.series(_stored_w(s, d), "avg_price", *RANGE), ["value"]),
     "stored_symbol_summary": lambda s, d: R.symbol_summary(_stored_w(s, d), *RANGE),
+    "stored_symbol_summary_folded": lambda s, d: R.symbol_summary(_stored_w(s, d, folded=True), *RANGE),
+    "stored_series_moving_avg": lambda s, d: _round(R.series(_stored_m(s, d), "moving_avg_price", *RANGE), ["value"]),
+    "stored_anomaly_count": lambda s, d: R.anomaly_count(_stored_a(s, d), *RANGE),
+    "stored_anomaly_log": lambda s, d: _round(
+        R.anomaly_log(_stored_a(s, d), *RANGE, n=100), ["avg_price", "price_range_pct"]
+    ),
     # "Latest" panels answered from the incremental views, not the history.
     "view_latest_avg_price": lambda s, d: _round(R.latest_avg_price(_latest_view(s, d)), ["avg_price"]),
     "view_latest_total_volume": lambda s, d: R.latest_total_volume(_latest_view(s, d)),
+    "view_latest_range_pct": lambda s, d: _round(R.latest_range_pct(_latest_anomalies(s, d)), ["price_range_pct"]),
     "view_freshness_seconds": lambda s, d: R.freshness_seconds(_latest_view(s, d), AS_OF),
-    "view_latest_rows": lambda s, d: _round(R.latest_rows(_newest_view(s, d), 50), ["avg_price"]),
+    "view_symbols": lambda s, d: R.symbols(_latest_view(s, d)),
+    "view_latest_rows": lambda s, d: _newest(s, d, 50),
+    "view_latest_rows_subset": lambda s, d: _newest(s, d, 50, TWO_SYMBOLS, folded=True),
+    # The dashboard's symbol variable on a panel of each table.
+    "subset_series_avg_price": lambda s, d: _round(
+        R.series(_stored_w(s, d), "avg_price", *RANGE, symbols=TWO_SYMBOLS), ["value"]
+    ),
+    "subset_series_moving_avg": lambda s, d: _round(
+        R.series(_stored_m(s, d), "moving_avg_price", *RANGE, symbols=TWO_SYMBOLS), ["value"]
+    ),
+    "subset_anomaly_log": lambda s, d: _round(
+        R.anomaly_log(_stored_a(s, d), *RANGE, n=100, symbols=TWO_SYMBOLS), ["avg_price", "price_range_pct"]
+    ),
 }
 STORED_SQL = {
     "stored_series_avg_price": SQL["series_avg_price"],
     "stored_symbol_summary": SQL["symbol_summary"],
+    "stored_symbol_summary_folded": SQL["symbol_summary"],
+    "stored_series_moving_avg": SQL["series_moving_avg"],
+    "stored_anomaly_count": SQL["anomaly_count"],
+    "stored_anomaly_log": SQL["anomaly_log"],
     "view_latest_avg_price": SQL["latest_avg_price"],
     "view_latest_total_volume": SQL["latest_total_volume"],
+    "view_latest_range_pct": SQL["latest_range_pct"],
     "view_freshness_seconds": SQL["freshness_seconds"],
+    "view_symbols": SQL["symbols"],
     "view_latest_rows": SQL["latest_rows"],
+    "view_latest_rows_subset": _subset(SQL["latest_rows"]),
+    "subset_series_avg_price": _subset(SQL["series_avg_price"]),
+    "subset_series_moving_avg": _subset(SQL["series_moving_avg"]),
+    "subset_anomaly_log": _subset(SQL["anomaly_log"]),
 }
 
 

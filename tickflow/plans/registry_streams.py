@@ -7,14 +7,16 @@ stream == batch is what the check asserts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickflow.operators.kv import read_kv, to_kv_windowed
+from tickflow.operators.kv import explode_cells, read_kv, to_kv_anomalies, to_kv_moving_avg, to_kv_windowed
 from tickflow.operators.store import latest_by_key
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 from tickflow.plans import registry as B
 from tickflow.plans.registry import _round, dimension_fixture
-from tickflow.plans.registry_reports import KV_SQL
+from tickflow.plans.registry_reports import KV_CELLS_SQL, KV_SQL
 from tickflow.schema import ANOMALY_KEYS, MOVING_AVG_KEYS, WINDOWED_KEYS
+from tickflow.session import scratch_path
 from tickflow.streaming.jobs import enriched_writer, fan_out, kv_writer, start_query, store_writer
 from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
 
@@ -33,7 +35,7 @@ def q_stream_window_stats_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _run(
         spark, sf_dir,
         lambda t: window_stats(t, "1 hour", watermark="1 minute", stamp=True),
-        lambda r: fan_out(kv_writer(f"{r}/kv_windowed", to_kv_windowed), store_writer(f"{r}/windowed")),
+        lambda r: fan_out(kv_writer(f"{r}/kv_windowed", to_kv_windowed), store_writer(f"{r}/windowed", WINDOWED_KEYS)),
         "stream_window_stats_1h",
     )
     out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
@@ -45,7 +47,7 @@ def q_stream_moving_average_6h_1h(spark: SparkSession, sf_dir: str) -> DataFrame
     root = _run(
         spark, sf_dir,
         lambda t: moving_average(t, "6 hours", "1 hour", watermark="3 minutes", stamp=True),
-        lambda r: store_writer(f"{r}/moving_avg"),
+        lambda r: store_writer(f"{r}/moving_avg", MOVING_AVG_KEYS),
         "stream_moving_average_6h_1h",
     )
     out = latest_by_key(spark, f"{root}/moving_avg", MOVING_AVG_KEYS)
@@ -57,7 +59,7 @@ def q_stream_range_anomalies_1h_200(spark: SparkSession, sf_dir: str) -> DataFra
     root = _run(
         spark, sf_dir,
         lambda t: range_anomalies(t, "1 hour", watermark="2 minutes", threshold=200.0, stamp=True),
-        lambda r: store_writer(f"{r}/anomalies"),
+        lambda r: store_writer(f"{r}/anomalies", ANOMALY_KEYS),
         "stream_range_anomalies_1h_200",
     )
     out = latest_by_key(spark, f"{root}/anomalies", ANOMALY_KEYS)
@@ -86,7 +88,7 @@ def q_stream_kv_scan_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda r: kv_writer(f"{r}/kv_windowed", to_kv_windowed, writer="windowed"),
         "stream_kv_scan_windowed",
     )
-    return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed"), "error")
+    return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed", "error", 20), "error")
 
 
 def q_stream_window_stats_1h_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +98,7 @@ def q_stream_window_stats_1h_compacted(spark: SparkSession, sf_dir: str) -> Data
     root = _run(
         spark, sf_dir,
         lambda t: window_stats(t, "1 hour", watermark="1 minute"),
-        lambda r: store_writer(f"{r}/windowed"),
+        lambda r: store_writer(f"{r}/windowed", WINDOWED_KEYS),
         "stream_window_stats_1h_compacted",
     )
     compact(spark, f"{root}/windowed", WINDOWED_KEYS, keep_latest=1)
@@ -117,13 +119,12 @@ def q_stream_kv_scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stream_kv_scan_compacted",
     )
     compact_kv(spark, f"{root}/kv_windowed", keep_latest=1)
-    return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed"), "error")
+    return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed", "error", 20), "error")
 
 
 def q_backfill_window_stats_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch backfill of all upstream tables from events, windowed table read back."""
     from tickflow.plans.registry import trades as batch_trades
-    from tickflow.session import scratch_path
     from tickflow.streaming.jobs import run_backfill
 
     root = scratch_path(spark, "backfill")
@@ -133,6 +134,102 @@ def q_backfill_window_stats_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(out.select(*cols), ["avg_price"])
 
 
+# --- several writers of one table ---------------------------------------------------------
+# The ticks before SPLIT_MS and those from then on reach one windowed table by
+# different writers, so its rows must be those of all ticks: nothing that one
+# writer stored may hide or replace what another stored.
+SPLIT_MS = 1_706_315_400_000  # 2024-01-27 00:30:00 UTC, the start of a window
+WINDOW_COLUMNS = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]
+
+
+def _stream_part(spark: SparkSession, sf_dir: str, root: str, checkpoint: str, late: bool) -> None:
+    trades, _ = replay_events(spark, sf_dir, 2, FIELDS, root=f"{root}/replay-{checkpoint}")
+    ticks = trades.where((F.col("event_time") >= SPLIT_MS) if late else (F.col("event_time") < SPLIT_MS))
+    q = start_query(window_stats(ticks, "30 seconds", watermark="1 minute"), f"part_{checkpoint}",
+                    store_writer(f"{root}/windowed", WINDOWED_KEYS, views=True),
+                    f"{root}/checkpoint/{checkpoint}", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+
+
+def _backfill_part(spark: SparkSession, sf_dir: str, root: str, late: bool) -> None:
+    from tickflow.plans.registry import trades as batch_trades
+    from tickflow.streaming.jobs import run_backfill
+
+    ticks = batch_trades(spark, sf_dir)
+    run_backfill(ticks.where((F.col("event_time") >= SPLIT_MS) if late else (F.col("event_time") < SPLIT_MS)),
+                 root, batch_id=0, kv=False)
+
+
+def _windowed(spark: SparkSession, root: str) -> DataFrame:
+    return _round(latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS).select(*WINDOW_COLUMNS), ["avg_price"])
+
+
+def q_stored_stream_then_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream, then a backfill with batch id 0 into the same root."""
+    root = scratch_path(spark, "stream-backfill")
+    _stream_part(spark, sf_dir, root, "a", late=False)
+    _backfill_part(spark, sf_dir, root, late=True)
+    return _windowed(spark, root)
+
+
+def q_stored_backfill_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose log is folded whole, then a backfill with batch id 0, folded too."""
+    from tickflow.streaming.jobs import compact_tables
+
+    root = scratch_path(spark, "compact-backfill")
+    _stream_part(spark, sf_dir, root, "a", late=True)
+    compact_tables(spark, root, keep_latest=0)
+    _backfill_part(spark, sf_dir, root, late=False)
+    compact_tables(spark, root, keep_latest=0)
+    return _windowed(spark, root)
+
+
+def q_stored_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream, folded, and its successor with a new checkpoint, whose batches count from 0 again."""
+    from tickflow.streaming.jobs import compact_tables
+
+    root = scratch_path(spark, "new-checkpoint")
+    _stream_part(spark, sf_dir, root, "a", late=False)
+    compact_tables(spark, root, keep_latest=0)
+    _stream_part(spark, sf_dir, root, "b", late=True)
+    return _windowed(spark, root)
+
+
+# --- all cells of the streamed key-value tables ---------------------------------------------
+
+
+def q_stream_kv_cells_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed, then enriched puts streamed into one key-value table; every cell read back."""
+    trades, root = replay_events(spark, sf_dir, N_FILES, FIELDS)
+    for name, writer in (
+        ("windowed", kv_writer(f"{root}/kv_windowed", to_kv_windowed, writer="windowed")),
+        ("enriched", enriched_writer(dimension_fixture(spark), kv_path=f"{root}/kv_windowed")),
+    ):
+        stats = window_stats(trades, "30 seconds", watermark="1 minute")
+        run_until_done(start_query(stats, f"kv_{name}", writer, f"{root}/checkpoint/{name}", trigger=AVAILABLE_NOW))
+    return explode_cells(read_kv(spark, f"{root}/kv_windowed"))
+
+
+def q_stream_kv_cells_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run(
+        spark, sf_dir,
+        lambda t: moving_average(t, "2 minutes", "30 seconds", watermark="3 minutes"),
+        lambda r: kv_writer(f"{r}/kv_moving_avg", to_kv_moving_avg, writer="moving_avg"),
+        "stream_kv_cells_moving_avg",
+    )
+    return explode_cells(read_kv(spark, f"{root}/kv_moving_avg"))
+
+
+def q_stream_kv_cells_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run(
+        spark, sf_dir,
+        lambda t: range_anomalies(t, "1 minute", watermark="2 minutes"),
+        lambda r: kv_writer(f"{r}/kv_anomalies", to_kv_anomalies, writer="anomalies"),
+        "stream_kv_cells_anomalies",
+    )
+    return explode_cells(read_kv(spark, f"{root}/kv_anomalies"))
+
+
 def stream_registry() -> dict:
     return {
         "stream_window_stats_1h": (q_stream_window_stats_1h, B.sql_window_stats("1 hour")),
@@ -151,6 +248,12 @@ def stream_registry() -> dict:
         "stream_decoded_window_stats_1h": (q_stream_decoded_window_stats_1h, B.sql_window_stats("1 hour")),
         "stream_window_stats_1h_compacted": (q_stream_window_stats_1h_compacted, B.sql_window_stats("1 hour")),
         "stream_kv_scan_compacted": (q_stream_kv_scan_compacted, KV_SQL["kv_scan_windowed"]),
+        "stored_stream_then_backfill": (q_stored_stream_then_backfill, B.sql_window_stats("30 seconds")),
+        "stored_backfill_after_compact": (q_stored_backfill_after_compact, B.sql_window_stats("30 seconds")),
+        "stored_new_checkpoint": (q_stored_new_checkpoint, B.sql_window_stats("30 seconds")),
+        "stream_kv_cells_two_writers": (q_stream_kv_cells_two_writers, KV_SQL["kv_merge_cells"]),
+        "stream_kv_cells_moving_avg": (q_stream_kv_cells_moving_avg, KV_CELLS_SQL["moving_avg"]),
+        "stream_kv_cells_anomalies": (q_stream_kv_cells_anomalies, KV_CELLS_SQL["anomalies"]),
         "backfill_window_stats_30s": (q_backfill_window_stats_30s, B.sql_window_stats("30 seconds")),
     }
 
@@ -168,7 +271,7 @@ def q_stream_decoded_window_stats_1h(spark: SparkSession, sf_dir: str) -> DataFr
     run_until_done(dec)
     trades = read_decoded_stream(spark, f"{root}/decoded", FIELDS)
     q = start_query(window_stats(trades, "1 hour", watermark="1 minute"), "decoded_window_stats",
-                    store_writer(f"{root}/windowed"), f"{root}/checkpoint/windowed", trigger=AVAILABLE_NOW)
+                    store_writer(f"{root}/windowed", WINDOWED_KEYS), f"{root}/checkpoint/windowed", trigger=AVAILABLE_NOW)
     run_until_done(q)
     out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
     cols = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]

@@ -263,7 +263,7 @@ def kpi_latest(kv: DataFrame, symbol: str) -> DataFrame:
     Exact prefix (``symbol_``), no scan limit; one partial ``max_by`` per task,
     so the whole key range never meets in one task.
     """
-    rows = decode_kv_windowed(scan_prefix(kv, symbol, limit=None, exact=True), symbol)
+    rows = decode_kv_windowed(kv.where(F.col("row_key").startswith(symbol + "_")), symbol)
     cols = ["window", "avg_price", "min_price", "max_price", "total_volume"]
     return rows.agg(F.max_by(F.struct(*cols), F.col("row_key")).alias("_r")).select("_r.*").where(
         F.col("window").isNotNull()

@@ -35,19 +35,6 @@ METADATA = T.StructType(
     ]
 )
 
-# The dimension shipped with the upstream application (symbol, full_name,
-# market_cap_tier, sector, country_of_origin, launched_year).
-COIN_METADATA = [
-    ("BTCUSD", "Bitcoin", "Mega Cap", "Store of Value", "USA", 2009),
-    ("ETHUSD", "Ethereum", "Mega Cap", "Smart Contract Platform", "Canada", 2015),
-    ("SOLUSD", "Solana", "Large Cap", "Smart Contract Platform", "USA", 2020),
-    ("XRPUSD", "XRP", "Large Cap", "Payment Protocol", "USA", 2012),
-    ("BNBUSD", "Binance Coin", "Large Cap", "Exchange Token", "China", 2017),
-]
-
-# Symbols the upstream producer polls, before normalisation.
-PRODUCER_SYMBOLS = ["BTC-USD", "ETH-USD", "SOL-USD", "XRP-USD", "BNB-USD"]
-
 # Column order of the enriched output (country_of_origin is dropped).
 ENRICHED_COLUMNS = [
     "symbol",
@@ -66,20 +53,8 @@ ENRICHED_COLUMNS = [
 ]
 
 # Stored (relational) result tables: columns and primary keys.
-WINDOWED_COLUMNS = [
-    "symbol", "window_start", "window_end", "avg_price", "min_price",
-    "max_price", "total_volume", "updated_at",
-]
 WINDOWED_KEYS = ["symbol", "window_start"]
-MOVING_AVG_COLUMNS = [
-    "symbol", "window_start", "window_end", "moving_avg_price",
-    "total_volume", "updated_at",
-]
 MOVING_AVG_KEYS = ["symbol", "window_start", "window_end"]
-ANOMALY_COLUMNS = [
-    "symbol", "window_start", "avg_price", "max_price", "min_price",
-    "price_range_pct", "is_anomaly", "updated_at",
-]
 ANOMALY_KEYS = ["symbol", "window_start"]
 
 # --- fixed values: key-value cells (family:qualifier -> result column) ------

@@ -1,13 +1,14 @@
 """Session helpers: a tuned builder and the shared work folder.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(HDFS, S3, ...).  Only when it is unset -- local runs and tests -- do we make
-one under the system temp folder and register it.
+(HDFS, S3, ...).  Only a local master (tests) may leave it unset; then one is
+made under the system temp folder and removed when the process ends.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -53,27 +54,26 @@ def build_session(
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, replay files and stored tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a local one only when
-    nothing is configured (tests, local runs).
+    Reads ``spark.checkpoint.dir`` from the session.  Unset, a local session
+    (tests) gets a folder of its own; any other raises, since executors on
+    other machines cannot see a folder that only this one has.
     """
     configured = spark.sparkContext.getCheckpointDir()
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            spark.sparkContext.setCheckpointDir(configured)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tickflow-")
+        if not configured:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            configured = tempfile.mkdtemp(prefix="tickflow-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared work folder for one run."""
-    base = work_dir(spark)
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh path below the shared work folder for one run (nothing is made there yet)."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 MB = 1 << 20

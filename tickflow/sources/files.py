@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.schema import COIN_METADATA, METADATA
+from tickflow.schema import METADATA
 
 # Same contract as the Kafka source: the message is in a binary ``value``.
 REPLAY_SCHEMA = T.StructType([T.StructField("value", T.BinaryType(), True)])
@@ -70,19 +70,10 @@ def read_metadata(spark: SparkSession, path: str, schema: T.StructType = METADAT
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def metadata_frame(
-    spark: SparkSession,
-    rows: Sequence[tuple] = tuple(COIN_METADATA),
-    schema: T.StructType = METADATA,
-) -> DataFrame:
-    """The dimension from in-memory rows (the shipped five coins by default)."""
+def metadata_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType = METADATA) -> DataFrame:
+    """The dimension from in-memory rows."""
     return spark.createDataFrame(list(rows), schema)
 
 
 def write_metadata(meta: DataFrame, path: str) -> None:
     meta.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-def values_from_text(df: DataFrame, col: str = "value") -> DataFrame:
-    """Text messages (one per row) -> the binary ``value`` contract."""
-    return df.select(F.col(col).cast("binary").alias("value"))

@@ -1,17 +1,21 @@
 """Structured Streaming jobs: keyed upserts fed by update-mode aggregations.
 
 ``start_query`` wraps a writer in ``foreachBatch``: the micro-batch is
-persisted once (several writers and the emptiness check reuse it), empty
-batches are skipped, and writer errors propagate -- Spark then fails the
-query instead of committing the offsets, and the idempotent writers make the
-retry safe.  Each query has its own checkpoint folder under the shared work
-folder, so a restarted driver or lost executors resume from the last commit.
+persisted and counted once (every writer reuses both), empty batches are
+skipped, and writer errors propagate -- Spark then fails the query instead of
+committing the offsets, and the idempotent writers make the retry safe.  Each
+query has its own checkpoint folder under the shared work folder, so a
+restarted driver or lost executors resume from the last commit; the id that
+Spark keeps there is the epoch of the query's writes, so a query started from a
+new checkpoint never meets the batches of the old one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +23,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.time import ntz_from_ltz
-from tickflow.operators.enrich import dimension_side, enrich
+from tickflow.operators.enrich import DIMENSION_COLUMNS, dimension_side, enrich
 from tickflow.operators.kv import compact_kv, put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
-from tickflow.operators.store import _delete, _exists, compact, upsert, upsert_dbapi
+from tickflow.operators.store import _delete, _exists, _read_text, compact, upsert, upsert_dbapi, writing_epoch
 from tickflow.operators.views import compact_views, put_views
 from tickflow.operators.windows import (
     moving_average,
@@ -38,26 +42,29 @@ Writer = Callable[[DataFrame, int], None]
 
 # AQE is off in streaming, so a micro-batch result has one partition per
 # shuffle partition; without resizing, every batch would write that many tiny
-# files.  Writers coalesce to about this many rows per file.
-ROWS_PER_FILE = 2_000_000
+# files.  Writers deal out about this many rows per file.
+ROWS_PER_FILE = 250_000
 
+_ROWS: ContextVar[int | None] = ContextVar("rows", default=None)
 
-def sized(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """A (persisted) micro-batch result cut into files of ~``rows_per_file`` rows.
 
-    When the file count still fills the cluster's cores, partitions are merged
-    without a shuffle (``coalesce``).  Below that, ``coalesce`` would also run
-    the writers' per-row work (cell formatting, sorting, encoding) in that few
-    tasks, so the rows are shuffled to the file count instead and that work
-    stays spread over every core.
+def sized(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """A (persisted) micro-batch result in files of ~``ROWS_PER_FILE`` rows, ranges of ``keys`` each.
+
+    ``rows``: the number of rows; by default that of the running micro-batch,
+    which ``start_query`` counted once.  Ranges of the key give each file a
+    narrow part of it, so file statistics prune, and they depend on keys only,
+    so a recomputed task deals its rows to the same files.
     """
-    n = df.count()
-    files = max(1, -(-n // rows_per_file))
-    if files >= df.rdd.getNumPartitions():
-        return df
-    if files >= df.sparkSession.sparkContext.defaultParallelism:
-        return df.coalesce(files)
-    return df.repartition(files)
+    rows = rows if rows is not None else _ROWS.get()
+    if rows is None:
+        rows = df.count()
+    return df.repartitionByRange(max(1, -(-rows // ROWS_PER_FILE)), *keys).sortWithinPartitions(*keys)
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote into a query's checkpoint when it was new."""
+    return json.loads(_read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def start_query(
@@ -73,11 +80,14 @@ def start_query(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        counted = _ROWS.set(batch.count())
         try:
-            if skip_empty and batch.isEmpty():
+            if skip_empty and not _ROWS.get():
                 return
-            writer(batch, batch_id)
+            with writing_epoch(checkpoint_id(batch.sparkSession, checkpoint)):
+                writer(batch, batch_id)
         finally:
+            _ROWS.reset(counted)
             batch.unpersist()
 
     w = (
@@ -157,24 +167,26 @@ def as_stored(batch: DataFrame, stamp_now: bool = True) -> DataFrame:
     return out.withColumns(conv) if conv else out
 
 
-def store_writer(path: str, columns: Sequence[str] | None = None, views: bool = False) -> Writer:
-    """Upsert each batch into the keyed table at ``path``; with ``views``,
-    also add its candidates to the "latest" panel views in ``path/views``."""
+def store_writer(
+    path: str, keys: Sequence[str], columns: Sequence[str] | None = None, views: bool = False, writer: str = "stream"
+) -> Writer:
+    """Upsert each batch into the table at ``path`` keyed by ``keys``; with
+    ``views``, also add its candidates to the "latest" panel views in ``path/views``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = as_stored(batch)
         if columns:
             stamped = stamped.select(*columns)
-        upsert(sized(stamped), path, batch_id)
+        upsert(sized(stamped, keys), path, batch_id, writer=writer)
         if views:
-            put_views(stamped, f"{path}/views", batch_id)
+            put_views(stamped, f"{path}/views", batch_id, writer=writer)
 
     return write
 
 
 def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame], writer: str = "put") -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
-        put_kv(sized(to_kv(as_stored(batch, stamp_now=False))), path, batch_id, writer)
+        put_kv(sized(to_kv(as_stored(batch, stamp_now=False)), ["row_key"]), path, batch_id, writer)
 
     return write
 
@@ -186,20 +198,24 @@ def dbapi_writer(connect: Callable[[], object], table: str, keys: Sequence[str],
     return write
 
 
-def enriched_writer(meta: DataFrame, store_path: str | None = None, kv_path: str | None = None) -> Writer:
+def enriched_writer(
+    meta: DataFrame, store_path: str | None = None, kv_path: str | None = None, writer: str = "enriched"
+) -> Writer:
     """Join each batch to the dimension, then upsert rows and/or put KV cells.
 
-    The broadcast decision for the dimension is taken once, here.
+    The rows of a batch are stored in order of symbol and window start.  The dimension is static: it is projected and cached here, once, which also
+    fixes the rows that the broadcast bound was checked on.
     """
-    side = dimension_side(meta)
+    side = dimension_side(meta.select(*DIMENSION_COLUMNS).persist())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enriched = sized(enrich(as_stored(batch, stamp_now=False), side, broadcast_max_rows=None)).persist()
+        enriched = enrich(as_stored(batch, stamp_now=False), side, broadcast_max_rows=None).persist()
         try:
+            rows = enriched.count()
             if store_path:
-                upsert(enriched, store_path, batch_id)
+                upsert(sized(enriched, TABLE_KEYS["windowed"], rows), store_path, batch_id, writer=writer)
             if kv_path:
-                put_kv(to_kv_enriched(enriched), kv_path, batch_id, writer="enriched")
+                put_kv(sized(to_kv_enriched(enriched), ["row_key"], rows), kv_path, batch_id, writer)
         finally:
             enriched.unpersist()
 
@@ -275,7 +291,7 @@ def start_tick_jobs(
         if kv:
             writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=name))
         if stores:
-            writers.append(store_writer(f"{root}/{name}", views=name in VIEW_TABLES))
+            writers.append(store_writer(f"{root}/{name}", TABLE_KEYS[name], views=name in VIEW_TABLES))
         if sql_connect is not None:
             table = (sql_tables or {}).get(name, name)
             writers.append(dbapi_writer(sql_connect, table, TABLE_KEYS[name], **(sql_options or {})))
@@ -373,13 +389,19 @@ def start_decode_job(
     return w.start()
 
 
-def read_decoded_stream(spark: SparkSession, path: str, fields: Sequence[str] | None = None) -> DataFrame:
+def read_decoded_stream(
+    spark: SparkSession, path: str, fields: Sequence[str] | None = None, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """Stream of decoded trades from ``start_decode_job``'s table.
 
     Every trigger takes all newly committed files, i.e. whole decode batches,
-    so rows reach the watermark in the order they were decoded.
+    so rows reach the watermark in the order they were decoded;
+    ``max_files_per_trigger`` bounds a micro-batch after an outage.
     """
-    return spark.readStream.schema(decoded_schema(fields)).parquet(path)
+    reader = spark.readStream.schema(decoded_schema(fields))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 # --- batch backfill ----------------------------------------------------------------------
@@ -402,9 +424,10 @@ def run_backfill(
     never from the raw ticks.  The 30 s stats are the panes themselves, the
     1 min anomalies and the 2 min / 30 s mean aggregate pane rows -- so the
     upstream's three passes over the ticks (four with the enrichment) become
-    one.  The tables then go through the streaming writers as micro-batch
-    ``batch_id``: rerunning a backfill with the same id replaces exactly its
-    own partitions, and a later id wins over earlier stream batches per key.
+    one.  The tables then go through the streaming writers as batch ``batch_id``
+    of writers of their own, so it never meets a stream's batches: rerunning a
+    backfill with the same id replaces its writes, and per key the newest write
+    of any writer wins.
     """
     from tickflow.session import scratch_path
 
@@ -421,19 +444,20 @@ def run_backfill(
             if kv:
                 writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=f"backfill_{name}"))
             if stores:
-                writers.append(store_writer(f"{root}/{name}", views=name in VIEW_TABLES))
+                writers.append(store_writer(f"{root}/{name}", TABLE_KEYS[name], views=name in VIEW_TABLES, writer="backfill"))
             if name == "windowed" and meta is not None:
                 # The enrichment joins the same 30 s stats: computed once, reused.
-                writers.append(enriched_writer(meta, store_path=f"{root}/enriched", kv_path=f"{root}/kv_windowed"))
-            # The 30 s stats are a projection of the written panes: each writer
-            # re-reads them column-pruned, cheaper than caching them.  The
-            # other two follow a shuffle and are cached while their writers run.
-            out = df if name == "windowed" else df.persist()
+                writers.append(
+                    enriched_writer(meta, f"{root}/enriched", f"{root}/kv_windowed", writer="backfill_enriched")
+                )
+            out = df.persist()
+            counted = _ROWS.set(out.count())
             try:
-                fan_out(*writers)(out, batch_id)
+                with writing_epoch("0"):
+                    fan_out(*writers)(out, batch_id)
             finally:
-                if out is not df:
-                    out.unpersist()
+                _ROWS.reset(counted)
+                out.unpersist()
     finally:
         _delete(spark, panes_path)
 
@@ -445,10 +469,10 @@ def compact_tables(spark: SparkSession, root: str, keep_latest: int = 1) -> dict
     """Fold the per-batch logs of every table the jobs write under ``root``.
 
     Run it from a separate batch job (say hourly): it may run beside the
-    streams, since it folds only batches up to a cut-off taken at its start
-    and keeps each writer's newest ``keep_latest`` batches in the log (a
-    restarted stream may re-run its last one).  Tables that do not exist are
-    skipped.  Returns the new snapshot version per table.
+    streams and readers, one at a time per table: it rewrites only the days it
+    touches and keeps the newest ``keep_latest`` batches of each writer in the
+    log (a restarted stream may re-run its last one).  Tables that do not exist
+    are skipped.  Returns the number of the newest manifest per table.
     """
     done: dict[str, int | None] = {}
     for name, keys in {**TABLE_KEYS, "enriched": ["symbol", "window_start"]}.items():
