@@ -48,7 +48,7 @@ def stream_1h_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_query(
         window_stats(trades, "1 hour", watermark="1 minute"),
         "bench_stream",
-        store_writer(f"{root}/windowed"),
+        store_writer(f"{root}/windowed", WINDOWED_KEYS),
         f"{root}/checkpoint",
         trigger=AVAILABLE_NOW,
     )
@@ -94,14 +94,11 @@ def all_reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The 17 panel queries over the stored tables (the dashboard's read path).
 
     Panels with a time range read the tables with the range start pushed
-    below the merge; "latest" panels read the incremental views; the symbol
-    list reads every key."""
-    t = _stored_tables(spark, sf_dir)
+    below the merge; "latest" panels and the symbol list read the incremental views."""
     r = _stored_tables(spark, sf_dir, since=RR.RANGE_START)
     root = _STORED[sf_dir]
     lw, la = read_latest(spark, f"{root}/windowed/views"), read_latest(spark, f"{root}/anomalies/views")
-    nw = read_newest(spark, f"{root}/windowed/views")
-    w = t["windowed"]
+    nw = read_newest(spark, f"{root}/windowed/views", 50)
     rw, rm, ra = r["windowed"], r["moving_avg"], r["anomalies"]
     rng = (RR.RANGE_START, RR.RANGE_END)
     return [
@@ -109,8 +106,8 @@ def all_reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         R.rows_written(rw, *rng), R.freshness_seconds(lw, RR.AS_OF), R.series(rw, "avg_price", *rng),
         R.price_band(rw, *rng), R.series(rm, "moving_avg_price", *rng), R.series(rw, "total_volume", *rng),
         R.series(ra, "price_range_pct", *rng), R.anomaly_counts_by_minute(ra, *rng), R.latest_rows(nw, 50),
-        R.symbol_summary(rw, *rng), R.anomaly_log(ra, *rng, n=100), R.symbols(w),
-        R.series_legend(R.series(rw, "avg_price", *rng)),
+        R.symbol_summary(rw, *rng), R.anomaly_log(ra, *rng, n=100), R.symbols(lw),
+        R.series_legend(R.series(rw, "avg_price", *rng, ordered=False)),
     ]
 
 

@@ -34,7 +34,7 @@ def _stream_table(spark, seq_col, n_files, watermark):
         decode_trades(read_file_trades(spark, f"{path}/in"), fields=["symbol", "price", "quantity", "event_time"]),
         "event_time",
     )
-    q = start_query(window_stats(stream, "1 hour", watermark=watermark), "prop", store_writer(f"{path}/w"),
+    q = start_query(window_stats(stream, "1 hour", watermark=watermark), "prop", store_writer(f"{path}/w", ["symbol", "window_start"]),
                     f"{path}/ckpt", trigger=AVAILABLE_NOW)
     run_until_done(q)
     return latest_by_key(spark, f"{path}/w", ["symbol", "window_start"])

@@ -33,8 +33,28 @@ def test_zero_mean_gives_null_pct_and_no_anomaly(spark):
 def test_threshold_is_strict(spark):
     # max-min = 0.5, avg = 100 -> pct exactly 0.5
     out = range_anomalies(_ticks(spark, [("A", 99.75, 1.0, 1), ("A", 100.25, 1.0, 2)])).first()
-    assert abs(out.price_range_pct - 0.5) < 1e-12
-    assert out.is_anomaly is (out.price_range_pct > 0.5)
+    assert out.price_range_pct == 0.5 and out.is_anomaly is False
+    above = range_anomalies(_ticks(spark, [("A", 99.75, 1.0, 1), ("A", 100.2500001, 1.0, 2)])).first()
+    assert above.price_range_pct > 0.5 and above.is_anomaly is True
+
+
+def test_window_durations():
+    import pytest
+
+    from tickflow.operators.windows import interval_micros
+
+    assert interval_micros("2 minutes") == 120_000_000 and interval_micros("1 hour 30 minutes") == 5_400_000_000
+    assert interval_micros("0.5 seconds") == 500_000 and interval_micros("1.5 hours") == 5_400_000_000
+    for bad in ("", "5", "seconds", "-1 second", "1 fortnight", "0.0000005 seconds", "1 second,"):
+        with pytest.raises(ValueError):
+            interval_micros(bad)
+
+
+def test_null_symbol_keeps_its_place_in_the_key(spark):
+    from tickflow.functions.keys import row_key
+
+    df = spark.createDataFrame([(None, "x"), ("A", "x")], "symbol string, t string")
+    assert [r[0] for r in df.select(row_key("symbol", "t")).collect()] == ["None_x", "A_x"]
 
 
 def test_rounded_status_vs_raw_flag(spark):

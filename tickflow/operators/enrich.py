@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from tickflow.functions.prices import label_status, price_range_pct, round_columns
 from tickflow.schema import ANOMALY_THRESHOLD, ENRICHED_COLUMNS
 
-# Broadcast the dimension only while it is at most this many rows.  The
-# projected row is five short strings and an int, so the bound caps the
-# broadcast at a few MB; past it the join falls back to a shuffle join.
+# Broadcast the dimension only while it has at most this many rows and bytes
+# of text; past either the join falls back to a shuffle join.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 DIMENSION_COLUMNS = ["symbol", "full_name", "market_cap_tier", "sector", "launched_year"]
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Proven size bound: reads at most ``max_rows + 1`` rows to decide."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    rows, text = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (text or 0) <= max_bytes
 
 
 def dimension_side(meta: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

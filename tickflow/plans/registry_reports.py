@@ -101,7 +101,7 @@ SPARK = {
     "anomaly_log": lambda s, d: _round(R.anomaly_log(_a(s, d), *RANGE, n=100), ["avg_price", "price_range_pct"]),
     "symbols": lambda s, d: R.symbols(_w(s, d)),
     "series_legend": lambda s, d: _round(
-        R.series_legend(R.series(_w(s, d), "avg_price", *RANGE)), ["last_not_null", "min", "max"]
+        R.series_legend(R.series(_w(s, d), "avg_price", *RANGE, ordered=False)), ["last_not_null", "min", "max"]
     ),
 }
 

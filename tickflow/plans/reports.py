@@ -123,15 +123,18 @@ def series(
     start: TimeLike,
     end: TimeLike,
     symbols: Sequence[str] | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """``(time, metric, value)`` rows in the range, ordered.
+    """``(time, metric, value)`` rows in the range, ordered unless a reducer follows.
 
     Rows written by one micro-batch share ``updated_at``; ``window_start`` is a
     hidden last sort key so the range partitioner can split such ties instead
     of sending a whole backfill of one symbol to one task.
     """
     rows = for_symbols(in_range(df, "updated_at", start, end), symbols)
-    return rows.orderBy("updated_at", "symbol", "window_start").select(
+    if ordered:
+        rows = rows.orderBy("updated_at", "symbol", "window_start")
+    return rows.select(
         F.col("updated_at").alias("time"),
         F.col("symbol").alias("metric"),
         F.col(value_col).alias("value"),

@@ -1,4 +1,4 @@
-"""Structured Streaming: foreachBatch upserts, console, replay source."""
+"""Structured Streaming: foreachBatch upserts and console."""
 
 from tickflow.streaming.jobs import (
     dbapi_writer,
@@ -13,16 +13,13 @@ from tickflow.streaming.jobs import (
     start_tick_jobs,
     store_writer,
 )
-from tickflow.streaming.replay import replay_events, run_until_done
 
 __all__ = [
     "dbapi_writer",
     "enriched_writer",
     "fan_out",
     "kv_writer",
-    "replay_events",
     "run_streams",
-    "run_until_done",
     "start_console",
     "start_console_jobs",
     "start_enriched_job",
