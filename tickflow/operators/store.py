@@ -24,6 +24,7 @@ compaction later, so a read that began before a compaction still finds them.
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
@@ -101,12 +102,14 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 
 _last_version = 0
+_version_lock = threading.Lock()
 
 
 def _next_version() -> int:
     global _last_version
-    _last_version = max(time.time_ns() // 1000, _last_version + 1)
-    return _last_version
+    with _version_lock:
+        _last_version = max(time.time_ns() // 1000, _last_version + 1)
+        return _last_version
 
 
 def upsert(

@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -439,29 +440,45 @@ def run_backfill(
     tick_panes(trades, pane).write.mode("overwrite").parquet(panes_path)
     try:
         panes = spark.read.parquet(panes_path)
+        work: list[tuple[DataFrame, list[Writer]]] = []
         for name, df in pane_aggregations(panes, pane).items():
             writers = []
             if kv:
                 writers.append(kv_writer(f"{root}/kv_{name}", _TO_KV[name], writer=f"backfill_{name}"))
             if stores:
-                writers.append(store_writer(f"{root}/{name}", TABLE_KEYS[name], views=name in VIEW_TABLES, writer="backfill"))
+                views = name in VIEW_TABLES
+                writers.append(store_writer(f"{root}/{name}", TABLE_KEYS[name], views=views, writer="backfill"))
             if name == "windowed" and meta is not None:
                 # The enrichment joins the same 30 s stats: computed once, reused.
-                writers.append(
-                    enriched_writer(meta, f"{root}/enriched", f"{root}/kv_windowed", writer="backfill_enriched")
-                )
-            out = df.persist()
-            counted = _ROWS.set(out.count())
-            try:
-                with writing_epoch("0"):
-                    fan_out(*writers)(out, batch_id)
-            finally:
-                _ROWS.reset(counted)
+                writers.append(enriched_writer(meta, f"{root}/enriched", f"{root}/kv_windowed", writer="backfill_enriched"))
+            work.append((df.persist(), writers))
+        try:
+            # The tables and writers are independent: their jobs share the cluster instead of queueing.
+            with ThreadPoolExecutor(max_workers=8) as pool:
+                counted = list(pool.map(lambda w: w[0].count(), work))
+                done = [
+                    pool.submit(_write_backfill, writer, out, batch_id, rows)
+                    for (out, writers), rows in zip(work, counted)
+                    for writer in writers
+                ]
+                for d in done:
+                    d.result()
+        finally:
+            for out, _ in work:
                 out.unpersist()
     finally:
         _delete(spark, panes_path)
 
 
+def _write_backfill(writer: Writer, out: DataFrame, batch_id: int, rows: int) -> None:
+    counted = _ROWS.set(rows)
+    try:
+        with writing_epoch("0"):
+            writer(out, batch_id)
+    finally:
+        _ROWS.reset(counted)
+
+
 # --- maintenance ---------------------------------------------------------------------------
 
 
