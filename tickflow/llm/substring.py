@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.repeats import BASE_A, BASE_B, Words, merged, polynomial, repeated_keys, with_flags
+from tickflow.llm.repeats import BASE_A, BASE_B, Words, bucket_count, keys_of_texts, merged, polynomial, repeated_keys, texts, with_keys
 
 WINDOW = 13
 SCHEMA = "doc_id long, n_words long, spans array<struct<start:long,stop:long>>, kept_text string"
@@ -70,11 +70,33 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 names=list(out),
             )
 
-    flags = repeated_keys(docs, keys, first_too=False)
-    return with_flags(docs, flags).mapInArrow(cut, SCHEMA)
+    rows = texts(docs)
+    found = repeated_keys(rows, keys_of_texts(keys), bucket_count(docs), first_too=False)
+    return with_keys(rows, found).mapInArrow(cut, SCHEMA)
 
 
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of ``remove_repeats``."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos,
+         unnest(list_transform(range(1, len(words) + 1),
+                lambda i: CASE WHEN i + 12 <= len(words) THEN array_to_string(words[i:i + 12], ' ') END)) AS words_from
+  FROM split),
+judged AS (
+  SELECT *, CASE WHEN words_from IS NOT NULL AND min(doc_id) OVER (PARTITION BY words_from) < doc_id THEN 1 ELSE 0 END AS repeats
+  FROM word),
+covered AS (
+  SELECT doc_id, pos, word, max(repeats) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM judged),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT s.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id)"""
