@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, secrets, simhash, substring
+from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, secrets, simhash, substring, suffixes
 from tickflow.llm.common import load
 
 
@@ -36,6 +36,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(load(spark, sf_dir, "documents")))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(load(spark, sf_dir, "documents"))
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(load(spark, sf_dir, "documents")))
 
@@ -58,7 +62,8 @@ def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame],
         "op4_simhash": (op4_simhash, None),
         "op5_packing": (op5_packing, None),
         "op6_licenses": (op6_licenses, None),
-        "op8_substring": (op8_substring, None),
+        "op7_suffix_array": (op7_suffix_array, None),
+        "op8_substring": (op8_substring, substring.ORACLE),
         "op9_secrets": (op9_secrets, None),
         "op10_mixing": (op10_mixing, mixing.ORACLE),
     }
