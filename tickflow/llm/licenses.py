@@ -20,6 +20,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from typing import NamedTuple
 
@@ -201,11 +202,13 @@ FOUND = "array<struct<start:int,stop:int,rule:string,label:string,priority:int,c
 
 def _detections(table: list[Rule], present: Column) -> Column:
     """All matches of the rules whose keyword is present, ordered so that one comes after those that may suppress it."""
-    entry = lambda r: F.struct(
-        F.lit(r.name).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
-        F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"),
-    )
-    tried = F.filter(F.array(*[entry(r) for r in table]), lambda r: F.array_contains(present, r["keyword"]))
+    by_keyword: dict[str, list[dict]] = {}
+    for r in table:
+        own = {"rule": r.name, "label": r.label, "pattern": r.pattern, "priority": r.priority, "confidence": r.confidence}
+        by_keyword.setdefault(r.keyword, []).append(own)
+    rule = "struct<rule:string,label:string,pattern:string,priority:int,confidence:double>"
+    gated = F.from_json(F.lit(json.dumps(by_keyword)), f"map<string,array<{rule}>>")  # a constant
+    tried = F.flatten(F.transform(present, lambda k: F.element_at(gated, k)))
 
     def matches(r: Column) -> Column:
         return F.transform(
@@ -241,3 +244,42 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.col("n_base").cast("long").alias("n_base"), "first_word", "last_word",
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
     )
+
+
+def oracle() -> str:
+    """DuckDB text of ``digest(scan(documents))``, from the same tables of rules and phrases."""
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    table = ",\n  ".join(f"({quote(r.name)}, {quote(r.label)}, {quote(r.keyword)}, {quote(r.pattern)}, {r.priority}, {r.confidence})" for r in rules())
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, {quote(label)} AS label, i - 1 AS place FROM spaced, unnest(range(1, len(words) + 1)) AS t(i) "
+        f"WHERE words[i:i + {len(phrase.split()) - 1}] = {phrase.split()}"
+        for phrase, label in BASE.items()
+    )
+    return rf"""
+WITH rules(rule, label, keyword, pattern, priority, confidence) AS (VALUES
+  {table}),
+spaced AS (
+  SELECT doc_id, words, CASE WHEN len(words) > 0 THEN ' ' || array_to_string(words, '  ') || ' ' ELSE '' END AS d
+  FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents)),
+places AS ({places}),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list_sort(list(DISTINCT label)) AS labels
+  FROM places GROUP BY doc_id),
+tried AS (
+  SELECT doc_id, r.*, regexp_extract_all(d, pattern) AS m, string_split_regex(d, pattern) AS g
+  FROM spaced JOIN rules r ON contains(d, ' ' || keyword || ' ')),
+found AS (
+  SELECT doc_id, rule, label, priority, confidence, sum_g + sum_m AS start, sum_g + sum_m + length(m[i]) AS stop
+  FROM (SELECT *, list_sum([0] || list_transform(g[1:i], lambda x: length(x))) AS sum_g,
+               list_sum([0] || list_transform(m[1:i - 1], lambda x: length(x))) AS sum_m
+        FROM tried, unnest(range(1, len(m) + 1)) AS t(i))),
+kept AS (
+  SELECT * FROM found f WHERE NOT EXISTS (
+    SELECT 1 FROM found e WHERE e.doc_id = f.doc_id AND e.priority >= f.priority AND e.stop >= f.stop
+      AND (e.start, -e.stop, -e.priority, e.rule) < (f.start, -f.stop, -f.priority, f.rule))),
+own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(confidence) AS best FROM kept GROUP BY doc_id)
+SELECT s.doc_id, len(words) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+       coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(b.labels, []) || coalesce(o.labels, []))), ',') AS labels,
+       greatest(coalesce(o.best, 0)::DOUBLE, CASE WHEN b.n_base > 0 THEN {BASE_SCORE} ELSE 0 END::DOUBLE) AS score
+FROM spaced s LEFT JOIN base b USING (doc_id) LEFT JOIN own o USING (doc_id)"""

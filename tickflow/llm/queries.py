@@ -61,7 +61,7 @@ def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame],
         "op3_exact_dedup": (op3_exact_dedup, exact.ORACLE),
         "op4_simhash": (op4_simhash, None),
         "op5_packing": (op5_packing, None),
-        "op6_licenses": (op6_licenses, None),
+        "op6_licenses": (op6_licenses, licenses.oracle()),
         "op7_suffix_array": (op7_suffix_array, None),
         "op8_substring": (op8_substring, substring.ORACLE),
         "op9_secrets": (op9_secrets, None),

@@ -15,9 +15,11 @@ def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
     text; ``before`` and ``after`` are at most ``context`` characters long.  The
     pattern must not match the empty string.
     """
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, F.lit(-1))
-    turns = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(gaps, i).alias("g"), F.get(gaps, i + 1).alias("h")))
+    # Each array is an argument of its own, so it is made once a text and not once a match.
+    found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, F.lit(-1))
+    after = F.slice(F.split(text, pattern, F.lit(-1)), F.lit(2), F.lit(2**31 - 1)) if context else F.array().cast("array<string>")
+    turns = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+    turns = F.zip_with(turns, after, lambda t, h: F.struct(t["g"].alias("g"), t["m"].alias("m"), h.alias("h")))
 
     def step(held: Column, t: Column) -> Column:
         start = held["at"] + F.length(t["g"])
@@ -29,7 +31,9 @@ def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
             (F.right(t["g"], F.lit(context)) if context else F.lit("")).alias("before"),
             (F.left(t["h"], F.lit(context)) if context else F.lit("")).alias("after"),
         )
-        return F.struct(stop.alias("at"), F.concat(held["out"], F.array(one)).cast(MATCHES).alias("out"))
+        more = F.struct(stop.alias("at"), F.concat(held["out"], F.array(one)).cast(MATCHES).alias("out"))
+        return F.when(t["m"].isNull(), held).otherwise(more)  # after the last match only a gap is left
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("out"))
-    return F.aggregate(turns, zero, step, lambda held: held["out"])
+    folded = F.aggregate(turns, zero, step, lambda held: held["out"])
+    return F.when(F.rlike(text, pattern), folded).otherwise(F.array().cast(MATCHES))
