@@ -47,7 +47,10 @@ def enrich(
     ``dimension_side`` (streams decide once, not per micro-batch).
     """
     side = meta if broadcast_max_rows is None else dimension_side(meta, broadcast_max_rows)
-    joined = stats.join(side, on="symbol", how="inner")
+    # Null-safe, so that no filter of the join reaches the aggregation below: where the plain
+    # statistics are stored too, both share one scan and one exchange.  The side has no null symbol.
+    known = side.where(F.col("symbol").isNotNull()).withColumnRenamed("symbol", "_symbol")
+    joined = stats.join(known, F.col("symbol").eqNullSafe(F.col("_symbol")), "inner").drop("_symbol")
     out = joined.withColumn("price_range_pct", price_range_pct(digits=pct_digits)).withColumn(
         "status", label_status(threshold=threshold)
     )
