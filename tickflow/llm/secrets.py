@@ -1,7 +1,11 @@
 """Secret scans: candidates by rule, false positives removed by a random forest.
 
 A candidate is a run of at least ``LEAST_CHARS`` key characters that holds a
-digit, found in the whole text.  Its features are its length, how its
+digit, the value that follows a name like password, token or API key (quoted:
+all up to the closing quote; else up to white space, a quote or the next
+``name=``), or a vendor's key form, found in the whole text.  A value may hold
+a run; both are findings then, but equal ones are one.  Its features are its
+length, how its
 characters change class from one to the next, the share that dictionary words
 cover, path marks and the neighbouring words.  The forest (Spark ML) learns
 from labelled findings, a bounded sample of ``MOST_LABELLED`` of either label
@@ -10,8 +14,9 @@ from labelled findings, a bounded sample of ``MOST_LABELLED`` of either label
 
 Where no labels are at hand, ``seed_labels`` labels the findings whose form or
 neighbours leave no doubt: vendors' key formats and values assigned to a
-password, token or key are secrets; numbers, UUIDs, digests, addresses and
-placeholders are not.  All else is left to the forest.
+password, token or key are secrets if they are a run or mix letters with digits
+or signs; numbers, UUIDs, digests, addresses, placeholders, literals, code and
+a bare word without quotes are not.  All else is left to the forest.
 
 Everything is native columns and Spark ML: candidates are found by a map-only
 pass, and only they are kept.
@@ -41,6 +46,7 @@ MOST_LABELLED = 10_000
 TREES, DEPTH, SEED = 24, 6, 7
 THRESHOLD = 0.5
 
+RUN = "[A-Za-z0-9+/_-]"
 CANDIDATE = r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 
 # --- fixed values: forms of keys, marks of what is no key, words
@@ -53,7 +59,22 @@ VENDOR_KEYS = {
     "gitlab-token": r"^glpat-[0-9A-Za-z_-]{20,}$",
     "npm-token": r"^npm_[0-9A-Za-z]{36}$",
 }
-ASSIGNED = r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential)s?[\"']?\s*(?:=|:|=>|:=)\s*[\"'`]?$"
+NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential)s?"
+STAGE = r"(?:[_-](?i:production|prod|staging|development|dev|test|live|main|old|new|[0-9]{1,3}))*"
+ASSIGN = NAME + STAGE + r"[\"'`]?\s*(?:=>|:=|={1,3}|:)\s*"
+ASSIGNED = ASSIGN + r"[\"'`]?$"
+# Possessive loops: they neither go back nor recurse, however long the value is.
+QUOTED = "|".join(rf"{q}(?:[^{q}\\\n]|\\.)*+{q}" for q in "\"'`")
+UNQUOTED = r"[\"'`]?(?:[^\s\"'`,;&]|[,;&](?!\s|[A-Za-z_][A-Za-z0-9_.-]*=))++"
+VENDOR = rf"(?<![0-9A-Za-z])(?:{'|'.join(form[1:-1] for form in VENDOR_KEYS.values())})(?![0-9A-Za-z])"
+VALUE = f"{ASSIGN}(?:{QUOTED}|{UNQUOTED})|{VENDOR}"
+# What is assigned but plainly no secret, and what plainly is one; of whole values that are no run.
+NO_VALUE = (
+    r"(?i)^(?:null|none|nil|undefined|true|false|yes|no|required|optional|string|str|text|bytes|int|integer|number|object|any|bool|boolean|empty|missing|invalid|expired)$"
+    r"|^\W{1,2}$|^[$%]?[{(<\[]|^\$[A-Z_]+$|[A-Za-z_\])]\(|^(?:os|process|self|this|config|settings|env|request|req|args|options)\."
+)
+SURE_VALUE = r"^(?!.*://)(?=.*[A-Za-z])(?=.*[0-9!@#%^&*?~])\S{6,}$"
+PROSE_VALUE = r"^[A-Za-z]?[a-z]*$"
 NO_KEY_FORM = r"(?i)^(?:[0-9+/_=-]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
 NO_KEY_BEFORE = r"(?i)(?:(?:sha-?(?:1|256|512)|md5|commit|checksum|digest|etag|uuid|revision|hash)\W{0,4}|://\S*)$"
 PATH_FORM = r"^/{0,2}[A-Za-z]{2,}(?:[/_-][A-Za-z]{2,})+"
@@ -77,8 +98,28 @@ CLASSES = "vcuds"  # vowel, consonant, upper case, digit, sign
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, start, stop (characters), match, before, after: every candidate of every text."""
-    found = docs.select("doc_id", F.explode(find_all(text_or_empty(), F.lit(CANDIDATE), CONTEXT)).alias("f"))
-    return found.select("doc_id", "f.*")
+    both = F.array(*[find_all(text_or_empty(), F.lit(p), CONTEXT) for p in (CANDIDATE, VALUE)])
+    found = docs.select("doc_id", F.posexplode(both).alias("by_", "f"))
+    found = found.select("doc_id", "by_", F.explode("f").alias("f")).select("doc_id", "by_", "f.*")
+    # Of a match of VALUE the value alone: without the name, the quotes and, where none opened, marks that close a sentence or a bracket.
+    by_value = F.col("by_") == 1
+    lead = F.when(by_value, F.regexp_extract("match", f"^{ASSIGN}[\"'`]?", 0)).otherwise("")
+    rest = F.expr("substring(match, length(lead_) + 1)")
+    bare = F.when(F.col("lead_").rlike("[\"'`]$"), F.regexp_replace(rest, "[\"'`]$", "")).otherwise(F.regexp_replace(rest, r"[.,;)\]}>]++$", ""))
+    found = found.withColumn("lead_", lead).withColumn("value_", F.when(by_value, bare).otherwise(F.col("match")))
+    start = F.col("start") + F.length("lead_")
+    out = found.select(
+        "doc_id",
+        start.alias("start"),
+        (start + F.length("value_")).alias("stop"),
+        F.col("value_").alias("match"),
+        F.right(F.concat("before", "lead_"), F.lit(CONTEXT)).alias("before"),
+        F.left(F.concat(F.expr("substring(match, length(lead_) + length(value_) + 1)"), "after"), F.lit(CONTEXT)).alias("after"),
+        by_value.alias("by_value_"),
+    )
+    # What CANDIDATE finds just so is not found twice.
+    run = F.col("match").rlike(f"^{CANDIDATE}$") & ~F.col("before").rlike(f"{RUN}$") & ~F.col("after").rlike(f"^(?:{RUN}|=)")
+    return out.filter(~F.col("by_value_") | ((F.col("match") != "") & ~run)).drop("by_value_")
 
 
 def _classes(text: Column) -> Column:
@@ -144,9 +185,11 @@ def rule_name() -> Column:
 def seed_labels(findings: DataFrame) -> DataFrame:
     """The findings with ``label``: 1.0 secret, 0.0 not, null where form and neighbours don't tell."""
     no_key = F.col("match").rlike(NO_KEY_FORM) | F.col("before").rlike(NO_KEY_BEFORE) | F.col("match").rlike(PLACEHOLDER)
-    rule = rule_name()
-    label = F.when(no_key, 0.0).when(~rule.isin("assigned-value", "generic"), 1.0).when(F.col("match").rlike(PATH_FORM), 0.0)
-    label = label.when(rule == "assigned-value", 1.0)
+    rule, run, quoted = rule_name(), F.col("match").rlike(f"^{CANDIDATE}$"), F.col("before").rlike("[\"'`]$")
+    no_value = F.col("match").rlike(NO_VALUE) | (~quoted & F.col("match").rlike(PROSE_VALUE))
+    label = F.when(no_key, 0.0).when(~rule.isin("assigned-value", "generic"), 1.0)
+    label = label.when(F.col("match").rlike(PATH_FORM), F.when(~F.col("match").rlike("[!@#%^&*?~]"), 0.0))
+    label = label.when(~run & no_value, 0.0).when((rule == "assigned-value") & (run | F.col("match").rlike(SURE_VALUE)), 1.0)
     return findings.withColumn("label", label)
 
 
