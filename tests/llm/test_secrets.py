@@ -107,3 +107,37 @@ def test_short_digit_free_and_symbol_bearing_secrets_are_found(spark):
     kept = {(r.doc_id, r.match) for r in out if r.is_secret}
     assert plain <= {(r.doc_id, r.match) for r in out}
     assert len(kept & want) >= 0.95 * len(want) and len(kept & plain) <= 0.05 * len(plain)
+
+
+def test_neighbours_come_from_the_text_and_not_from_the_gap(spark):
+    rows = [
+        (1, 'my_long_production_1_api_key = "AbCdEf123456GhIjKl7890"'),
+        (2, "é tokens: [" + ", ".join(f'"{i}aBcDeFgHiJkLmNoPq{i}"' for i in range(30)) + "] end"),
+        (3, "password=hunter2! pwd=abc7# secret=1b token=zz9 " * 20),
+    ]
+    texts = dict(rows)
+    out = candidates(documents(spark, rows)).collect()
+    assert all(r.before == texts[r.doc_id][max(0, r.start - secrets.CONTEXT) : r.start] for r in out)
+    assert all(r.after == texts[r.doc_id][r.stop : r.stop + secrets.CONTEXT] for r in out)
+    labels = {(r.doc_id, r.match): r.label for r in seed_labels(candidates(documents(spark, rows))).collect()}
+    assert labels[1, "AbCdEf123456GhIjKl7890"] == 1.0
+
+
+def test_features_are_of_the_whole_run(spark):
+    rows = [(1, "a1" * 200 + "B" * 400), (2, "a1" * 400)]
+    one, two = sorted(features(seed_labels(candidates(documents(spark, rows)))).collect(), key=lambda r: r.doc_id)
+    assert one.x_length == two.x_length == 800 and one.x_upper == 0.5 and two.x_upper == 0
+    assert one.x_uu == 399 / 800 and one.x_distinct == 3 / 800 and two.x_vd == 0.5
+
+
+def test_a_finding_copied_often_is_one_example(spark):
+    copied = [(i, 'token = "zZ8yX7wV6uT5sR4qP3oN2"') for i in range(200)]
+    rows, _ = planted(n=10)
+    labelled = features(seed_labels(candidates(documents(spark, copied + rows)))).filter("label IS NOT NULL")
+    sampled = []
+    real, secrets.settle = secrets.settle, lambda df: sampled.append(real(df)) or sampled[-1]
+    try:
+        train(labelled, most=15)
+    finally:
+        secrets.settle = real
+    assert sampled[0].filter("label = 1").count() == sampled[0].filter("label = 1").distinct().count() == 15

@@ -8,8 +8,8 @@ a run; both are findings then, but equal ones are one.  Its features are its
 length, how its
 characters change class from one to the next, the share that dictionary words
 cover, path marks and the neighbouring words.  The forest (Spark ML) learns
-from labelled findings, a bounded sample of ``MOST_LABELLED`` of either label
-(those that hash lowest), and scores every candidate; a score under
+from labelled findings, a bounded sample of ``MOST_LABELLED`` distinct ones of
+either label (those that hash lowest), and scores every candidate; a score under
 ``THRESHOLD`` is a false positive.
 
 Where no labels are at hand, ``seed_labels`` labels the findings whose form or
@@ -40,7 +40,6 @@ from tickflow.llm.common import settle, text_or_empty
 from tickflow.llm.spans import find_all
 
 LEAST_CHARS = 16
-MOST_CHARS = 400  # features are of the first so many characters of a run
 CONTEXT = 48
 MOST_LABELLED = 10_000
 TREES, DEPTH, SEED = 24, 6, 7
@@ -130,17 +129,12 @@ def _classes(text: Column) -> Column:
     return out
 
 
-def _equal_to(pair: str):
-    return lambda p: p == F.lit(pair)
-
-
 def features(findings: DataFrame) -> DataFrame:
     """The findings with their numeric features in columns ``x_*``."""
-    match = F.left("match", F.lit(MOST_CHARS))
+    match = F.col("match")
     size = F.length(match).cast("double")
     rows = findings.withColumn("classes_", _classes(match))
-    pairs = F.transform(F.sequence(F.lit(1), F.length("classes_") - 1), lambda i: F.substring(F.col("classes_"), i, F.lit(2)))
-    rows = rows.withColumn("pairs_", pairs)
+    pairs = lambda a, b: F.regexp_count("classes_", F.lit(f"{a}(?={b})"))
     letters = F.regexp_replace(match, "[^A-Za-z]", "")
     uncovered = F.regexp_replace(F.lower(match), "|".join(sorted((w for w in DICTIONARY if len(w) > 2), key=lambda w: (-len(w), w))), "")
     runs = F.length(F.regexp_replace("classes_", r"(.)\1+", "$1"))
@@ -166,8 +160,8 @@ def features(findings: DataFrame) -> DataFrame:
     }
     for a in CLASSES:
         for b in CLASSES:
-            columns[f"x_{a}{b}"] = F.size(F.filter("pairs_", _equal_to(a + b))) / size
-    return rows.withColumns(columns).drop("classes_", "pairs_")
+            columns[f"x_{a}{b}"] = pairs(a, b) / size
+    return rows.withColumns(columns).drop("classes_")
 
 
 def feature_names(featured: DataFrame) -> list[str]:
@@ -197,6 +191,7 @@ def train(labelled: DataFrame, most: int = MOST_LABELLED) -> PipelineModel | Non
     """A forest from featured findings with ``label`` (0.0 or 1.0); None unless both labels occur."""
     order = [F.xxhash64("match", "before", "after"), F.col("match"), F.col("before"), F.col("after")]
     names = feature_names(labelled)
+    labelled = labelled.select("label", "match", "before", "after", *names).distinct()
     parts = [labelled.filter(F.col("label") == v).orderBy(*order).limit(most).select("label", *names) for v in (0.0, 1.0)]
     sample = settle(parts[0].union(parts[1]))
     if sample.select("label").distinct().count() < 2:

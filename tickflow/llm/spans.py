@@ -8,18 +8,37 @@ from pyspark.sql import functions as F
 MATCHES = "array<struct<start:int,stop:int,match:string,before:string,after:string>>"
 
 
+def _followed_by(text: Column, pattern: Column, context: int) -> Column:
+    """The ``context`` characters after each match, in order: gathered from the text's end."""
+    gaps = F.reverse(F.split(text, pattern, F.lit(-1)))
+    found = F.reverse(F.regexp_extract_all(text, pattern, F.lit(0)))
+    turns = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+
+    def step(held: Column, t: Column) -> Column:
+        after = F.left(F.concat(t["g"], held["next"]), F.lit(context))
+        more = F.struct(F.left(F.concat(t["m"], after), F.lit(context)).alias("next"), F.concat(held["out"], F.array(after)).alias("out"))
+        return F.when(t["m"].isNull(), held).otherwise(more)
+
+    zero = F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(turns, zero, step, lambda held: F.reverse(held["out"]))
+
+
 def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
     """Array of (start, stop, match, before, after), in order; characters from 0.
 
     The texts between the matches give the places, so the work is linear in the
-    text; ``before`` and ``after`` are at most ``context`` characters long.  The
-    pattern must not match the empty string.
+    text; ``before`` and ``after`` are the text's ``context`` characters at the
+    match's sides, other matches among them.  The pattern must not match the
+    empty string.
     """
     # Each array is an argument of its own, so it is made once a text and not once a match.
     found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, F.lit(-1))
-    after = F.slice(F.split(text, pattern, F.lit(-1)), F.lit(2), F.lit(2**31 - 1)) if context else F.array().cast("array<string>")
     turns = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    turns = F.zip_with(turns, after, lambda t, h: F.struct(t["g"].alias("g"), t["m"].alias("m"), h.alias("h")))
+    if context:
+        turns = F.zip_with(turns, _followed_by(text, pattern, context), lambda t, h: F.struct(t["g"].alias("g"), t["m"].alias("m"), h.alias("h")))
+
+    def last(*parts: Column) -> Column:
+        return F.right(F.concat(*parts), F.lit(context)) if context else F.lit("")
 
     def step(held: Column, t: Column) -> Column:
         start = held["at"] + F.length(t["g"])
@@ -28,12 +47,14 @@ def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
             start.alias("start"),
             stop.alias("stop"),
             t["m"].alias("match"),
-            (F.right(t["g"], F.lit(context)) if context else F.lit("")).alias("before"),
-            (F.left(t["h"], F.lit(context)) if context else F.lit("")).alias("after"),
+            last(held["last"], t["g"]).alias("before"),
+            (t["h"] if context else F.lit("")).alias("after"),
+        )
+        more = F.struct(
+            stop.alias("at"), last(held["last"], t["g"], t["m"]).alias("last"), F.concat(held["out"], F.array(one)).cast(MATCHES).alias("out")
         )
-        more = F.struct(stop.alias("at"), F.concat(held["out"], F.array(one)).cast(MATCHES).alias("out"))
         return F.when(t["m"].isNull(), held).otherwise(more)  # after the last match only a gap is left
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), F.array().cast(MATCHES).alias("out"))
     folded = F.aggregate(turns, zero, step, lambda held: held["out"])
     return F.when(F.rlike(text, pattern), folded).otherwise(F.array().cast(MATCHES))
