@@ -112,3 +112,12 @@ def test_run_equals_the_stages_and_an_empty_table_passes(spark, tmp_path):
 def test_stages_keep_the_columns(spark, stage):
     docs = documents(spark, awkward_rows())
     assert corpus_pipeline.STAGES[stage][1](spark, docs, "").columns == docs.columns
+
+
+@pytest.mark.parametrize("lang", ["en", None])
+def test_texts_of_an_unlearned_script_stay(spark, lang):
+    rows = [(i, f"the words of text number {i} in the house", lang, "web") for i in range(12)]
+    rows += [(20, "今天天气很好我们去公园散步", None, "web"), (21, "12 34 --", None, "web"), (22, None, lang, "web"), (23, "", lang, "web"), (24, "Привет мир", None, "books")]
+    kept = corpus_pipeline.language_id(spark, documents(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(12), 20, 24]
+    assert 0 < _run(spark, documents(spark, rows), rows)

@@ -141,25 +141,29 @@ class Judge:
                 self.ranks[place[gram], j] = rank
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: bytes | None) -> tuple[str, float, bool]:
         top = top_grams(*gram_counts(text), self.most)
         if not len(top) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(top) > 0
         at = np.searchsorted(self.known, top)
         at[self.known[np.minimum(at, len(self.known) - 1)] != top] = len(self.known)
         ranks = self.ranks[at]
         away = np.where(ranks < 0, self.most, np.abs(ranks - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(np.argmin(away))
-        return self.langs[best], 1.0 - float(away[best]) / (self.most * len(top))
+        return self.langs[best], 1.0 - float(away[best]) / (self.most * len(top)), True
 
 
 def predicted(profiles: Profiles, text: Column, most: int = PROFILE_GRAMS) -> Column:
-    """Struct lang_pred, score of a text column."""
+    """Struct lang_pred, score, lettered (whether it has a letter) of a text column."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, lettered boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         judge = Judge(profiles, most)
         for texts in batches:
-            yield pd.DataFrame([judge.predict(t) for t in texts], columns=["lang_pred", "score"]).astype({"score": "float64"})
+            rows = [judge.judge(t) for t in texts]
+            yield pd.DataFrame(rows, columns=["lang_pred", "score", "lettered"]).astype({"score": "float64", "lettered": "bool"})
 
     return predict(text.cast("binary"))
 
@@ -178,9 +182,13 @@ def identify(docs: DataFrame, most: int = PROFILE_GRAMS) -> DataFrame:
 
 
 def identified_documents(docs: DataFrame, least_score: float = 0.0, most: int = PROFILE_GRAMS) -> DataFrame:
-    """The columns of ``docs`` for documents with a language and more than ``least_score``."""
+    """The columns of ``docs`` for documents with a letter that score at least ``least_score``.
+
+    A text whose n-grams no profile has scores 0, as does every text where no
+    language was learned: both stay unless ``least_score`` is above 0.
+    """
     profiles = learn_profiles(docs.filter(~held_out()), most)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     judged = rows.withColumn("p", predicted(profiles, F.col("doc.text"), most))
-    kept = judged.filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > least_score))
+    kept = judged.filter(F.col("p.lettered") & (F.col("p.score") >= least_score))
     return kept.select("doc.*")
