@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tickflow.llm import permutation
@@ -82,3 +83,23 @@ def test_recall(spark, sf):
         hit += len(best & found[int(ids[at])])
         total += 20
     assert hit / total >= 0.93, hit / total
+
+
+@pytest.mark.parametrize("sf, blocks", [("sf0.1", 1), ("check_s", 1), ("check_l", 4)])
+def test_recall_of_the_share_without_the_floor(monkeypatch, sf, blocks):
+    monkeypatch.setattr(permutation, "LEAST_RERANKED", 1)
+    table = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet")
+    ids, first = np.unique(table["vec_id"].to_numpy(), return_index=True)
+    matrix, rng = np.array(table["embedding"].to_pylist(), np.float64)[first], np.random.default_rng(0)
+    assert -(-len(ids) // permutation.BLOCK_VECTORS) == blocks
+    pivots, home = matrix[rng.choice(len(ids), permutation.PIVOTS, replace=False)], rng.integers(0, blocks, len(ids))
+    parts = [Block(ids[home == b], matrix[home == b], pivots, permutation.PREFIX) for b in range(blocks)]
+    wanted = rng.permutation(np.flatnonzero(ids % 20 == 0))[:100]
+    hit = 0
+    for at, order in zip(wanted, prefixes(matrix[wanted], pivots, permutation.PREFIX)):
+        near = [part.nearest(ids[at], matrix[at], order, permutation.RERANKED, 20) for part in parts]
+        found = sorted((-s, i) for some, scores in near for i, s in zip(some, scores))[:20]
+        score = matrix @ matrix[at]
+        score[at] = -np.inf
+        hit += len({i for _, i in found} & set(ids[np.argpartition(-score, 20)[:20]].tolist()))
+    assert hit / (20 * len(wanted)) > 0.9
