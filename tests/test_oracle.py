@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF_CHECK
+from paths import SF_CHECK
 from tickflow.plans.registry import registry
 from tools.check_oracle import TABLES, rows_of
 

@@ -1,6 +1,6 @@
 """Plan properties the design relies on (checked on the physical plan)."""
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tickflow.operators.enrich import enrich
 from tickflow.operators.windows import moving_average, window_stats
 from tickflow.plans import reports as R

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tickflow.operators.store import latest_by_key
 from tickflow.operators.windows import window_stats
 from tickflow.plans.registry import trades as batch_trades

@@ -13,7 +13,7 @@ from tickflow.sources.kafka import kafka_sink_options, kafka_source_options, rea
 from tickflow.streaming.jobs import checkpoint_id, fan_out, start_console, start_query, store_writer
 from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 KEYS = ["symbol", "window_start"]
 

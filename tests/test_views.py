@@ -64,7 +64,7 @@ def test_views_equal_full_table_panels(spark, batches):
 
 
 def test_backfill_keeps_views_of_its_tables(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from tickflow.plans.registry import trades
     from tickflow.streaming.jobs import run_backfill
 
@@ -82,7 +82,7 @@ def test_backfill_keeps_views_of_its_tables(spark):
 def test_compact_tables_keeps_every_read(spark):
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from tickflow.operators.kv import read_kv
     from tickflow.plans.registry import dimension_fixture, trades
     from tickflow.streaming.jobs import compact_tables, run_backfill

@@ -151,7 +151,7 @@ def _same(a, b, digits=9):
 
 
 def test_pane_derivations_equal_direct_operators(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from tickflow.operators.windows import (
         moving_average_from_panes,
         range_anomalies_from_panes,
