@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 
 from tickflow.llm.exact import exact_dedup
 from tickflow.llm.mixing import mix, mixed_documents, random_key

@@ -2,7 +2,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 
 from tickflow.llm import langid
 from tickflow.llm.common import load

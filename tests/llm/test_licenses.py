@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 
 from tickflow.llm import licenses
 from tickflow.llm.licenses import BASE, digest, rules, scan

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

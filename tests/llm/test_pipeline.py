@@ -9,7 +9,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 from test_exact_mixing import _targets
 from test_simhash import brute_components, brute_fingerprint
 from tokenizers import Tokenizer

@@ -1,7 +1,7 @@
 import random
 import re
 
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 from pyspark.sql import functions as F
 
 from tickflow.llm import secrets

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 from pyspark.sql import functions as F
 
 from tickflow.llm import simhash

@@ -2,7 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 
 from tickflow.llm import repeats
 from tickflow.llm.substring import digest, remove_repeats

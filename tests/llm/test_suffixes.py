@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from helpers import awkward_rows, documents
+from awkward import awkward_rows, documents
 
 from tickflow.llm import repeats
 from tickflow.llm.suffixes import minimisers, repeated_passages, sure_words
