@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import exact, langid, licenses, mixing, packing, permutation, secrets, simhash, substring, suffixes
+from tickflow.llm import (
+    exact,
+    langid,
+    licenses,
+    lines,
+    mixing,
+    packing,
+    periodic,
+    permutation,
+    secrets,
+    simhash,
+    spelling,
+    substring,
+    suffixes,
+)
 from tickflow.llm.common import load
 
 
@@ -53,6 +67,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.remove_repeated_lines(load(spark, sf_dir, "documents")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(load(spark, sf_dir, "documents"), words_of=periodic.planted_words))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.with_slips(spelling.words_of(load(spark, sf_dir, "documents")))
+    return spelling.variants(spelling.counted(words))
+
+
 def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """name -> (Spark callable, DuckDB oracle text or None)."""
     return {
@@ -66,4 +93,7 @@ def llm_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame],
         "op8_substring": (op8_substring, substring.ORACLE),
         "op9_secrets": (op9_secrets, None),
         "op10_mixing": (op10_mixing, mixing.ORACLE),
+        "op11_line_dedup": (op11_line_dedup, lines.ORACLE),
+        "op12_periodic_runs": (op12_periodic_runs, None),
+        "op13_spelling": (op13_spelling, None),
     }
