@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from awkward import awkward_rows, documents
 
+from tickflow.llm import spelling
 from tickflow.llm.spelling import LONGEST, counted, neighbours, variants, with_slips, words_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,18 +72,20 @@ def spelling_rows(seed=0):
 
 
 @pytest.mark.parametrize("rows", [spelling_rows(), awkward_rows(), [], [(1, None)]], ids=["spelling", "awkward", "empty", "null"])
-def test_variants_match_brute_force(spark, rows):
+def test_variants_match_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(spelling, "LONGEST", 16)
     words = with_slips(words_of(documents(spark, rows).repartition(3)))
     out = variants(counted(words)).collect()
     got = [(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in out]
     assert len(got) == len(set(got)) and set(got) == brute(rows)
 
 
-def test_neighbours_of_random_words(spark):
+def test_neighbours_of_random_words(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "LONGEST", 20)
     rng = random.Random(5)
     words = {"".join(rng.choice("abÿ") for _ in range(rng.randrange(7, 11))) for _ in range(3000)}
-    words |= {"".join(rng.choice("ab") for _ in range(rng.randrange(LONGEST - 2, LONGEST + 3))) for _ in range(40)}
-    words |= {w[:i] + c + w[i + k :] for w in sorted(words) if len(w) > 60 for i, c, k in [(0, "", 1), (30, "ab", 1), (63, "x", 1), (len(w), "b", 0)]}
+    words |= {"".join(rng.choice("ab") for _ in range(rng.randrange(18, 23))) for _ in range(40)}
+    words |= {w[:i] + c + w[i + k :] for w in sorted(words) if len(w) > 17 for i, c, k in [(0, "", 1), (9, "ab", 1), (16, "x", 1), (len(w), "b", 0)]}
     words = {w for w in words if len(w) >= 7}
     got = neighbours(spark.createDataFrame([(w,) for w in words], "word string").repartition(3)).collect()
     assert len(got) == len(set(got)) and {tuple(r) for r in got} == brute_pairs(words)

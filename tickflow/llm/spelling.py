@@ -63,11 +63,11 @@ def counted(words: DataFrame, least: int = LEAST_N) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read there: cuts the lineage."""
+def _stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Written to the shared folder and read there: cuts the lineage.  ``by``: a folder for each value."""
     path = scratch_path(df.sparkSession, f"spelling-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def trie_paths(words: DataFrame) -> DataFrame:
@@ -85,13 +85,20 @@ def trie_paths(words: DataFrame) -> DataFrame:
     return steps.alias("s").join(shared.alias("n"), on, "left_semi").select("side", "word", "depth")
 
 
+# A bit set of symbols holds a code point's bit modulo this; the end of a word has the bit itself.
+BITS = 63
+
+
 def trie_edges(paths: DataFrame) -> DataFrame:
-    """side, depth, node, symbol ('': a word ends), lone (the only word below, else null), next (bit set of what follows)."""
-    symbol = F.expr("substring(word, depth + 1, 1)")
-    bit = F.expr("shiftleft(1L, CASE WHEN length(word) <= depth + 1 THEN 63 ELSE ascii(substring(word, depth + 2, 1)) % 63 END)")
-    grouped = paths.withColumns({"symbol": symbol, "bit": bit, "node": F.expr("substring(word, 1, depth)")})
-    grouped = grouped.groupBy("side", "depth", "node", "symbol").agg(F.count("*").alias("words"), F.min("word").alias("lone"), F.bit_or("bit").alias("next"))
-    return grouped.select("side", "depth", "node", "symbol", F.when(F.col("words") == 1, F.col("lone")).alias("lone"), "next")
+    """side, depth, node, symbol ('': a word ends), code (its code point or 0), lone (the only
+    word below, else null), next (bit set of what follows)."""
+    follows = f"CASE WHEN length(word) <= depth + 1 THEN {BITS} ELSE ascii(substring(word, depth + 2, 1)) % {BITS} END"
+    steps = paths.withColumns(
+        {"symbol": F.expr("substring(word, depth + 1, 1)"), "bit": F.expr(f"shiftleft(1L, {follows})"), "node": F.expr("substring(word, 1, depth)")}
+    )
+    grouped = steps.groupBy("node", "side", "depth", "symbol").agg(F.count("*").alias("words"), F.min("word").alias("lone"), F.bit_or("bit").alias("next"))
+    lone = F.when(F.col("words") == 1, F.col("lone")).alias("lone")
+    return grouped.select("side", "depth", "node", "symbol", F.ascii("symbol").alias("code"), lone, "next")
 
 
 def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
@@ -100,29 +107,31 @@ def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     Of edits with the same result only one is made: a code point is inserted or
     deleted at the end of a run of equal ones.
     """
-    at, then = F.expr("substring(word, pos + 1, 1)"), F.expr("substring(word, pos + 2, 1)")
-    ends = F.col("symbol") == ""
-    insert = (F.col("edits") == 0) & ~ends & (F.col("symbol") != at)
-    replace = F.when(F.col("edits") == 0, ~ends & (at != "") & (F.col("symbol") != at)).otherwise(F.col("symbol") == at)
-    delete = (F.col("edits") == 0) & (at != "") & (at != then) & (F.col("symbol") == then)
-    moves = F.array(*[F.struct(F.lit(k).alias("k"), ok.alias("ok")) for k, ok in enumerate((insert, replace, delete))])
-    states = frontier.join(edges, ["side", "node"]).select(
-        "side", "word", "pos", "depth", "node", "symbol", "lone", "next", F.explode(F.filter(moves, lambda m: m["ok"])).alias("move")
+    # The next three code points of each state (0 beyond its word), so that an edge is judged by integers alone.
+    codes = {f"c{k}": F.expr(f"ascii(substring(word, pos + {k + 1}, 1))") for k in range(3)}
+    joined = frontier.withColumns(codes).join(edges.hint("shuffle_hash"), ["node", "side"])
+    fresh = F.col("edits") == 0
+    allowed = (
+        fresh & (F.col("code") != 0) & (F.col("code") != F.col("c0")),  # the edge's symbol is inserted
+        F.when(fresh, (F.col("code") != 0) & (F.col("c0") != 0) & (F.col("code") != F.col("c0"))).otherwise(F.col("code") == F.col("c0")),
+        fresh & (F.col("c0") != 0) & (F.col("c0") != F.col("c1")) & (F.col("code") == F.col("c1")),  # c0 is deleted
     )
-    states = states.withColumn("pos", F.col("pos") + F.col("move.k"))
-    # Beyond here the rest of the word must follow as it is.
-    rest = F.expr("substring(word, pos + 1)")
-    found = F.when(ends, F.col("node")).when(F.col("lone").isNotNull() & (F.expr("substring(lone, depth + 2)") == rest), F.col("lone"))
-    mask = F.expr("shiftleft(1L, CASE WHEN length(word) <= pos THEN 63 ELSE ascii(substring(word, pos + 1, 1)) % 63 END)")
-    goes_on = ~ends & F.col("lone").isNull() & (F.col("next").bitwiseAND(mask) != 0)
+    follows = [F.expr(f"(code = 0) OR (shiftright(next, IF(c{k} = 0, {BITS}, c{k} % {BITS})) & 1L) = 1L") for k in range(3)]
+    ok = [a & f for a, f in zip(allowed, follows)]
+    moves = F.array_compact(F.array(*[F.when(o, F.lit(k)) for k, o in enumerate(ok)]))
+    states = joined.filter(ok[0] | ok[1] | ok[2]).select("side", "word", "pos", "depth", "node", "symbol", "code", "lone", F.explode(moves).alias("move"))
+    states = states.withColumn("pos", F.col("pos") + F.col("move"))
+    # From here on the rest of the word must follow as it is.
+    found = F.expr("CASE WHEN code = 0 THEN node WHEN substring(lone, depth + 2) = substring(word, pos + 1) THEN lone END")
     moved = states.withColumns({"found": found, "node": F.concat("node", "symbol")})
-    return moved.filter(F.col("found").isNotNull() | goes_on).select("side", "word", "pos", (F.col("depth") + 1).alias("depth"), "node", "found")
+    moved = moved.filter(F.col("found").isNotNull() | F.col("lone").isNull())
+    return moved.select("side", "word", "pos", (F.col("depth") + 1).alias("depth"), "node", "found")
 
 
 def trie_neighbours(words: DataFrame) -> DataFrame:
     """word, near: the pairs one edit apart, from words of at most ``LONGEST`` code points."""
-    paths = _stored(trie_paths(words.filter(F.length("word") <= LONGEST + 1)), "paths")
-    edges = _stored(trie_edges(paths), "edges")
+    paths = _stored(trie_paths(words.filter(F.length("word") <= LONGEST + 1)), "paths", by="depth")
+    edges = _stored(trie_edges(paths), "edges", by="depth")
     # The half that agrees: floor(L / 2) code points in front, the others behind.
     half = F.when(F.col("side") == 0, F.floor(F.length("word") / 2)).otherwise(F.ceil(F.length("word") / 2))
     own = paths.filter((F.length("word") <= LONGEST) & (F.col("depth") >= half))
