@@ -110,8 +110,8 @@ def test_read_metadata_csv(spark):
     assert dict(meta.dtypes)["launched_year"] == "int"
 
 
-def test_compact_kv_keeps_merge_semantics(spark):
-    from tickflow.operators.kv import compact_kv
+def test_fold_kv_keeps_merge_semantics(spark):
+    from tickflow.operators.kv import fold_kv
 
     path = scratch_path(spark, "kv")
     for seq in range(3):
@@ -120,26 +120,36 @@ def test_compact_kv_keeps_merge_semantics(spark):
     put_kv(_puts(spark, [("A_1", {"price:status": "NORMAL"}, 0), ("B_1", {"price:avg": "7.0"}, 0)]),
            path, 0, "enriched")
     before = {r.row_key: r.cells for r in read_kv(spark, path).collect()}
-    assert compact_kv(spark, path) == 1  # folds windowed 0-1; keeps windowed 2 and enriched 0
+    assert fold_kv(spark, path) == 2  # folds windowed 0-1; keeps windowed 2 and enriched 0
     assert {r.row_key: r.cells for r in read_kv(spark, path).collect()} == before
     put_kv(_puts(spark, [("A_1", {"price:avg": "9.0"}, 0)]), path, 3, "windowed")
-    assert compact_kv(spark, path) == 2
+    assert fold_kv(spark, path) == 1
     after = {r.row_key: r.cells for r in read_kv(spark, path).collect()}
     assert after["A_1"]["price:avg"] == "9.0" and after["A_1"]["c0"] == "x" and after["A_1"]["price:status"] == "NORMAL"
     assert after["B_1"] == {"price:avg": "7.0"}
 
 
-def test_store_compact_keeps_newest_batch_in_log(spark):
+def test_fold_leaves_the_newest_batch(spark):
     import datetime as dt
 
-    from tickflow.operators.store import compact, latest_by_key, upsert
+    from tickflow.operators.store import fold, latest_by_key, upsert
 
     path = scratch_path(spark, "store")
     t = dt.datetime(2024, 1, 1)
     for b in range(3):
         upsert(spark.createDataFrame([("A", t, float(b))], "symbol string, window_start timestamp_ntz, v double"),
                path, b)
-    assert compact(spark, path, ["symbol", "window_start"]) == 1
+    assert fold(spark, path, ["symbol", "window_start"]) == 2
     # re-running the newest batch (a restart) still lands in a partition that is read
     upsert(spark.createDataFrame([("A", t, 2.0)], "symbol string, window_start timestamp_ntz, v double"), path, 2)
     assert latest_by_key(spark, path, ["symbol", "window_start"]).first().v == 2.0
+
+
+def test_cell_merge_shuffles_once(spark):
+    path = scratch_path(spark, "kv")
+    put_kv(_puts(spark, [("A_1", {"x": "1"}), ("B_1", {"x": "2", "y": "3"})]), path, 0)
+    put_kv(_puts(spark, [("A_1", {"x": "4"})]), path, 1)
+    merged = read_kv(spark, path)
+    assert {r.row_key: r.cells for r in merged.collect()} == {"A_1": {"x": "4"}, "B_1": {"x": "2", "y": "3"}}
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") - plan.count("ReusedExchange") == 1, plan

@@ -324,15 +324,21 @@ def test_a_batch_is_counted_once_for_all_writers(spark, monkeypatch):
     assert len(counted) <= len(batches) + 1  # at most one batch more, an empty one
 
 
-def test_small_batch_writes_one_file_sorted_by_key(spark):
-    from tickflow.streaming.jobs import sized
-
-    df = spark.createDataFrame([(f"s{i % 7}", i) for i in range(500)], "symbol string, window_start int").repartition(8)
-    one = sized(df, ["symbol", "window_start"], rows=500)
-    assert one.rdd.getNumPartitions() == 1
-    rows = [tuple(r) for r in one.collect()]
-    assert rows == sorted(rows) and len(rows) == 500
-    assert sized(df, ["symbol"], rows=10**6).rdd.getNumPartitions() == 4
+def test_small_batch_writes_one_file_a_day_sorted_by_key(spark):
+    from tickflow.operators.store import read_log, upsert
+    from tickflow.streaming.jobs import file_count
+
+    day = dt.datetime(2024, 1, 1)
+    rows = [(f"s{i % 7}", day + dt.timedelta(hours=i % 48)) for i in range(500)]
+    df = spark.createDataFrame(rows, "symbol string, window_start timestamp_ntz").repartition(8)
+    path = scratch_path(spark, "files")
+    upsert(df, path, 0, KEYS, files=file_count(df, 500))
+    files = read_log(spark, path).inputFiles()
+    assert len(files) == 2 and len({f.split("/day_=")[1][:11] for f in files}) == 2
+    for f in files:
+        own = [(r.symbol, r.window_start) for r in spark.read.parquet(f).collect()]
+        assert own == sorted(own)
+    assert file_count(df, 10**6) == 4
 
 
 def _ticks(spark, rows):
@@ -365,11 +371,11 @@ def test_backfill_never_replaces_a_stream_batch(spark):
 
 @pytest.mark.parametrize("keep_latest", [0, 1])
 def test_backfill_after_compaction_and_rerun(spark, keep_latest):
-    from tickflow.streaming.jobs import compact_tables, run_backfill
+    from tickflow.streaming.jobs import fold_tables, run_backfill
 
     root = scratch_path(spark, "mix")
     _stream(spark, [("A", 1.0, T), ("B", 2.0, T)], root, "a")
-    compact_tables(spark, root, keep_latest)
+    fold_tables(spark, root, keep_latest)
     run_backfill(_ticks(spark, [("C", 3.0, T)]), root, batch_id=0, kv=False)
     assert _prices(spark, root) == [("A", 1.0), ("B", 2.0), ("C", 3.0)]
     run_backfill(_ticks(spark, [("D", 4.0, T)]), root, batch_id=0, kv=False)  # the same id replaces
@@ -377,22 +383,22 @@ def test_backfill_after_compaction_and_rerun(spark, keep_latest):
 
 
 def test_high_backfill_id_hides_no_later_stream_batch(spark):
-    from tickflow.streaming.jobs import compact_tables, run_backfill
+    from tickflow.streaming.jobs import fold_tables, run_backfill
 
     root = scratch_path(spark, "mix")
     run_backfill(_ticks(spark, [("A", 1.0, T), ("B", 2.0, T)]), root, batch_id=900, kv=False)
-    compact_tables(spark, root, keep_latest=0)
+    fold_tables(spark, root, keep_latest=0)
     _stream(spark, [("A", 5.0, T), ("C", 3.0, T)], root, "a")
     assert _prices(spark, root) == [("A", 5.0), ("B", 2.0), ("C", 3.0)]
 
 
 def test_new_checkpoint_adds_to_the_table(spark):
     from tickflow.operators.views import read_latest
-    from tickflow.streaming.jobs import compact_tables
+    from tickflow.streaming.jobs import fold_tables
 
     root = scratch_path(spark, "mix")
     _stream(spark, [("A", 1.0, T), ("B", 2.0, T)], root, "a")
-    compact_tables(spark, root, keep_latest=0)
+    fold_tables(spark, root, keep_latest=0)
     _stream(spark, [("A", 7.0, T), ("C", 3.0, T)], root, "b")
     assert _prices(spark, root) == [("A", 7.0), ("B", 2.0), ("C", 3.0)]
     assert sorted((r.symbol, r.avg_price) for r in read_latest(spark, f"{root}/windowed/views").collect()) == _prices(spark, root)

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tickflow.operators.store import latest_by_key, upsert
-from tickflow.operators.views import compact_views, put_views, read_latest, read_newest
+from tickflow.operators.views import fold_views, put_views, read_latest, read_newest
 from tickflow.plans import reports as R
 from tickflow.session import scratch_path
 
@@ -59,7 +59,7 @@ def test_views_equal_full_table_panels(spark, batches):
     table = latest_by_key(spark, path, KEYS)
     expect = _panels(table, table)
     assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views", N)) == expect
-    compact_views(spark, f"{path}/views", keep_latest=0)
+    fold_views(spark, f"{path}/views", keep_latest=0)
     assert _panels(read_latest(spark, f"{path}/views"), read_newest(spark, f"{path}/views", N)) == expect
 
 
@@ -79,15 +79,15 @@ def test_backfill_keeps_views_of_its_tables(spark):
     assert R.latest_rows(newest, 50).collect() == R.latest_rows(w, 50).collect()
 
 
-def test_compact_tables_keeps_every_read(spark):
+def test_fold_tables_keeps_every_read(spark):
     from pyspark.sql import functions as F
 
     from paths import SF_SMALL
     from tickflow.operators.kv import read_kv
     from tickflow.plans.registry import dimension_fixture, trades
-    from tickflow.streaming.jobs import compact_tables, run_backfill
+    from tickflow.streaming.jobs import fold_tables, run_backfill
 
-    root = scratch_path(spark, "compact-all")
+    root = scratch_path(spark, "fold-all")
     t = trades(spark, SF_SMALL)
     run_backfill(t.where(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")), root, 0,
                  meta=dimension_fixture(spark))
@@ -103,8 +103,8 @@ def test_compact_tables_keeps_every_read(spark):
         )
 
     before = snapshot()
-    done = compact_tables(spark, root, keep_latest=0)
-    assert done["windowed"] == 1 and done["kv_windowed"] is not None
+    done = fold_tables(spark, root, keep_latest=0)
+    assert done["windowed"] == 2 and done["kv_windowed"] == 4
     assert snapshot() == before
 
 
@@ -118,7 +118,7 @@ def test_newest_rows_of_a_subset_and_too_many(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     upsert(df, path, 0)
     put_views(df, f"{path}/views", 0, n=6)
-    compact_views(spark, f"{path}/views", keep_latest=0)
+    fold_views(spark, f"{path}/views", keep_latest=0)
     table = latest_by_key(spark, path, KEYS)
     for subset in (None, ["B", "C"], ["C"], ["Z"]):
         newest = read_newest(spark, f"{path}/views", 6, subset)

@@ -2,7 +2,7 @@
 
 from tickflow.operators.enrich import dimension_side, enrich
 from tickflow.operators.kv import (
-    compact_kv,
+    fold_kv,
     merge_cells,
     put_kv,
     read_kv,
@@ -12,7 +12,7 @@ from tickflow.operators.kv import (
     to_kv_moving_avg,
     to_kv_windowed,
 )
-from tickflow.operators.store import compact, latest_by_key, upsert, upsert_dbapi
+from tickflow.operators.store import fold, latest_by_key, upsert, upsert_dbapi
 from tickflow.operators.windows import (
     baseline_price,
     moving_average,
@@ -22,8 +22,8 @@ from tickflow.operators.windows import (
 
 __all__ = [
     "baseline_price",
-    "compact",
-    "compact_kv",
+    "fold",
+    "fold_kv",
     "dimension_side",
     "enrich",
     "latest_by_key",

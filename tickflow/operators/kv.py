@@ -2,7 +2,7 @@
 
 A put is a row ``(row_key, cells map<"family:qualifier", string>)``.  It is
 stored as one row per cell in a keyed table (``store``) with key (row_key,
-cell), so retries, several writers per table, versions and compaction work as
+cell), so retries, several writers per table, versions and folds work as
 for every other table: each cell keeps the value of its newest put, and cells
 a later put did not touch survive.  Files are sorted by ``row_key`` so the
 parquet statistics prune a prefix scan.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.keys import key_time, row_key
-from tickflow.operators.store import compact, latest_rows, read_log, upsert
+from tickflow.operators.store import fold, latest_rows, read_log, upsert
 from tickflow.schema import (
     KV_ANOMALY_CELLS,
     KV_ENRICHED_CELLS,
@@ -82,9 +82,12 @@ def cells_of(kv: DataFrame) -> DataFrame:
     return kv.select("row_key", F.explode("cells").alias("cell", "value")).where(F.col("value").isNotNull())
 
 
-def put_kv(kv: DataFrame, path: str, seq: int, writer: str = "put", epoch: str | None = None) -> None:
-    """Write batch ``seq`` of puts from ``writer``; the same batch again replaces it."""
-    upsert(cells_of(kv), path, seq, sort_by=CELL_KEYS, writer=writer, epoch=epoch)
+def put_kv(
+    kv: DataFrame, path: str, seq: int, writer: str = "put", epoch: str | None = None, files: int | None = None
+) -> None:
+    """Write batch ``seq`` of puts from ``writer``; the same batch again replaces it.  ``files``: see ``upsert``."""
+    day = F.regexp_extract("row_key", r"_(\d{4}-\d{2}-\d{2}) ", 1)
+    upsert(cells_of(kv), path, seq, sort_by=CELL_KEYS, writer=writer, epoch=epoch, part=day, files=files)
 
 
 def rows_of(cells: DataFrame) -> DataFrame:
@@ -97,10 +100,11 @@ def rows_of(cells: DataFrame) -> DataFrame:
 def merge_cells(versions: DataFrame) -> DataFrame:
     """Cell-level last-write-wins over stored cell versions (the read side's merge).
 
-    ``versions``: row_key, cell, value, version, writer.  Partial aggregates run
-    before either shuffle, so a cell's many versions meet as one per task.
+    ``versions``: row_key, cell, value, version, writer.  One shuffle on
+    ``row_key`` serves both aggregates: rows of a (row_key, cell) and cells of
+    a row_key meet in the same task.  A row has a few cells of a few versions.
     """
-    return rows_of(latest_rows(versions, CELL_KEYS))
+    return rows_of(latest_rows(versions.repartition("row_key"), CELL_KEYS))
 
 
 def read_kv(
@@ -123,10 +127,9 @@ def read_kv(
     return merge_cells(versions)
 
 
-def compact_kv(spark: SparkSession, path: str, keep_latest: int = 1) -> int | None:
-    """Fold the puts into the days of their row keys (see ``store.compact``)."""
-    day = F.regexp_extract("row_key", r"_(\d{4}-\d{2}-\d{2}) ", 1)
-    return compact(spark, path, CELL_KEYS, keep_latest, part=day)
+def fold_kv(spark: SparkSession, path: str, keep_latest: int = 1) -> int:
+    """Fold the puts into the days of their row keys (see ``store.fold``)."""
+    return fold(spark, path, CELL_KEYS, keep_latest)
 
 
 def scan_prefix(kv: DataFrame, prefix: str, limit: int | None = 20, exact: bool = False) -> DataFrame:

@@ -1,36 +1,39 @@
-"""Keyed, idempotent result tables on plain parquet (no MERGE needed).
-
-Layout of a table at ``path``::
-
-    path/log/<writer>/<epoch>/<batch>/<version>/part-*.parquet   one folder per write
-    path/base/<n>/part_=<day>/part-*.parquet                      folded rows, by day
-    path/manifest/<n>.json                                        what the n-th compaction left
-
-A write never touches files that exist.  Writing (writer, epoch, batch) again
-makes a new folder that supersedes the older one, so a retried micro-batch
-leaves the table unchanged.  ``epoch`` tells streams with different checkpoints
-apart: a new checkpoint counts its batches from 0 again without meeting the old
-ones, and a backfill is a writer of its own.
-
-Every row carries the ``version`` of its write (microseconds) and its writer.
-One order decides everywhere which row of a key is current -- the table, the
-``since`` reads and the views: ``updated_at`` where the table has it, then
-version, then writer.  ``compact`` folds log folders into the days they touch
-and publishes a manifest; readers read exactly the folders that the newest
-manifest and the rest of the log name.  Folded folders are deleted one
-compaction later, so a read that began before a compaction still finds them.
+"""Keyed, idempotent result tables: plain Parquet datasets by day, merged on read.
+
+A write is one batch of a writer, an ordinary Parquet dataset partitioned by day::
+
+    path/log/w_=<writer>/e_=<epoch>/b_=<batch>/v_=<version>/day_=<day>/part-*.parquet
+    path/base/slot_=<0 or 1>/day_=<day>/part-*.parquet
+    path/folded/<folder>                                  empty: readers skip that folder
+
+Every row carries the ``version`` of its write (microseconds) and its writer, and
+a read is one aggregate: of all stored rows of a key the one with the highest
+``updated_at`` (where the table has it), version and writer is current.  Rows that
+are stored twice do not change that, which is what keeps all else simple:
+
+* Writing (writer, epoch, batch) again adds the new rows, then deletes the older
+  ones, so a retried micro-batch leaves the table unchanged.  ``epoch`` tells
+  streams with different checkpoints apart; a backfill is a writer of its own.
+* ``fold`` merges finished batches into whole days, written by Spark's dynamic
+  partition overwrite to the slot that a day does not use.  What that replaces is
+  only marked, so that later readers skip it, and deleted by the next fold.  A
+  reader that began before a fold still finds its files, and one beside it finds
+  every row at least once.
+
+Readers leave the listing of files to Spark and list the marks of the last fold.  A batch whose write is just being
+committed may be seen in part; rows of one key are never split.
 """
 
 from __future__ import annotations
 
-import json
 import threading
 import time
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
-from typing import NamedTuple
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +41,9 @@ from pyspark.sql import types as T
 VERSION_COL = "version"
 WRITER_COL = "writer"
 TIME_COL = "updated_at"
-_PART = "part_"
+DAY = "day_"
+SLOT = "slot_"
+FOLDERS = {"base": [SLOT, DAY], "log": ["w_", "e_", "b_", "v_"]}  # what a mark names in either dataset
 
 _EPOCH: ContextVar[str] = ContextVar("epoch", default="0")
 
@@ -78,17 +83,6 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file that appears whole: written aside, then renamed."""
-    fs, hpath = _fs(spark, path)
-    _, aside = _fs(spark, f"{path}.tmp")
-    out = fs.create(aside, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if not fs.rename(aside, hpath):
-        raise OSError(f"{path} exists: another compaction runs on this table")
-
-
 def _read_text(spark: SparkSession, path: str) -> str:
     fs, hpath = _fs(spark, path)
     stream = fs.open(hpath)
@@ -112,6 +106,13 @@ def _next_version() -> int:
         return _last_version
 
 
+def _day(df: DataFrame, part: Column | None) -> Column:
+    """The day of a row, of ``window_start`` by default, as a plain folder name."""
+    if part is None:
+        part = F.to_date("window_start") if "window_start" in df.columns else F.lit("all")
+    return F.concat(F.lit("d"), F.regexp_replace(F.coalesce(part.cast("string"), F.lit("")), "[^A-Za-z0-9-]", "_"))
+
+
 def upsert(
     df: DataFrame,
     path: str,
@@ -119,80 +120,76 @@ def upsert(
     sort_by: Sequence[str] = (),
     writer: str = "stream",
     epoch: str | None = None,
+    part: Column | None = None,
+    files: int | None = None,
 ) -> None:
     """Write one batch of ``writer``; writing the same batch again replaces it.
 
     Keys must be unique within one batch (update mode emits each group once per
-    batch).  ``sort_by`` orders rows inside each file so parquet row-group
-    statistics prune key-range reads.
+    batch) and determine the row's day, ``part``.  ``sort_by`` orders rows inside
+    each file so parquet statistics prune key-range reads.  Rows are dealt out by
+    ranges of day and key, to ``files`` tasks if given, so each task writes few days.
     """
+    spark = df.sparkSession
     version = _next_version()
-    out = df.withColumn(VERSION_COL, F.lit(version).cast("long")).withColumn(WRITER_COL, F.lit(writer))
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
-    out.write.parquet(f"{path}/log/{writer}/{epoch or _EPOCH.get()}/{int(batch_id)}/{version}")
-
+    out = df.withColumns({VERSION_COL: F.lit(version).cast("long"), WRITER_COL: F.lit(writer), DAY: _day(df, part)})
+    ranges = ([files] if files else []) + [DAY, *sort_by]
+    out = out.repartitionByRange(*ranges).sortWithinPartitions(DAY, *sort_by)
+    batch = f"{path}/log/w_={writer}/e_={epoch or _EPOCH.get()}/b_={int(batch_id)}"
+    out.write.partitionBy(DAY).parquet(f"{batch}/v_={version}")
+    for older in _glob(spark, f"{batch}/v_=*"):
+        if int(older.rsplit("=", 1)[1]) < version:
+            _delete(spark, older)
 
-class Write(NamedTuple):
-    writer: str
-    epoch: str
-    batch: int
-    version: int
-    folder: str
 
+# --- read side -------------------------------------------------------------------
 
-def _writes(spark: SparkSession, path: str) -> list[Write]:
-    """All complete writes of the log."""
-    out = []
-    for found in _glob(spark, f"{path}/log/*/*/*/*/_SUCCESS"):
-        folder = found.rsplit("/", 1)[0]
-        writer, epoch, batch, version = folder.split("/")[-4:]
-        out.append(Write(writer, epoch, int(batch), int(version), folder))
-    return out
 
+def _marks(spark: SparkSession, path: str) -> list[list[str]]:
+    """What the last fold replaced: the dataset (base or log) and the values of its folder columns."""
+    return [m.rsplit("/", 1)[1].split(",") for m in _glob(spark, f"{path}/folded/*")]
 
-def _manifest(spark: SparkSession, path: str) -> dict:
-    found = {int(p.rsplit("/", 1)[1][: -len(".json")]): p for p in _glob(spark, f"{path}/manifest/*.json")}
-    if not found:
-        return {"n": 0, "base": {}, "folded": [], "dropped": []}
-    return json.loads(_read_text(spark, found[max(found)]))
 
+def _folder(path: str, mark: list[str]) -> str:
+    return "/".join([path, mark[0], *(f"{c}={v}" for c, v in zip(FOLDERS[mark[0]], mark[1:]))])
 
-def _current(writes: list[Write], folded: set[str]) -> list[Write]:
-    """Of the writes not folded, the newest of each batch."""
-    newest: dict[tuple, Write] = {}
-    for w in writes:
-        key = w[:3]
-        if w.folder.split("/log/")[-1] not in folded and (key not in newest or newest[key].version < w.version):
-            newest[key] = w
-    return sorted(newest.values())
 
+def _rows(
+    spark: SparkSession, root: str, paths: list[str], schema: T.StructType | None = None, skip: Sequence[str] = ()
+) -> DataFrame | None:
+    """Stored rows below ``paths`` of the dataset ``root`` with their day; None where nothing is stored.
 
-def _state(spark: SparkSession, path: str) -> tuple[dict, list[Write], list[Write]]:
-    """Manifest (read first), all writes, and the current writes beside the folded ones."""
-    manifest = _manifest(spark, path)
-    writes = _writes(spark, path)
-    return manifest, writes, _current(writes, set(manifest["folded"]))
+    ``skip``: folders left out, as values of the folder columns joined by ``/``; a filter on partitions.
+    """
+    reader = spark.read.option("basePath", root)
+    if schema is not None:
+        stored = [T.StructField(VERSION_COL, T.LongType()), T.StructField(WRITER_COL, T.StringType())]
+        reader = reader.schema(T.StructType(schema.fields + stored))
+    try:
+        found = reader.parquet(*paths)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    folders = FOLDERS[root.rsplit("/", 1)[1]]
+    if skip and set(folders) <= set(found.columns):
+        found = found.where(~F.concat_ws("/", *[F.col(c).cast("string") for c in folders]).isin(list(skip)))
+    return found.drop(SLOT, *FOLDERS["log"])
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Every stored row version (folded rows and log), with ``version`` and ``writer``."""
-    manifest, _, current = _state(spark, path)
-    return _read(spark, path, list(manifest["base"].values()), current, schema)
-
-
-def _read(spark: SparkSession, path: str, base: list[str], writes: list[Write], schema: T.StructType | None = None):
-    folders = [f"{path}/{b}" for b in base] + [w.folder for w in writes]
-    stored = None
-    if schema is not None:
-        stored = T.StructType(
-            schema.fields + [T.StructField(VERSION_COL, T.LongType()), T.StructField(WRITER_COL, T.StringType())]
-        )
-    if not folders:
-        return None if stored is None else spark.createDataFrame([], stored)
-    reader = spark.read if stored is None else spark.read.schema(stored)
-    # Folders are named one by one, so nothing half-written is ever listed.
-    return reader.parquet(*folders)
+    """Every stored row version (folded rows and batches), with ``version`` and ``writer``."""
+    marks = _marks(spark, path)
+    found = [
+        _rows(spark, f"{path}/{name}", [f"{path}/{name}"], schema, ["/".join(m[1:]) for m in marks if m[0] == name])
+        for name in FOLDERS
+        if _exists(spark, f"{path}/{name}")
+    ]
+    found = [rows.drop(DAY) for rows in found if rows is not None]
+    if not found and schema is not None:
+        stored = [T.StructField(VERSION_COL, T.LongType()), T.StructField(WRITER_COL, T.StringType())]
+        return spark.createDataFrame([], T.StructType(schema.fields + stored))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def _rank(df: DataFrame, order: Sequence[str]) -> Column:
@@ -234,86 +231,83 @@ def latest_by_key(
 ) -> DataFrame:
     """The current table: the current version of every key (``order``: see ``latest_rows``).
 
-    A fully compacted table (no log beside the folded rows) is unique per key
-    by construction and is returned as a plain scan, without the shuffle.
-
     ``since`` returns only the keys whose current version has ``updated_at >=
     since``, and drops older versions *before* the merge.  That is exact
     because versions are ordered by ``updated_at`` first.  The predicate
     reaches the parquet scans, so a panel over the last 30 minutes skips
     the row groups of older batches and days instead of merging all history.
     """
-    manifest, _, current = _state(spark, path)
-    log = _read(spark, path, list(manifest["base"].values()), current, schema)
+    log = read_log(spark, path, schema)
     if log is None:
         raise FileNotFoundError(f"no stored table at {path}")
-    log = since_filter(log, since)
-    if not current:
-        return log if keep_version else log.drop(VERSION_COL, WRITER_COL)
-    return latest_rows(log, keys, keep_version, order)
+    return latest_rows(since_filter(log, since), keys, keep_version, order)
+
+
+# --- fold ------------------------------------------------------------------------
+
 
+def _name(folder: str) -> str:
+    return folder.rsplit("=", 1)[1]
 
-def compact(
+
+def fold(
     spark: SparkSession,
     path: str,
     keys: Sequence[str],
     keep_latest: int = 1,
     order: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
-    part: Column | None = None,
-) -> int | None:
-    """Fold the log into the folded rows of the days it touches; other days keep their files.
-
-    Each (writer, epoch) keeps its newest ``keep_latest`` batches in the log:
-    Structured Streaming may re-run its last batch after a restart.  ``part``
-    is the day of a row (by default of ``window_start``), which its key must
-    determine.  ``finish`` may trim the folded rows (a view keeping its top n).
-    One compaction per table may run at a time, beside any number of readers
-    and writers.  Returns the number of the newest manifest, None without any.
+) -> int:
+    """Merge finished batches into the days they touch; other days keep their files.
+
+    Each (writer, epoch) keeps its newest ``keep_latest`` batches out: Structured
+    Streaming may re-run its last batch after a restart.  ``finish`` may trim the
+    folded rows (a view keeping its top n).  One fold per table may run at a
+    time, beside any number of readers and writers.  Returns the number of
+    batches folded.
+
+    A fold that dies is simply repeated: batches are marked only after the days
+    that hold their rows are written and the copies these replace are marked.
     """
-    manifest, writes, current = _state(spark, path)
-    by_stream: dict[tuple, list[Write]] = {}
-    for w in current:
-        by_stream.setdefault(w[:2], []).append(w)
-    fold = [w for own in by_stream.values() for w in own[: max(0, len(own) - keep_latest)]]
-    if not fold:
-        return manifest["n"] or None
-    newer = _read(spark, path, [], fold)
-    if part is None:
-        part = F.to_date("window_start") if "window_start" in newer.columns else F.lit("all")
-    # Plain folder names: no character that a path would escape, never empty.
-    part = F.concat(F.lit("d"), F.regexp_replace(F.coalesce(part.cast("string"), F.lit("")), "[^A-Za-z0-9-]", "_"))
-    touched = [r[0] for r in newer.select(part).distinct().collect()]  # days, not rows
-    base = {day: folder for day, folder in manifest["base"].items() if day in touched}
-    rows = _read(spark, path, list(base.values()), fold)
+    for mark in _marks(spark, path):
+        _delete(spark, _folder(path, mark))
+        _delete(spark, f"{path}/folded/{','.join(mark)}")
+    streams: dict[str, list[str]] = {}
+    for batch in _glob(spark, f"{path}/log/*/*/b_=*"):
+        if _glob(spark, f"{batch}/v_=*"):
+            streams.setdefault(batch.rsplit("/", 1)[0], []).append(batch)
+    done = []
+    for batches in streams.values():
+        batches.sort(key=lambda b: int(_name(b)))
+        done += batches[: max(0, len(batches) - keep_latest)]
+    days = {_name(d) for batch in done for d in _glob(spark, f"{batch}/*/{DAY}=*")}
+    if not days:
+        return 0
+    writes = [w for batch in done for w in _glob(spark, f"{batch}/v_=*")]
+    held = {slot: {_name(d): d for d in _glob(spark, f"{path}/base/{SLOT}={slot}/{DAY}=*") if _name(d) in days} for slot in (0, 1)}
+    rows = _rows(spark, f"{path}/log", writes)
+    replaced = [*held[0].values(), *held[1].values()]
+    if replaced:
+        rows = rows.unionByName(_rows(spark, f"{path}/base", replaced))
+    # The day is determined by the key, so it is carried as one of the values.
     folded = latest_rows(rows, keys, True, order)
     if finish:
         folded = finish(folded)
-    n = manifest["n"] + 1
+    used = F.col(DAY).isin(list(held[0])) if held[0] else F.lit(False)  # days, not rows
     (
-        folded.withColumn(_PART, part)
-        .repartitionByRange(_PART, *keys)
-        .sortWithinPartitions(_PART, *keys)
-        .write.mode("overwrite")  # an unpublished attempt that died may have left files
-        .partitionBy(_PART)
-        .parquet(f"{path}/base/{n}")
+        folded.withColumn(SLOT, F.when(used, 1).otherwise(0))
+        .repartitionByRange(DAY, *keys)
+        .sortWithinPartitions(SLOT, DAY, *keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SLOT, DAY)
+        .parquet(f"{path}/base")
     )
-    written = [p.rsplit("/", 1)[1] for p in _glob(spark, f"{path}/base/{n}/{_PART}=*")]
-    fresh = {name.split("=", 1)[1]: f"base/{n}/{name}" for name in written}
-    batches = {w[:3] for w in fold}
-    done = {w.folder.split("/log/")[-1] for w in writes if w[:3] in batches}
-    alive = {w.folder.split("/log/")[-1] for w in writes}
-    published = {
-        "n": n,
-        "base": {d: f for d, f in manifest["base"].items() if d not in base} | fresh,
-        "folded": sorted(done | (set(manifest["folded"]) & alive)),
-        "dropped": sorted(base.values()),
-    }
-    _write_text(spark, f"{path}/manifest/{n}.json", json.dumps(published))
-    # What the manifest before this one had replaced is out of every reader's sight by now.
-    for folder in [f"log/{f}" for f in manifest["folded"]] + manifest["dropped"]:
-        _delete(spark, f"{path}/{folder}")
-    return n
+    older = [["base", "0", day] for day in held[0]] + [["base", "1", day] for day in held[1] if day not in held[0]]
+    for mark in older + [["log", *(_name(f) for f in w.split("/")[-4:])] for w in writes]:
+        fs, hpath = _fs(spark, f"{path}/folded/{','.join(mark)}")
+        fs.create(hpath, True).close()
+    return len(done)
 
 
 # --- external SQL upsert -------------------------------------------------------------

@@ -15,7 +15,7 @@ Both are exact because versions of a key are ordered by ``updated_at`` first
 never chosen over it; and a current row that was not among its batch's
 candidates is outranked by candidates of its symbol whose keys stay ahead of
 it for good.  A read touches O(symbols x batches) rows -- O(symbols) after
-``compact_views`` -- instead of the history.
+``fold_views`` -- instead of the history.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickflow.operators.store import _glob, compact, latest_by_key, upsert
+from tickflow.operators.store import _glob, fold, latest_by_key, upsert
 
 ORDER = ("updated_at", "window_start")
 NEWEST_N = 100
@@ -54,8 +54,10 @@ def put_views(
     batch: DataFrame, root: str, batch_id: int, n: int = NEWEST_N, writer: str = "stream", epoch: str | None = None
 ) -> None:
     """Add one (stamped) micro-batch's candidates; the same batch again replaces them."""
-    upsert(latest_candidates(batch), f"{root}/latest", batch_id, writer=writer, epoch=epoch)
-    upsert(newest_candidates(batch, n), f"{root}/newest-{n}", batch_id, writer=writer, epoch=epoch)
+    # Views are small and merged whole, so their rows are not split by day.
+    whole = {"writer": writer, "epoch": epoch, "part": F.lit("all"), "files": 1}
+    upsert(latest_candidates(batch), f"{root}/latest", batch_id, **whole)
+    upsert(newest_candidates(batch, n), f"{root}/newest-{n}", batch_id, **whole)
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
@@ -76,10 +78,9 @@ def read_newest(
     return _newest_first(rows).limit(n)
 
 
-def compact_views(spark: SparkSession, root: str, keep_latest: int = 1) -> None:
+def fold_views(spark: SparkSession, root: str, keep_latest: int = 1) -> None:
     """Fold the views: one row per symbol, and the current top rows of each symbol."""
-    compact(spark, f"{root}/latest", ["symbol"], keep_latest, order=ORDER, part=F.lit("all"))
+    fold(spark, f"{root}/latest", ["symbol"], keep_latest, order=ORDER)
     for path in _glob(spark, f"{root}/newest-*"):
         n = int(path.rsplit("-", 1)[1])
-        keys = ["symbol", "window_start"]
-        compact(spark, path, keys, keep_latest, finish=lambda df, n=n: newest_candidates(df, n), part=F.lit("all"))
+        fold(spark, path, ["symbol", "window_start"], keep_latest, finish=lambda df, n=n: newest_candidates(df, n))

@@ -22,8 +22,8 @@ from tickflow.operators.kv import (
     to_kv_moving_avg,
     to_kv_windowed,
 )
-from tickflow.operators.store import VERSION_COL, WRITER_COL, compact, latest_by_key, upsert
-from tickflow.operators.views import compact_views, put_views, read_latest, read_newest
+from tickflow.operators.store import VERSION_COL, WRITER_COL, fold, latest_by_key, upsert
+from tickflow.operators.views import fold_views, put_views, read_latest, read_newest
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 from tickflow.plans import reports as R
 from tickflow.plans.registry import (
@@ -400,9 +400,9 @@ def stored_table(spark: SparkSession, sf_dir: str, build, name: str, views: bool
             put_views(batch, f"{path}/views", batch_id)
     if folded:
         keys = ["symbol", "window_start", *(["window_end"] if name == "moving_avg" else [])]
-        compact(spark, path, keys)
+        fold(spark, path, keys)
         if views:
-            compact_views(spark, f"{path}/views")
+            fold_views(spark, f"{path}/views")
     return path
 
 

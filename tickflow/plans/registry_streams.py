@@ -92,8 +92,8 @@ def q_stream_kv_scan_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_window_stats_1h_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed hourly stats, the log folded by ``compact``, then read back."""
-    from tickflow.operators.store import compact
+    """Streamed hourly stats, its batches folded into days, then read back."""
+    from tickflow.operators.store import fold
 
     root = _run(
         spark, sf_dir,
@@ -101,15 +101,15 @@ def q_stream_window_stats_1h_compacted(spark: SparkSession, sf_dir: str) -> Data
         lambda r: store_writer(f"{r}/windowed", WINDOWED_KEYS),
         "stream_window_stats_1h_compacted",
     )
-    compact(spark, f"{root}/windowed", WINDOWED_KEYS, keep_latest=1)
+    fold(spark, f"{root}/windowed", WINDOWED_KEYS, keep_latest=1)
     out = latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS)
     cols = ["symbol", "window_start", "window_end", "avg_price", "min_price", "max_price", "total_volume"]
     return _round(out.select(*cols), ["avg_price"])
 
 
 def q_stream_kv_scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed 30 s key-value puts, folded by ``compact_kv``, then scanned."""
-    from tickflow.operators.kv import compact_kv
+    """Streamed 30 s key-value puts, folded by ``fold_kv``, then scanned."""
+    from tickflow.operators.kv import fold_kv
     from tickflow.plans import reports as R
 
     root = _run(
@@ -118,7 +118,7 @@ def q_stream_kv_scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda r: kv_writer(f"{r}/kv_windowed", to_kv_windowed, writer="windowed"),
         "stream_kv_scan_compacted",
     )
-    compact_kv(spark, f"{root}/kv_windowed", keep_latest=1)
+    fold_kv(spark, f"{root}/kv_windowed", keep_latest=1)
     return R.scan_windowed(read_kv(spark, f"{root}/kv_windowed", "error", 20), "error")
 
 
@@ -174,23 +174,23 @@ def q_stored_stream_then_backfill(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def q_stored_backfill_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream whose log is folded whole, then a backfill with batch id 0, folded too."""
-    from tickflow.streaming.jobs import compact_tables
+    from tickflow.streaming.jobs import fold_tables
 
     root = scratch_path(spark, "compact-backfill")
     _stream_part(spark, sf_dir, root, "a", late=True)
-    compact_tables(spark, root, keep_latest=0)
+    fold_tables(spark, root, keep_latest=0)
     _backfill_part(spark, sf_dir, root, late=False)
-    compact_tables(spark, root, keep_latest=0)
+    fold_tables(spark, root, keep_latest=0)
     return _windowed(spark, root)
 
 
 def q_stored_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream, folded, and its successor with a new checkpoint, whose batches count from 0 again."""
-    from tickflow.streaming.jobs import compact_tables
+    from tickflow.streaming.jobs import fold_tables
 
     root = scratch_path(spark, "new-checkpoint")
     _stream_part(spark, sf_dir, root, "a", late=False)
-    compact_tables(spark, root, keep_latest=0)
+    fold_tables(spark, root, keep_latest=0)
     _stream_part(spark, sf_dir, root, "b", late=True)
     return _windowed(spark, root)
 

@@ -25,9 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.time import ntz_from_ltz
 from tickflow.operators.enrich import DIMENSION_COLUMNS, dimension_side, enrich
-from tickflow.operators.kv import compact_kv, put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
-from tickflow.operators.store import _delete, _exists, _read_text, compact, upsert, upsert_dbapi, writing_epoch
-from tickflow.operators.views import compact_views, put_views
+from tickflow.operators.kv import fold_kv, put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
+from tickflow.operators.store import _delete, _exists, _read_text, fold, upsert, upsert_dbapi, writing_epoch
+from tickflow.operators.views import fold_views, put_views
 from tickflow.operators.windows import (
     moving_average,
     moving_average_from_panes,
@@ -49,18 +49,18 @@ ROWS_PER_FILE = 250_000
 _ROWS: ContextVar[int | None] = ContextVar("rows", default=None)
 
 
-def sized(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
-    """A (persisted) micro-batch result in files of ~``ROWS_PER_FILE`` rows, ranges of ``keys`` each.
+def file_count(df: DataFrame, rows: int | None = None) -> int:
+    """Files of ~``ROWS_PER_FILE`` rows that a (persisted) micro-batch result is dealt into.
 
     ``rows``: the number of rows; by default that of the running micro-batch,
-    which ``start_query`` counted once.  Ranges of the key give each file a
-    narrow part of it, so file statistics prune, and they depend on keys only,
-    so a recomputed task deals its rows to the same files.
+    which ``start_query`` counted once.  The writers deal by ranges of day and
+    key: each file gets a narrow part, so file statistics prune, and a
+    recomputed task deals its rows to the same files.
     """
     rows = rows if rows is not None else _ROWS.get()
     if rows is None:
         rows = df.count()
-    return df.repartitionByRange(max(1, -(-rows // ROWS_PER_FILE)), *keys).sortWithinPartitions(*keys)
+    return max(1, -(-rows // ROWS_PER_FILE))
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
@@ -178,7 +178,7 @@ def store_writer(
         stamped = as_stored(batch)
         if columns:
             stamped = stamped.select(*columns)
-        upsert(sized(stamped, keys), path, batch_id, writer=writer)
+        upsert(stamped, path, batch_id, keys, writer=writer, files=file_count(batch))
         if views:
             put_views(stamped, f"{path}/views", batch_id, writer=writer)
 
@@ -187,7 +187,7 @@ def store_writer(
 
 def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame], writer: str = "put") -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
-        put_kv(sized(to_kv(as_stored(batch, stamp_now=False)), ["row_key"]), path, batch_id, writer)
+        put_kv(to_kv(as_stored(batch, stamp_now=False)), path, batch_id, writer, files=file_count(batch))
 
     return write
 
@@ -214,9 +214,9 @@ def enriched_writer(
         try:
             rows = enriched.count()
             if store_path:
-                upsert(sized(enriched, TABLE_KEYS["windowed"], rows), store_path, batch_id, writer=writer)
+                upsert(enriched, store_path, batch_id, TABLE_KEYS["windowed"], writer, files=file_count(enriched, rows))
             if kv_path:
-                put_kv(sized(to_kv_enriched(enriched), ["row_key"], rows), kv_path, batch_id, writer)
+                put_kv(to_kv_enriched(enriched), kv_path, batch_id, writer, files=file_count(enriched, rows))
         finally:
             enriched.unpersist()
 
@@ -482,24 +482,24 @@ def _write_backfill(writer: Writer, out: DataFrame, batch_id: int, rows: int) ->
 # --- maintenance ---------------------------------------------------------------------------
 
 
-def compact_tables(spark: SparkSession, root: str, keep_latest: int = 1) -> dict[str, int | None]:
-    """Fold the per-batch logs of every table the jobs write under ``root``.
+def fold_tables(spark: SparkSession, root: str, keep_latest: int = 1) -> dict[str, int]:
+    """Fold the batches of every table the jobs write under ``root`` into whole days.
 
     Run it from a separate batch job (say hourly): it may run beside the
     streams and readers, one at a time per table: it rewrites only the days it
-    touches and keeps the newest ``keep_latest`` batches of each writer in the
-    log (a restarted stream may re-run its last one).  Tables that do not exist
-    are skipped.  Returns the number of the newest manifest per table.
+    touches and leaves the newest ``keep_latest`` batches of each writer (a
+    restarted stream may re-run its last one).  Tables that do not exist
+    are skipped.  Returns the number of batches folded per table.
     """
-    done: dict[str, int | None] = {}
+    done: dict[str, int] = {}
     for name, keys in {**TABLE_KEYS, "enriched": ["symbol", "window_start"]}.items():
         path = f"{root}/{name}"
         if _exists(spark, f"{path}/log"):
-            done[name] = compact(spark, path, keys, keep_latest)
+            done[name] = fold(spark, path, keys, keep_latest)
         if _exists(spark, f"{path}/views"):
-            compact_views(spark, f"{path}/views", keep_latest=keep_latest)
+            fold_views(spark, f"{path}/views", keep_latest=keep_latest)
     for name in TABLE_KEYS:
         path = f"{root}/kv_{name}"
         if _exists(spark, f"{path}/log"):
-            done[f"kv_{name}"] = compact_kv(spark, path, keep_latest)
+            done[f"kv_{name}"] = fold_kv(spark, path, keep_latest)
     return done
