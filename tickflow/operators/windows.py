@@ -68,11 +68,13 @@ def window_stats(
     watermark: str | None = "1 minute",
     time_col: str = "timestamp",
     stamp: bool = False,
+    count: bool = False,
 ) -> DataFrame:
     """Tumbling windows: avg/min/max price and summed quantity per symbol.
 
     ``stamp`` adds ``updated_at`` = latest tick time in the window, a
-    deterministic stand-in for the write time of the stored table.
+    deterministic stand-in for the write time of the stored table; ``count``
+    adds ``n_ticks``, the ticks that the window holds.
     """
     src = _watermarked(df, time_col, watermark)
     aggs = [
@@ -85,6 +87,9 @@ def window_stats(
     if stamp:
         aggs.append(F.max(time_col).alias("updated_at"))
         cols.append("updated_at")
+    if count:
+        aggs.append(F.count(F.lit(1)).alias("n_ticks"))
+        cols.append("n_ticks")
     out = src.groupBy(F.window(time_col, width).alias("window"), F.col("symbol")).agg(*aggs)
     return out.select(*_flat_window(cols))
 

@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.operators.kv import explode_cells, read_kv, to_kv_anomalies, to_kv_moving_avg, to_kv_windowed
-from tickflow.operators.store import latest_by_key
+from tickflow.operators.enrich import enrich
+from tickflow.operators.store import latest_by_key, read_log
 from tickflow.operators.windows import moving_average, range_anomalies, window_stats
 from tickflow.plans import registry as B
 from tickflow.plans.registry import _round, dimension_fixture
 from tickflow.plans.registry_reports import KV_CELLS_SQL, KV_SQL
 from tickflow.schema import ANOMALY_KEYS, MOVING_AVG_KEYS, WINDOWED_KEYS
 from tickflow.session import scratch_path
-from tickflow.streaming.jobs import enriched_writer, fan_out, kv_writer, start_query, store_writer
+from tickflow.sources.codec import decode_trades, encode_trades, with_trade_time
+from tickflow.sources.files import read_file_trades, read_metadata, stage_replay, write_metadata
+from tickflow.sources.testdata import events_as_messages, events_as_trades, load_table
+from tickflow.streaming.jobs import enriched_writer, fan_out, kv_writer, split_writer, start_query, store_writer
 from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
+from tickflow.streaming.watch import TickAccount, counted_input, open_windows
 
 N_FILES = 5
 FIELDS = ["symbol", "price", "quantity", "event_time"]
@@ -230,6 +235,121 @@ def q_stream_kv_cells_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_cells(read_kv(spark, f"{root}/kv_anomalies"))
 
 
+# --- late ticks, open windows, rejected messages, the dimension as a file ---------------------
+LATE_BEFORE_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
+LATE_ONE_IN = 50
+OPEN_WATERMARK = "2 days"
+
+
+def _late_run(spark: SparkSession, sf_dir: str):
+    """Hourly stats of a replay in which some ticks of the first half come after all others."""
+    root = scratch_path(spark, "late")
+    late = (F.col("ts") < LATE_BEFORE_MS) & (F.col("ts") % LATE_ONE_IN == 0)
+    messages = events_as_messages(load_table(spark, sf_dir, "events"), keep_ts=True)
+    messages = messages.withColumn("turn", F.struct(late.alias("late"), "ts"))
+    stage_replay(messages, f"{root}/in", N_FILES, "turn")
+    ticks = with_trade_time(decode_trades(read_file_trades(spark, f"{root}/in"), fields=FIELDS), "event_time")
+    name = root.rsplit("/", 1)[1]
+    account = TickAccount(name)
+    spark.streams.addListener(account)
+    try:
+        stats = window_stats(counted_input(ticks), "1 hour", watermark="1 minute", count=True)
+        q = start_query(stats, name, store_writer(f"{root}/windowed", WINDOWED_KEYS), f"{root}/checkpoint", trigger=AVAILABLE_NOW)
+        run_until_done(q)
+        account.wait()
+    finally:
+        spark.streams.removeListener(account)
+    return latest_by_key(spark, f"{root}/windowed", WINDOWED_KEYS), account
+
+
+def q_stream_late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of the ticks that came in time."""
+    kept, _ = _late_run(spark, sf_dir)
+    return _round(kept.select(*WINDOW_COLUMNS, "n_ticks"), ["avg_price"])
+
+
+def q_stream_late_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks read, kept and dropped as late, and the groups that Spark reports as dropped."""
+    kept, account = _late_run(spark, sf_dir)
+    read = F.lit(account.total("ticks")).cast("long")
+    return kept.agg(F.sum("n_ticks").alias("kept_ticks")).select(
+        read.alias("read_ticks"), "kept_ticks", (read - F.col("kept_ticks")).alias("dropped_ticks"),
+        F.lit(account.total("late_groups")).cast("long").alias("dropped_groups"),
+    )
+
+
+_LATE_SQL = f"epoch_us(ts) // 1000 < {LATE_BEFORE_MS} AND (epoch_us(ts) // 1000) % {LATE_ONE_IN} = 0"
+SQL_LATE_TICKS = f"""WITH {B.TRADES_CTE}
+SELECT symbol, {B._bucket('1 hour')} AS window_start, {B._bucket('1 hour')} + INTERVAL '1 hour' AS window_end,
+       round(avg(price), {B.MEAN_DIGITS}) AS avg_price, min(price) AS min_price, max(price) AS max_price,
+       sum(quantity) AS total_volume, count(*) AS n_ticks
+FROM trades WHERE NOT ({_LATE_SQL}) GROUP BY 1, 2, 3"""
+SQL_LATE_ACCOUNT = f"""WITH {B.TRADES_CTE}
+SELECT count(*) AS read_ticks, count(*) FILTER (WHERE NOT ({_LATE_SQL})) AS kept_ticks,
+       count(*) FILTER (WHERE {_LATE_SQL}) AS dropped_ticks,
+       count(DISTINCT symbol || CAST({B._bucket('1 hour')} AS VARCHAR)) FILTER (WHERE {_LATE_SQL}) AS dropped_groups
+FROM trades"""
+
+
+def q_stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly windows that the state store still holds after a replay."""
+    trades, root = replay_events(spark, sf_dir, N_FILES, FIELDS)
+    stats = window_stats(trades, "1 hour", watermark=OPEN_WATERMARK)
+    q = start_query(stats, "stream_open_windows", store_writer(f"{root}/windowed", WINDOWED_KEYS),
+                    f"{root}/checkpoint/open", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    return _round(open_windows(spark, f"{root}/checkpoint/open"), ["avg_price"])
+
+
+SQL_OPEN_WINDOWS = f"""SELECT * FROM ({B.sql_window_stats('1 hour')})
+WHERE window_end > (SELECT make_timestamp((epoch_us(max(ts)) // 1000) * 1000) FROM events) - INTERVAL '{OPEN_WATERMARK}'"""
+
+# Planted faults, by the tick's time in milliseconds: no price, no symbol, cut text.
+NO_PRICE, NO_SYMBOL, CUT_TEXT = 7, 11, 13
+
+
+def q_stream_rejected_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with planted faults, split into usable and rejected ticks; hourly digests of both tables."""
+    root = scratch_path(spark, "rejected")
+    ms = F.col("event_time")
+    ticks = events_as_trades(load_table(spark, sf_dir, "events"))
+    ticks = ticks.withColumns({"price": F.when(ms % NO_PRICE != 0, F.col("price")), "symbol": F.when(ms % NO_SYMBOL != 0, F.col("symbol")), "ts": ms})
+    messages = encode_trades(ticks, keep=["ts"])
+    cut = F.when(F.col("ts") % CUT_TEXT == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    stage_replay(messages.withColumn("value", cut), f"{root}/in", N_FILES, "ts")
+    decoded = decode_trades(read_file_trades(spark, f"{root}/in"), fields=FIELDS, keep_corrupt=True)
+    q = start_query(decoded, "stream_rejected_ticks", split_writer(f"{root}/good", f"{root}/bad"),
+                    f"{root}/checkpoint/split", output_mode="append", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    digests = []
+    for output, path in (("kept", "good"), ("rejected", "bad")):
+        rows = with_trade_time(read_log(spark, f"{root}/{path}"), "event_time", as_ntz=True)
+        hourly = rows.groupBy("symbol", F.date_trunc("hour", "timestamp").cast("timestamp_ntz").alias("window_start"))
+        priced = F.count("price").alias("n_priced")
+        digests.append(hourly.agg(F.count(F.lit(1)).alias("n"), priced, F.avg("price").alias("avg_price")).withColumn("output", F.lit(output)))
+    return _round(digests[0].unionByName(digests[1]), ["avg_price"])
+
+
+SQL_REJECTED_TICKS = f"""WITH ticks AS (SELECT epoch_us(ts) // 1000 AS ms, event_type, value FROM events),
+sent AS (
+  SELECT ms % {CUT_TEXT} = 0 AS cut,
+         CASE WHEN ms % {CUT_TEXT} <> 0 AND ms % {NO_SYMBOL} <> 0 THEN event_type END AS symbol,
+         CASE WHEN ms % {CUT_TEXT} <> 0 AND ms % {NO_PRICE} <> 0 THEN value END AS price,
+         CASE WHEN ms % {CUT_TEXT} <> 0 THEN make_timestamp(ms * 1000) END AS ts
+  FROM ticks)
+SELECT CASE WHEN cut OR symbol IS NULL OR price IS NULL THEN 'rejected' ELSE 'kept' END AS output,
+       symbol, {B._bucket('1 hour')} AS window_start, count(*) AS n, count(price) AS n_priced,
+       round(avg(price), {B.MEAN_DIGITS}) AS avg_price
+FROM sent GROUP BY 1, 2, 3"""
+
+
+def q_enriched_csv_dimension_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly stats joined to a dimension that was written as CSV and read back."""
+    path = scratch_path(spark, "dimension")
+    write_metadata(dimension_fixture(spark), path)
+    return enrich(window_stats(B.trades(spark, sf_dir), "1 hour"), read_metadata(spark, path))
+
+
 def stream_registry() -> dict:
     return {
         "stream_window_stats_1h": (q_stream_window_stats_1h, B.sql_window_stats("1 hour")),
@@ -254,6 +374,11 @@ def stream_registry() -> dict:
         "stream_kv_cells_two_writers": (q_stream_kv_cells_two_writers, KV_SQL["kv_merge_cells"]),
         "stream_kv_cells_moving_avg": (q_stream_kv_cells_moving_avg, KV_CELLS_SQL["moving_avg"]),
         "stream_kv_cells_anomalies": (q_stream_kv_cells_anomalies, KV_CELLS_SQL["anomalies"]),
+        "stream_late_ticks": (q_stream_late_ticks, SQL_LATE_TICKS),
+        "stream_late_account": (q_stream_late_account, SQL_LATE_ACCOUNT),
+        "stream_open_windows": (q_stream_open_windows, SQL_OPEN_WINDOWS),
+        "stream_rejected_ticks": (q_stream_rejected_ticks, SQL_REJECTED_TICKS),
+        "enriched_csv_dimension_1h": (q_enriched_csv_dimension_1h, B.sql_enriched_stats("1 hour")),
         "backfill_window_stats_30s": (q_backfill_window_stats_30s, B.sql_window_stats("30 seconds")),
     }
 

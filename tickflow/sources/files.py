@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.schema import METADATA
+from tickflow.sources.codec import CORRUPT_COLUMN
 
 # Same contract as the Kafka source: the message is in a binary ``value``.
 REPLAY_SCHEMA = T.StructType([T.StructField("value", T.BinaryType(), True)])
@@ -61,13 +62,23 @@ def read_file_trades(
     return reader.schema(REPLAY_SCHEMA).format(fmt).load(path)
 
 
-def read_metadata(spark: SparkSession, path: str, schema: T.StructType = METADATA) -> DataFrame:
+def read_metadata(
+    spark: SparkSession, path: str, schema: T.StructType = METADATA, keep_corrupt: bool = False
+) -> DataFrame:
     """The static dimension CSV (header row), with an explicit schema.
 
     The upstream job inferred the schema; a fixed one avoids the extra pass and
-    makes ``launched_year`` an int whatever the file holds.
+    makes ``launched_year`` an int whatever the file holds.  The header must name
+    the schema's columns in their order, else reading raises.  A row whose value
+    has another type, or that has too few or too many, raises too; with
+    ``keep_corrupt`` it is kept, its bad values null and its text in ``_corrupt_record``.
     """
-    return spark.read.schema(schema).option("header", True).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if keep_corrupt:
+        corrupt = T.StructField(CORRUPT_COLUMN, T.StringType(), True)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        return reader.schema(T.StructType(schema.fields + [corrupt])).csv(path)
+    return reader.option("mode", "FAILFAST").schema(schema).csv(path)
 
 
 def metadata_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType = METADATA) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickflow.functions.time import ntz_from_ltz
+from tickflow.functions.time import ntz_from_epoch_ms, ntz_from_ltz
 from tickflow.operators.enrich import DIMENSION_COLUMNS, dimension_side, enrich
 from tickflow.operators.kv import fold_kv, put_kv, to_kv_anomalies, to_kv_enriched, to_kv_moving_avg, to_kv_windowed
 from tickflow.operators.store import _delete, _exists, _read_text, fold, upsert, upsert_dbapi, writing_epoch
@@ -38,6 +38,7 @@ from tickflow.operators.windows import (
     window_stats,
     window_stats_from_panes,
 )
+from tickflow.sources.codec import split_bad
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -192,6 +193,21 @@ def kv_writer(path: str, to_kv: Callable[[DataFrame], DataFrame], writer: str =
     return write
 
 
+def split_writer(good_path: str, bad_path: str, required: Sequence[str] = ("symbol", "price"), writer: str = "split") -> Writer:
+    """Decoded messages (``keep_corrupt=True``) to two tables: usable ticks, and the rejected ones with their text.
+
+    Both come from one pass over the (persisted) micro-batch.  Ticks have no key:
+    read the tables by ``store.read_log``; a batch that is run again replaces its rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for rows, path in zip(split_bad(batch, required), (good_path, bad_path)):
+            day = F.to_date(ntz_from_epoch_ms("event_time"))
+            upsert(rows, path, batch_id, ["event_time"], writer, part=day, files=file_count(batch))
+
+    return write
+
+
 def dbapi_writer(connect: Callable[[], object], table: str, keys: Sequence[str], **kwargs) -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_dbapi(as_stored(batch, stamp_now=False), connect, table, keys, **kwargs)
