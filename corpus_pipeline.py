@@ -17,6 +17,7 @@ from tickflow.llm.langid import identified_documents
 from tickflow.llm.mixing import mixed_documents
 from tickflow.llm.packing import pack
 from tickflow.llm.simhash import simhash_near_dedup
+from tickflow.operators.store import _delete
 from tickflow.session import scratch_path
 
 # Language ID learns profiles and tokenizers run outside SQL; tested against a brute-force version.
@@ -64,8 +65,12 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last stage's result."""
     docs = load(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _delete(spark, before)  # the input of a stage whose result is written
+        before = path
     return docs

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_DOCS = 8192
-CACHED_WORDS, CACHED_PARTS = 400_000, 1_000_000
+# Bytes of the two tables of a worker, an entry counted with what Python adds to it; longer words are not kept.
+WORD_BYTES, PART_BYTES, ENTRY_BYTES = 32 << 20, 48 << 20, 170
+LONGEST_KEPT = 64
 CLOSING = b".,;:!?$%&*#"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -55,6 +57,10 @@ def _little_endian(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
+def _table_bytes(table: dict[bytes, bytes]) -> int:
+    return sum(map(len, table)) + sum(map(len, table.values())) + ENTRY_BYTES * len(table)
+
+
 class WordIds:
     """Token ids (little-endian uint32 bytes) of white-space separated words.
 
@@ -62,7 +68,7 @@ class WordIds:
     are those of its words in turn.  It also splits a word between a letter and
     closing punctuation and folds case, so a new word is looked up as its
     lower-case stem and its closing marks; only stems never seen are encoded.
-    Both tables are bounded and emptied when full.
+    Both tables are bounded in bytes and emptied when full.
     """
 
     loaded: dict[str, "WordIds"] = {}
@@ -73,6 +79,7 @@ class WordIds:
         self.model = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {b"": b""}
+        self.word_bytes = self.part_bytes = 0
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -84,14 +91,22 @@ class WordIds:
     def ids(self, text: bytes) -> bytes:
         words = text.split()
         new = set(words).difference(self.words)
-        if new:
-            if len(self.words) + len(new) > CACHED_WORDS:
-                self.words.clear()
-                new = set(words)
-            self._learn(new)
-        return b"".join(map(self.words.__getitem__, words))
-
-    def _learn(self, new: set[bytes]) -> None:
+        if not new:
+            return b"".join(map(self.words.__getitem__, words))
+        fresh = self._learn(new)
+        kept = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_KEPT}
+        known = self.words
+        size = _table_bytes(kept)
+        if self.word_bytes + size > WORD_BYTES:
+            fresh |= {w: known[w] for w in set(words).difference(fresh)}
+            known = self.words = {}
+            self.word_bytes = 0
+        if size <= WORD_BYTES:
+            known.update(kept)
+            self.word_bytes += size
+        return b"".join([fresh[w] if w in fresh else known[w] for w in words])
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
         split = []
         for word in new:
             stem = word.rstrip(CLOSING)
@@ -100,22 +115,28 @@ class WordIds:
             tail = word[len(stem) :]
             # Beyond ASCII, case folding and composition may not commute.
             split.append((word, stem.lower() if stem.isascii() else stem, tail))
-        unseen = {part for _, *parts in split for part in parts}.difference(self.parts)
+        parts = self.parts
+        unseen = {part for _, *own in split for part in own}.difference(parts)
         if unseen:
-            if len(self.parts) + len(unseen) > CACHED_PARTS:
-                self.parts = {b"": b""}
-                unseen = {part for _, *parts in split for part in parts if part}
-            whole = []
+            fresh, whole = {}, []
             for part in unseen:
                 letters = _plain_letters(part)
                 if letters is None:
                     whole.append(part)
                 else:
-                    self.parts[part] = _little_endian([t.id for t in self.model.model.tokenize(letters)])
+                    fresh[part] = _little_endian([t.id for t in self.model.model.tokenize(letters)])
             coded = self.model.encode_batch_fast([p.decode("utf-8", "replace") for p in whole], add_special_tokens=False)
-            self.parts.update((p, _little_endian(e.ids)) for p, e in zip(whole, coded))
-        parts = self.parts
-        self.words.update((w, parts[stem] + parts[tail]) for w, stem, tail in split)
+            fresh.update((p, _little_endian(e.ids)) for p, e in zip(whole, coded))
+            kept = {p: ids for p, ids in fresh.items() if len(p) <= LONGEST_KEPT}
+            size = _table_bytes(kept)
+            if self.part_bytes + size > PART_BYTES:
+                self.parts, self.part_bytes = {b"": b""}, 0
+            if size <= PART_BYTES:
+                self.parts.update(kept)
+                self.part_bytes += size
+            both = [fresh[p] if p in fresh else parts[p] for _, *own in split for p in own]
+            return {w: both[2 * i] + both[2 * i + 1] for i, (w, _, _) in enumerate(split)}
+        return {w: parts[stem] + parts[tail] for w, stem, tail in split}
 
 
 def tokenize(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, keep_ids: bool = False) -> DataFrame:
@@ -142,6 +163,7 @@ def tokenize(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, keep_
             if keep_ids:
                 columns["ids"] = pa.array(rows["ids"], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        pa.default_memory_pool().release_unused()
 
     schema = PIECES + (", ids array<int>" if keep_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(cut, schema)
