@@ -30,7 +30,7 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_DOCS = 8192
 # Bytes of the two tables of a worker, an entry counted with what Python adds to it; longer words are not kept.
-WORD_BYTES, PART_BYTES, ENTRY_BYTES = 32 << 20, 48 << 20, 170
+WORD_BYTES, PART_BYTES, ENTRY_BYTES = 64 << 20, 80 << 20, 170
 LONGEST_KEPT = 64
 CLOSING = b".,;:!?$%&*#"
 
@@ -99,11 +99,15 @@ class WordIds:
         size = _table_bytes(kept)
         if self.word_bytes + size > WORD_BYTES:
             fresh |= {w: known[w] for w in set(words).difference(fresh)}
+            kept = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_KEPT}
+            size = _table_bytes(kept)
             known = self.words = {}
             self.word_bytes = 0
         if size <= WORD_BYTES:
             known.update(kept)
             self.word_bytes += size
+        if size <= WORD_BYTES and len(kept) == len(fresh):
+            return b"".join(map(known.__getitem__, words))
         return b"".join([fresh[w] if w in fresh else known[w] for w in words])
 
     def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
