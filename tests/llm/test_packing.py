@@ -52,8 +52,7 @@ def test_tree_is_first_fit(lengths):
 @pytest.mark.parametrize("group_docs", [8192, 5])
 def test_round_trip(spark, monkeypatch, group_docs):
     monkeypatch.setattr(packing, "GROUP_DOCS", group_docs)
-    monkeypatch.setattr(packing, "WORD_BYTES", 100_000)
-    monkeypatch.setattr(packing, "PART_BYTES", 60_000)
+    monkeypatch.setattr(packing, "TABLE_BYTES", 100_000)
     rows = [r for r in awkward_rows() if r[0] is not None]
     rows = [(i, r[1]) for i, r in enumerate(rows)]
     out = packing.pack(documents(spark, rows), PATH, keep_ids=True).collect()

@@ -17,8 +17,10 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_DOCS = 8192
-# Bytes of the two tables of a worker, an entry counted with what Python adds to it; longer words are not kept.
-WORD_BYTES, PART_BYTES, ENTRY_BYTES = 64 << 20, 80 << 20, 170
+# Bytes of a worker's table, an entry counted with what Python adds to it; longer words are not kept.
+TABLE_BYTES, ENTRY_BYTES = 112 << 20, 170
 LONGEST_KEPT = 64
 CLOSING = b".,;:!?$%&*#"
 
@@ -47,6 +49,8 @@ def _plain_letters(part: bytes) -> str | None:
     """A word of lower-case Latin letters in the byte-level alphabet, which the merges take as it is."""
     if part.isalpha() and part.islower():
         return part.decode()
+    if part.isascii():
+        return None
     text = part.decode("utf-8", "replace")
     if text.isalpha() and text == text.lower() and max(text) < "\u0250" and is_normalized("NFC", text):
         return part.decode("latin-1").translate(_BYTE_LETTERS)
@@ -54,7 +58,15 @@ def _plain_letters(part: bytes) -> str | None:
 
 
 def _little_endian(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _stem_and_tail(word: bytes) -> tuple[bytes, bytes]:
+    stem = word.rstrip(CLOSING)
+    if len(stem) == len(word) or not stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha():
+        stem = word
+    # Beyond ASCII, case folding and composition may not commute.
+    return stem.lower() if stem.isascii() else stem, word[len(stem) :]
 
 
 def _table_bytes(table: dict[bytes, bytes]) -> int:
@@ -67,8 +79,9 @@ class WordIds:
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its words in turn.  It also splits a word between a letter and
     closing punctuation and folds case, so a new word is looked up as its
-    lower-case stem and its closing marks; only stems never seen are encoded.
-    Both tables are bounded in bytes and emptied when full.
+    lower-case stem and its closing marks, which are words too; only those never
+    seen are encoded.  The table is bounded in bytes; when full, the half that
+    came first stays, where frequent words are.
     """
 
     loaded: dict[str, "WordIds"] = {}
@@ -77,9 +90,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
-        self.word_bytes = self.part_bytes = 0
+        self.words: dict[bytes, bytes] = {b"": b""}
+        self.held = 0
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -89,58 +101,49 @@ class WordIds:
         return cls.loaded[path]
 
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        new = set(words).difference(self.words)
-        if not new:
-            return b"".join(map(self.words.__getitem__, words))
-        fresh = self._learn(new)
-        kept = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_KEPT}
-        known = self.words
-        size = _table_bytes(kept)
-        if self.word_bytes + size > WORD_BYTES:
-            fresh |= {w: known[w] for w in set(words).difference(fresh)}
+        words, known = text.split(), self.words
+        new = set(words).difference(known)
+        if new:
+            fresh = self._learn(new)
+            if not self._keep(fresh):
+                return b"".join([fresh[w] if w in fresh else known[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
+
+    def _keep(self, fresh: dict[bytes, bytes]) -> bool:
+        """Put new words into the table; whether the table then holds them and all that it held before."""
+        kept = fresh
+        if max(map(len, fresh)) > LONGEST_KEPT:
             kept = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_KEPT}
-            size = _table_bytes(kept)
-            known = self.words = {}
-            self.word_bytes = 0
-        if size <= WORD_BYTES:
-            known.update(kept)
-            self.word_bytes += size
-        if size <= WORD_BYTES and len(kept) == len(fresh):
-            return b"".join(map(known.__getitem__, words))
-        return b"".join([fresh[w] if w in fresh else known[w] for w in words])
+        size = _table_bytes(kept)
+        full = self.held + size > TABLE_BYTES
+        if full:
+            self.words = dict(islice(self.words.items(), 1 + len(self.words) // 2))
+            self.held = _table_bytes(self.words)
+        if self.held + size <= TABLE_BYTES:
+            self.words.update(kept)
+            self.held += size
+        return kept is fresh and not full
 
     def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
-        split = []
-        for word in new:
-            stem = word.rstrip(CLOSING)
-            if len(stem) == len(word) or not stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha():
-                stem = word
-            tail = word[len(stem) :]
-            # Beyond ASCII, case folding and composition may not commute.
-            split.append((word, stem.lower() if stem.isascii() else stem, tail))
-        parts = self.parts
-        unseen = {part for _, *own in split for part in own}.difference(parts)
-        if unseen:
-            fresh, whole = {}, []
-            for part in unseen:
-                letters = _plain_letters(part)
-                if letters is None:
-                    whole.append(part)
-                else:
-                    fresh[part] = _little_endian([t.id for t in self.model.model.tokenize(letters)])
-            coded = self.model.encode_batch_fast([p.decode("utf-8", "replace") for p in whole], add_special_tokens=False)
-            fresh.update((p, _little_endian(e.ids)) for p, e in zip(whole, coded))
-            kept = {p: ids for p, ids in fresh.items() if len(p) <= LONGEST_KEPT}
-            size = _table_bytes(kept)
-            if self.part_bytes + size > PART_BYTES:
-                self.parts, self.part_bytes = {b"": b""}, 0
-            if size <= PART_BYTES:
-                self.parts.update(kept)
-                self.part_bytes += size
-            both = [fresh[p] if p in fresh else parts[p] for _, *own in split for p in own]
-            return {w: both[2 * i] + both[2 * i + 1] for i, (w, _, _) in enumerate(split)}
-        return {w: parts[stem] + parts[tail] for w, stem, tail in split}
+        """The ids of ``new`` words, and of their stems and closing marks where the table lacks those."""
+        known, marks = self.words, frozenset(CLOSING)
+        split = [(w, *_stem_and_tail(w)) for w in new if w[-1] in marks or not w.islower()]
+        # All other words are their own stems, and so are some of these.
+        parts = new.difference([w for w, stem, _ in split if stem != w])
+        parts.update([p for _, *own in split for p in own if p not in known])
+        fresh, whole, merge = {}, [], self.model.model.tokenize
+        for part in parts:
+            letters = _plain_letters(part)
+            if letters is None:
+                whole.append(part)
+            else:
+                fresh[part] = _little_endian([t.id for t in merge(letters)])
+        coded = self.model.encode_batch_fast([p.decode("utf-8", "replace") for p in whole], add_special_tokens=False)
+        fresh.update((p, _little_endian(e.ids)) for p, e in zip(whole, coded))
+        for word, stem, tail in split:
+            if stem != word:
+                fresh[word] = (fresh[stem] if stem in fresh else known[stem]) + (fresh[tail] if tail in fresh else known[tail])
+        return fresh
 
 
 def tokenize(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, keep_ids: bool = False) -> DataFrame:
