@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -49,9 +49,9 @@ def test_tree_is_first_fit(lengths):
     assert packing.first_fit(lengths, 32) == brute_first_fit(lengths, 32)
 
 
-@pytest.mark.parametrize("group_docs", [8192, 5])
-def test_round_trip(spark, monkeypatch, group_docs):
-    monkeypatch.setattr(packing, "GROUP_DOCS", group_docs)
+@pytest.mark.parametrize("group_pieces", [8192, 5])
+def test_round_trip(spark, monkeypatch, group_pieces):
+    monkeypatch.setattr(packing, "GROUP_PIECES", group_pieces)
     monkeypatch.setattr(packing, "TABLE_BYTES", 100_000)
     rows = [r for r in awkward_rows() if r[0] is not None]
     rows = [(i, r[1]) for i, r in enumerate(rows)]
@@ -92,3 +92,14 @@ def test_repeated_null_and_empty(spark):
     assert packing.pack(documents(spark, []), PATH).count() == 0
     (only,) = packing.pack(documents(spark, [(7, None)]), PATH).collect()
     assert (only.length, only.doc_tokens, only.offset) == (1, 1, 0)
+
+
+def test_long_texts_and_repeats_make_no_large_group(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    monkeypatch.setattr(packing, "COPIES", 7)
+    rows = [(1, "alpha beta gamma delta " * 500), *[(None, "the same text")] * 300, *((i, f"word {i}") for i in range(2, 200))]
+    out = packing.pack(documents(spark, rows), PATH, size=16).collect()
+    assert sum(r.start == 0 for r in out) == len(rows)
+    groups = Counter(r.sequence_id >> 32 for r in out)
+    assert len(groups) == -(-len(out) // 50) and max(groups.values()) < 100
+    assert Counter((r.sequence_id, r.offset) for r in out).most_common(1)[0][1] == 1

@@ -2,9 +2,10 @@
 
 Each document is tokenised whole and ends with id 1; it is cut every ``size``
 tokens, so full pieces fill a sequence alone and one remainder per document is
-left to place.  Pieces are dealt into random groups of about ``GROUP_DOCS``
-documents (by a hash of the piece), and each group is packed on its own in one
-task: pieces in order of falling length, each into the first sequence with
+left to place.  Pieces are counted and dealt into random groups of about
+``GROUP_PIECES`` (by a hash of the piece and, where rows repeat, the number of
+the copy, so neither long texts nor repeats make a group larger), and each
+group is packed on its own in one task: pieces in order of falling length, each into the first sequence with
 room, found by descending a tree that holds the largest free capacity below
 each node.  Only lengths and checksums are shuffled unless ``keep_ids``.
 
@@ -28,9 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.common import settle
+
 SEQUENCE_TOKENS = 2048
 END_ID = 1
-GROUP_DOCS = 8192
+GROUP_PIECES = 8192
+COPIES = 4096  # of a repeated piece, that one step lists
 # Bytes of a worker's table, an entry counted with what Python adds to it; longer words are not kept.
 TABLE_BYTES, ENTRY_BYTES = 112 << 20, 170
 LONGEST_KEPT = 64
@@ -202,8 +206,15 @@ def first_fit(lengths: list[int], size: int) -> tuple[list[int], list[int]]:
     return bins, offsets
 
 
-def pack_pieces(pieces: DataFrame, groups: int, size: int = SEQUENCE_TOKENS) -> DataFrame:
-    """Add sequence_id and offset to pieces, packing ``groups`` random groups apart."""
+def pack_pieces(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
+    """Add sequence_id and offset to pieces, packing counted random groups apart."""
+    counted = settle(pieces.groupBy(*pieces.columns).agg(F.count("*").alias("n_")))
+    total = counted.agg(F.sum("n_")).first()[0] or 0
+    groups = max(1, -(-total // GROUP_PIECES))
+    # A piece comes back as often as it occurred, by steps, so no array of all its copies is made.
+    steps = counted.withColumn("step_", F.explode(F.expr(f"sequence(0, (n_ - 1) div {COPIES})")))
+    copies = F.expr(f"sequence(step_ * {COPIES}, least(n_, (step_ + 1) * {COPIES}) - 1)")
+    every = steps.withColumn("copy_", F.explode(copies))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
@@ -213,12 +224,10 @@ def pack_pieces(pieces: DataFrame, groups: int, size: int = SEQUENCE_TOKENS) ->
         ids = np.asarray(bins, "i8") + (key[0].as_py() << 32)
         return table.append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets, pa.int64()))
 
-    # ids_crc32 spreads pieces whose id is null or repeated.
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long")
-    return pieces.withColumn("group_", group).groupBy("group_").applyInArrow(pack, schema)
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "copy_"), F.lit(groups)).cast("long")
+    return every.withColumn("group_", group).select(*pieces.columns, "group_").groupBy("group_").applyInArrow(pack, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their place: PIECES (+ ids), sequence_id, offset."""
-    groups = max(1, -(-docs.count() // GROUP_DOCS))
-    return pack_pieces(tokenize(docs, tokenizer, size, keep_ids), groups, size)
+    return pack_pieces(tokenize(docs, tokenizer, size, keep_ids), size)
