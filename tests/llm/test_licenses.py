@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -91,3 +92,15 @@ def test_empty(spark):
 @pytest.mark.parametrize("label", ["cc-by", "gpl", "reserved"])
 def test_base_labels_stay(label):
     assert label in licenses.BASE.values()
+
+
+def test_work_grows_with_the_matches_of_a_text_not_their_square(spark):
+    def seconds(n):
+        start = time.perf_counter()
+        (row,) = scan(documents(spark, [(1, "the unlicense words. " * n)])).collect()
+        assert len(row.detections) == n and row.labels == ["unlicense"]
+        assert [d.start for d in row.detections] == [i * (row.detections[1].start - row.detections[0].start) for i in range(n)]
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 3.5 * seconds(8_000)  # the square would be 4 times

@@ -141,3 +141,10 @@ def test_a_finding_copied_often_is_one_example(spark):
     finally:
         secrets.settle = real
     assert sampled[0].filter("label = 1").count() == sampled[0].filter("label = 1").distinct().count() == 15
+
+
+def test_many_candidates_of_one_text_keep_their_places(spark):
+    text = " ".join(f'token = "Ab{i:06d}xYz!"' for i in range(16_000))
+    found = candidates(documents(spark, [(1, text)])).collect()
+    assert len(found) == 16_000
+    assert all(text[r.start : r.stop] == r.match and text[: r.start].endswith(r.before) and text[r.stop :].startswith(r.after) for r in found)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.common import text_or_empty
-from tickflow.llm.spans import find_all
+from tickflow.llm.spans import find_all, fold
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -197,7 +197,8 @@ def _base(gated: DataFrame) -> DataFrame:
     )
 
 
-FOUND = "array<struct<start:int,stop:int,rule:string,label:string,priority:int,confidence:double>>"
+DETECTION = "struct<start:int,stop:int,rule:string,label:string,priority:int,confidence:double>"
+FOUND = f"array<{DETECTION}>"
 
 
 def _detections(table: list[Rule], present: Column) -> Column:
@@ -234,8 +235,7 @@ def _unsuppressed(ordered: Column) -> Column:
         far = [F.when(d["priority"] == p, F.greatest(held[f"r{p}"], d["stop"])).otherwise(held[f"r{p}"]).alias(f"r{p}") for p in (1, 2, 3)]
         return F.struct(*far, F.when(hidden, held["out"]).otherwise(F.concat(held["out"], F.array(d))).cast(FOUND).alias("out"))
 
-    zero = F.struct(*[F.lit(-1).alias(r) for r in reach], F.array().cast(FOUND).alias("out"))
-    return F.aggregate(ordered, zero, step, lambda held: held["out"])
+    return fold(ordered, {r: F.lit(-1) for r in reach}, step, DETECTION)
 
 
 def digest(found: DataFrame) -> DataFrame:

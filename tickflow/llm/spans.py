@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MATCHES = "array<struct<start:int,stop:int,match:string,before:string,after:string>>"
+MATCH = "struct<start:int,stop:int,match:string,before:string,after:string>"
+MATCHES = f"array<{MATCH}>"
+STRETCH = 256  # items whose results are appended one by one
+
+
+def fold(items: Column, state: dict[str, Column], step: Callable[[Column, Column], Column], result: str) -> Column:
+    """Array of the results that ``step`` appends to ``out`` along ``items``, in order.
+
+    ``step`` gets a struct of ``state`` and ``out`` and an item and gives such a
+    struct.  Appending copies the array, so ``out`` starts anew every ``STRETCH``
+    items, and the arrays are joined at the end: the work is that of the items.
+    """
+
+    def kept(held: Column) -> list[Column]:
+        return [held[name].alias(name) for name in state]
+
+    def along(every: Column) -> Column:
+        def stretch(held: Column, at: Column) -> Column:
+            zero = F.struct(*kept(held), F.array().cast(f"array<{result}>").alias("out"))
+            done = lambda h: F.struct(*kept(h), F.concat(held["outs"], F.array(h["out"])).alias("outs"))
+            return F.aggregate(F.slice(every, at * STRETCH + 1, STRETCH), zero, step, done)
+
+        zero = F.struct(*[c.alias(name) for name, c in state.items()], F.array().cast(f"array<array<{result}>>").alias("outs"))
+        stretches = F.sequence(F.lit(0), F.floor(F.size(every) / STRETCH).cast("int"))
+        return F.flatten(F.aggregate(stretches, zero, stretch, lambda held: held["outs"]))
+
+    # The one element of an outer array, so that the items are made once.
+    return F.transform(F.array(items), along)[0]
 
 
 def _followed_by(text: Column, pattern: Column, context: int) -> Column:
@@ -19,8 +48,7 @@ def _followed_by(text: Column, pattern: Column, context: int) -> Column:
         more = F.struct(F.left(F.concat(t["m"], after), F.lit(context)).alias("next"), F.concat(held["out"], F.array(after)).alias("out"))
         return F.when(t["m"].isNull(), held).otherwise(more)
 
-    zero = F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(turns, zero, step, lambda held: F.reverse(held["out"]))
+    return F.reverse(fold(turns, {"next": F.lit("")}, step, "string"))
 
 
 def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
@@ -50,11 +78,9 @@ def find_all(text: Column, pattern: Column, context: int = 0) -> Column:
             last(held["last"], t["g"]).alias("before"),
             (t["h"] if context else F.lit("")).alias("after"),
         )
-        more = F.struct(
-            stop.alias("at"), last(held["last"], t["g"], t["m"]).alias("last"), F.concat(held["out"], F.array(one)).cast(MATCHES).alias("out")
-        )
+        out = F.concat(held["out"], F.array(one)).cast(MATCHES)
+        more = F.struct(stop.alias("at"), last(held["last"], t["g"], t["m"]).alias("last"), out.alias("out"))
         return F.when(t["m"].isNull(), held).otherwise(more)  # after the last match only a gap is left
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), F.array().cast(MATCHES).alias("out"))
-    folded = F.aggregate(turns, zero, step, lambda held: held["out"])
+    folded = fold(turns, {"at": F.lit(0), "last": F.lit("")}, step, MATCH)
     return F.when(F.rlike(text, pattern), folded).otherwise(F.array().cast(MATCHES))
