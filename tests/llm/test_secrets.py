@@ -130,6 +130,12 @@ def test_features_are_of_the_whole_run(spark):
     assert one.x_uu == 399 / 800 and one.x_distinct == 3 / 800 and two.x_vd == 0.5
 
 
+def test_character_classes_are_exact(spark):
+    text = "uvcdsUVCDS09-_é aeiouAEIOUbz"
+    want = "".join("u" if "A" <= c <= "Z" else "d" if c.isdigit() else "v" if c in "aeiou" else "c" if "a" <= c <= "z" else "s" for c in text)
+    assert spark.createDataFrame([(text,)], "t string").select(secrets._classes(F.col("t"))).first()[0] == want
+
+
 def test_a_finding_copied_often_is_one_example(spark):
     copied = [(i, 'token = "zZ8yX7wV6uT5sR4qP3oN2"') for i in range(200)]
     rows, _ = planted(n=10)

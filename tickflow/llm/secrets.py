@@ -29,6 +29,8 @@ for others; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase, digits
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -122,11 +124,9 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def _classes(text: Column) -> Column:
-    out = F.regexp_replace(text, "[A-Z]", "u")
-    for pattern, name in (("[aeio]", "v"), ("[b-df-hj-np-tw-z]", "c"), ("[0-9]", "d"), ("[^vcud]", "s")):
-        # Upper case became u above, so a lower-case u counts as upper case and v as a vowel: letters at the edge of their class.
-        out = F.regexp_replace(out, pattern, name)
-    return out
+    """The text with each character replaced by the letter of its class."""
+    marks = ["v" if c in "aeiou" else "c" for c in ascii_lowercase] + ["u"] * 26 + ["d"] * 10
+    return F.regexp_replace(F.translate(text, ascii_lowercase + ascii_uppercase + digits, "".join(marks)), "[^vcud]", "s")
 
 
 def features(findings: DataFrame) -> DataFrame:
