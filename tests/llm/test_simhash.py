@@ -99,6 +99,25 @@ def test_shards_lose_no_link(spark, batch):
     assert {i: roots.get(i, i) for i in ids} == want
 
 
+@pytest.mark.parametrize("seed, most", [(1, 40), (2, 100), (3, 3)])
+def test_hot_shards_are_dealt_again_and_lose_no_link(spark, seed, most):
+    rng = random.Random(seed)
+    # Families that agree on half of the bits, so several shards of every member are hot.
+    family = [rng.getrandbits(32) | 0xDEADBEEF << 32 for _ in range(60)]
+    fps = sorted({f ^ sum(1 << b for b in rng.sample(range(32), rng.randrange(7))) for f in family * 8} | {rng.getrandbits(64) for _ in range(50)})
+    ids = rng.sample(range(10_000), len(fps))
+    rows = spark.createDataFrame([(f - (1 << 64) if f >= 1 << 63 else f, i) for f, i in zip(fps, ids)], "fp long, vertex long")
+    roots = {r.vertex: r.root for r in components(shard_links(rows, most=most)).collect()}
+    assert {i: roots.get(i, i) for i in ids} == brute_components(list(zip(ids, fps)))
+
+
+def test_finer_masks_fix_more_bits_and_cover_all():
+    for mask in (0, simhash._finer(0, 4)[3], simhash._finer(simhash._finer(0, 4)[14], 4)[7]):
+        finer = simhash._finer(mask, 4)
+        assert len(finer) == 15 and all(f & mask == mask and f != mask for f in finer)
+        assert int(np.bitwise_or.reduce(np.array(finer, np.uint64))) == (1 << 64) - 1
+
+
 def test_dense_group_emits_no_all_pairs(spark):
     rng = random.Random(9)
     fps = _near(rng, [0x0123456789ABCDEF], 400)

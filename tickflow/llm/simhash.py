@@ -5,8 +5,9 @@ it is set in more than half of the shingles' 64-bit hashes.
 
 Links: the distinct fingerprints are sharded by agreement.  Of ``radius + 2``
 bit blocks, two fingerprints within the radius agree on at least two, so they
-meet in the shard of one pair of blocks; no link is lost.  A shard's
-fingerprints form a BK-tree: children are keyed by their integer Hamming
+meet in the shard of one pair of blocks; no link is lost.  A shard of more than
+``MOST_IN_TREE`` fingerprints is dealt again in the same way by its other bits.
+A shard's fingerprints form a BK-tree: children are keyed by their integer Hamming
 distance to the parent, and a search follows only edges whose key lies within
 the radius of its own distance to the node.  The trees of all shards that a
 task holds are built and searched together, level by level.  The set of trees
@@ -27,6 +28,7 @@ has a fingerprint but no component; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -43,6 +45,7 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
 SLICE = 1 << 16  # hashes unpacked to bits at a time
+MOST_IN_TREE = 1 << 16  # fingerprints; a larger shard is dealt again by its free bits
 
 
 # --- fingerprints -------------------------------------------------------------
@@ -206,31 +209,49 @@ class Classes:
         return self.label.copy()
 
 
-def _blocks(count: int) -> list[int]:
-    """Bit masks of ``count`` blocks that together cover 64 bits."""
-    edges = [64 * i // count for i in range(count + 1)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+def _finer(mask: int, radius: int) -> list[int]:
+    """``mask`` with two more blocks of its free bits: every pair of ``radius + 2`` blocks."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    edges = [len(free) * i // (radius + 2) for i in range(radius + 3)]
+    blocks = [sum(1 << b for b in free[x:y]) for x, y in zip(edges, edges[1:])]
+    return [mask | x | y for x, y in combinations(blocks, 2)]
 
 
-def shard_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b), a > b, that connect the vertices of fingerprints within the radius.
+def shard_links(fps: DataFrame, radius: int = RADIUS, most: int = MOST_IN_TREE) -> DataFrame:
+    """Links (a, b) that connect the vertices of fingerprints within the radius.
 
-    ``fps``: fp (distinct), vertex.  Each (fingerprint, pair of blocks) goes to
-    the shard of the two blocks' bits; a task reads its shards one after the
-    other, several at once, and holds no more than a batch beside the shard at hand.
+    ``fps``: fp (distinct), vertex.  Each fingerprint goes to one shard for every
+    pair of bit blocks.  A shard counted above ``most`` is dealt again by pairs of
+    blocks of the bits that it leaves free: its members within the radius
+    agree on two of those blocks as well.  After a few levels so few bits are free
+    that no shard can be larger.
     """
-    masks = [a | b for a, b in combinations(_blocks(radius + 2), 2)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    shards = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)])
-    dealt = (
-        fps.select("fp", "vertex", F.explode(shards).alias("s"))
-        .select(F.col("s.t").alias("t"), F.col("s.bits").alias("bits"), "fp", "vertex")
-        .repartition("t", "bits")
-        .sortWithinPartitions("t", "bits", "vertex")
-    )
-
-    def link(t, bits, fp, vertex) -> pa.RecordBatch:
-        new = np.concatenate(([True], (t[1:] != t[:-1]) | (bits[1:] != bits[:-1])))
+    signed = lambda m: m - (1 << 64) if m >= 1 << 63 else m
+    rows, masks, out = fps.select("fp", "vertex", F.lit(0).cast("long").alias("mask")), {0}, None
+    while True:
+        # At most 15 masks on the first level, 225 on the second: a constant.
+        finer = {str(m): [signed(f) for f in _finer(m % (1 << 64), radius)] for m in sorted(masks)}
+        table = F.from_json(F.lit(json.dumps(finer)), "map<string,array<long>>")
+        dealt = rows.withColumn("mask", F.explode(F.element_at(table, F.col("mask").cast("string"))))
+        dealt = dealt.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+        # Two free bits a block: each level fixes more, and beneath it 2 ** (2 * radius + 3) are the most.
+        crowded = dealt.groupBy("mask", "bits").count().filter((F.col("count") > most) & (F.bit_count("mask") <= 64 - 2 * (radius + 2)))
+        crowded = settle(crowded.select("mask", "bits"))
+        masks = {r.mask for r in crowded.select("mask").distinct().collect()}
+        links = _tree_links(look_up(dealt, crowded, ["mask", "bits"], "left_anti") if masks else dealt, radius)
+        out = out.union(links) if out is not None else links
+        if not masks:
+            return out
+        rows = settle(look_up(dealt, crowded, ["mask", "bits"], "left_semi").select("fp", "vertex", "mask"))
+
+
+def _tree_links(dealt: DataFrame, radius: int) -> DataFrame:
+    """Links within the shards (mask, bits).  A task reads its shards one after the other,
+    several at once, and holds no more than a batch beside the shard at hand."""
+    dealt = dealt.select("mask", "bits", "fp", "vertex").repartition("mask", "bits").sortWithinPartitions("mask", "bits", "vertex")
+
+    def link(mask, bits, fp, vertex) -> pa.RecordBatch:
+        new = np.concatenate(([True], (mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])))
         shard = np.cumsum(new)
         crowded = np.bincount(shard)[shard] > 1
         shard, fp, vertex = shard[crowded], fp[crowded].view(np.uint64), vertex[crowded]
@@ -246,7 +267,7 @@ def shard_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("t", "bits", "fp", "vertex")]
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "bits", "fp", "vertex")]
             # Rows of the last shard of a batch may go on in the next one.
             inside = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
             cut = int(inside[-1]) + 1 if len(inside) else 0
