@@ -20,6 +20,8 @@ TEXTS = [
     "ccé by cc byé submit committee accby",
     "Copyright (c) 2019 2020 Someone. Creative Commons Attribution-ShareAlike 3.0 and Creative Commons Attribution Share Alike",
     "apache", "the unlicense or public domain", "licensed under licensed under the terms of the LGPL 2.1",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software. Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "neither the name of a b c nor the names of its contributors may be used to endorse or promote products; you may not use this file except in compliance with the license",
 ]
 
 
@@ -51,6 +53,29 @@ def brute(text):
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), sorted(set(kept))
 
 
+def test_signatures_hold_their_keyword_and_match_their_texts(spark):
+    texts = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\")",
+        "bsd": "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that",
+        "bsd-3-clause": "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived",
+        "gpl-2.0-or-later": "either version 2 of the License, or (at your option) any later version.",
+        "apache-2.0": "you may not use this file except in compliance with the License.",
+        "zlib": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "proprietary": "Unauthorized copying of this file, via any medium is strictly prohibited",
+        "non-commercial": "free for private non-commercial use only",
+    }
+    clean = ["the court granted permission to use the hall for any purpose", "a person obtaining a copy of the key", "the origin of the word is not known"]
+    rows = list(enumerate([*texts.values(), *clean]))
+    got = {r.doc_id: set(r.labels) for r in scan(documents(spark, rows)).collect()}
+    assert all(label in got[i] for i, label in enumerate(texts)) and not any(got[len(texts) + i] for i in range(len(clean)))
+    for label, _confidence, keyword, words in licenses.SIGNATURES:
+        always = words
+        while re.search(r"\(", always):
+            always = re.sub(r"\((?:\?:)?[^()]*\)(?:[?+]|\{[0-9,]+\})?", "", always)
+        assert keyword in always.split(), (label, words)
+
+
 def test_scan_matches_brute_force(spark):
     rows = [*awkward_rows(), *((1000 + i, t) for i, t in enumerate(TEXTS)), (2000, " ".join(TEXTS * 30))]
     found = scan(documents(spark, rows))

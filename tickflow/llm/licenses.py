@@ -9,7 +9,8 @@ hides the bare "apache license" inside it.
 
 Rules come from ``FAMILIES`` by ``FORMS``: every form of naming a license
 (identifier tag, grant, name with version, bare name, address) becomes one
-regular expression per license and version.
+regular expression per license and version.  ``SIGNATURES`` holds sentences of
+license texts and notices, so that a text is known that names no license.
 
 The scan is one map-only pass: no shuffle, no UDF.
 
@@ -88,6 +89,79 @@ FORMS = [
     ("name", 1, 0.6, "(?:NAME)"),
 ]
 
+# --- fixed values: sentences of license texts and notices, written one by one.  (label, confidence, keyword, expression)
+SIGNATURES = [
+    ("mit", 0.95, "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this (?:software|font software|work)(?: and associated documentation files)?"),
+    ("mit", 0.9, "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", 0.85, "substantial", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", 0.7, "noninfringement", "merchantability fitness for a particular purpose and noninfringement"),
+    ("mit-0", 0.9, "sell", "and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is"),
+    ("isc", 0.95, "fee", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", 0.8, "tortious", "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("hpnd", 0.9, "fee", "permission to use copy modify and distribute this software and its documentation for any purpose(?: and)? without fee is hereby granted"),
+    ("hpnd", 0.7, "publicity", "not be used in advertising or publicity pertaining to distribution of the software"),
+    ("bsd", 0.9, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", 0.8, "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 0.8, "redistributions", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", 0.9, "endorse", "neither the names? of(?: \\S+){1,12} nor the names of (?:its|their|the) (?:\\S+ )?contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", 0.9, "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd", 0.7, "exemplary", "direct indirect incidental special exemplary or consequential damages"),
+    ("bsd-source-code", 0.7, "unmodified", "redistributions of source code must retain the above copyright notice unmodified"),
+    ("apache-2.0", 0.95, "compliance", "you may not use this file except in compliance with the license"),
+    ("apache-2.0", 0.95, "warranties", "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-2.0", 0.9, "specific", "see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2.0", 0.85, "irrevocable", "perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|except as stated in this section patent) license"),
+    ("apache-1.1", 0.9, "developed", "this product includes software developed by the apache software foundation"),
+    ("gpl", 0.95, "redistribute", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", 0.9, "redistribute", "is free software you can redistribute it and or modify it under the terms of (?:version [0-9] of )?the gnu general public license"),
+    ("gpl", 0.8, "merchantability", "without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", 0.85, "received", "you should have received a copy of the gnu general public license"),
+    ("gpl", 0.8, "verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", 0.8, "freedom", "licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-2.0-or-later", 0.95, "option", "either version 2 of the license or at your option any later version"),
+    ("gpl-3.0-or-later", 0.95, "option", "either version 3 of the license or at your option any later version"),
+    ("gpl-3.0", 0.85, "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl-with-classpath-exception", 0.85, "linking", "linking this library statically or dynamically with other modules is making a combined work based on this library"),
+    ("gpl-with-linking-exception", 0.8, "exception", "as a special exception the copyright holders(?: of this library)? give you permission to link"),
+    ("lgpl", 0.95, "redistribute", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("lgpl", 0.85, "received", "you should have received a copy of the gnu (?:lesser|library) general public license"),
+    ("lgpl-2.1-or-later", 0.95, "option", "either version 2 1 of the license or at your option any later version"),
+    ("agpl", 0.95, "affero", "redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", 0.85, "received", "you should have received a copy of the gnu affero general public license"),
+    ("agpl", 0.7, "remotely", "all users interacting with it remotely through a computer network"),
+    ("gfdl", 0.9, "invariant", "with no invariant sections(?: with)? no front cover texts and no back cover texts"),
+    ("gfdl", 0.9, "document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2.0", 0.95, "form", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", 0.8, "obtain", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", 0.95, "contents", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl", 0.9, "accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("cddl", 0.9, "contents", "the contents of this file are subject to the terms of (?:either the gnu general public license version 2 only gpl or )?the common development and distribution license"),
+    ("eupl", 0.85, "eupl", "licensed under the eupl(?: version [0-9] [0-9])? or as soon they will be approved by the european commission"),
+    ("zlib", 0.95, "express", "this software is provided as is without any express or implied warranty in no event will the authors? be held liable for any damages arising from the use of this software"),
+    ("zlib", 0.9, "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("bsl-1.0", 0.95, "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("unlicense", 0.95, "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", 0.9, "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("ofl", 0.95, "font", "this font software is licensed under the sil open font license"),
+    ("ofl", 0.85, "reserved", "no modified version of the font software may use the reserved font name"),
+    ("artistic", 0.85, "artistic", "you can redistribute it and or modify it under the (?:same )?terms of the artistic license"),
+    ("perl", 0.9, "perl", "you can redistribute it and or modify it under the same terms as perl itself"),
+    ("postgresql", 0.85, "paragraph", "provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies"),
+    ("psf", 0.85, "licensee", "psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("cc0", 0.9, "neighboring", "(?:has|have) (?:waived|dedicated|waived all copyright)(?: \\S+){0,10} and related or neighboring rights"),
+    ("public-domain", 0.85, "domain", "(?:this|the) (?:software|work|file|code|document|book|text) is (?:hereby )?(?:placed |released |dedicated )?(?:in|into|to) the public domain"),
+    ("public-domain", 0.8, "disclaims", "the author disclaims copyright to this source code"),
+    ("beerware", 0.9, "beer", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("json", 0.9, "evil", "the software shall be used for good not evil"),
+    ("commons-clause", 0.9, "grant", "the grant of rights under the license will not include and the license does not grant to you the right to sell the software"),
+    ("sspl", 0.85, "service", "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("busl", 0.85, "production", "make non production use of the licensed work"),
+    ("proprietary", 0.8, "prohibited", "unauthorized (?:copying|use|reproduction|duplication|distribution)(?: \\S+){0,12} is strictly prohibited"),
+    ("proprietary", 0.8, "written", "(?:reproduced|copied|distributed|transmitted|disclosed)(?: \\S+){0,15} without the (?:prior )?(?:express )?(?:prior )?written (?:permission|consent) of"),
+    ("proprietary", 0.75, "confidential", "(?:contains|constitutes)(?: \\S+){0,4} confidential(?: and)? (?:proprietary|trade secret) (?:information|material)"),
+    ("non-commercial", 0.75, "only", "(?:for|free for)(?: \\S+){0,3} non ?commercial (?:use|purposes) only"),
+]
+
 # Names so short that only a tag, a grant or a version makes them a license.
 BARE_TOO_SHORT = {"mit", "apache", "bsd", "isc", "zlib", "mpl", "epl", "cpl"}
 
@@ -123,7 +197,7 @@ def _keyword(name: str) -> str:
 
 
 def rules() -> list[Rule]:
-    """Every form of every name and version of a license, in the order of the tables."""
+    """Every form of every name and version of a license, then the sentences of texts, in the order of the tables."""
     made: dict[str, Rule] = {}
     for label, names, versions in FAMILIES:
         for name in _alternatives(names):
@@ -136,6 +210,9 @@ def rules() -> list[Rule]:
                     pattern = "(?:  )?".join(part.replace(" ", "  ") for part in words.split(" ?"))
                     own = label + ("-" + version.replace(" ", ".") if version else "")
                     made.setdefault(pattern, Rule(f"{own}/{form}", own, _keyword(name), f" {pattern} ", priority, confidence))
+    for i, (label, confidence, keyword, words) in enumerate(SIGNATURES):
+        made_of = "(?:  )?".join(part.replace(" ", "  ") for part in words.split(" ?"))
+        made.setdefault(made_of, Rule(f"{label}/text-{i}", label, keyword, f" {made_of} ", 3, confidence))
     return list(made.values())
 
 
