@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tickflow.operators.store import latest_by_key
 from tickflow.operators.windows import window_stats
+from tickflow.plans import registry_streams
 from tickflow.session import scratch_path
 from tickflow.sources.codec import decode_trades, encode_trades, with_trade_time
 from tickflow.sources.files import read_file_trades, stage_replay
 from tickflow.sources.kafka import kafka_sink_options, kafka_source_options, read_kafka_trades
+from tickflow.streaming import replay
 from tickflow.streaming.jobs import checkpoint_id, fan_out, start_console, start_query, store_writer
 from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
 
@@ -84,6 +86,33 @@ def test_replay_in_batches_equals_batch(spark, files_per_batch):
     assert norm(streamed) == norm(batch)
 
 
+def test_replay_files_hold_a_bounded_number_of_messages(spark, monkeypatch):
+    # A staging task sorts a whole file, so files are bounded in messages too: those of small compressed rows take far more in the sort.
+    monkeypatch.setattr(replay, "REPLAY_FILE_ROWS", 50, raising=False)
+    total = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    trades, root = replay_events(spark, SF_SMALL, 2, ["symbol", "price", "quantity", "event_time"])
+    held = spark.read.parquet(f"{root}/in").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in held) == total > 8 * 50
+    assert max(r["count"] for r in held) <= 2 * 50  # ranges are cut from a sample
+    batches = []
+    q = start_query(trades, "bounded_files", lambda batch, _: batches.append(batch.select("event_time").collect()),
+                    f"{root}/ckpt", output_mode="append", trigger=AVAILABLE_NOW)
+    run_until_done(q)
+    assert len(batches) == 2 and sum(map(len, batches)) == total  # still two batches, in time order
+    assert max(batches[0]) <= min(batches[1])
+
+
+@pytest.mark.parametrize("name", ["stream_late_ticks", "stream_late_account", "stream_rejected_ticks"])
+def test_all_replays_bound_their_files(spark, monkeypatch, name):
+    query, _ = registry_streams.stream_registry()[name]
+    rows = sorted(map(str, query(spark, SF_SMALL).collect()))
+    staged, real = [], replay.stage_replay
+    monkeypatch.setattr(replay, "REPLAY_FILE_ROWS", 50, raising=False)
+    monkeypatch.setattr(replay, "stage_replay", lambda *args: staged.append(real(*args)))
+    assert sorted(map(str, query(spark, SF_SMALL).collect())) == rows
+    assert len(staged) == 1 and len(staged[0]) > registry_streams.N_FILES
+
+
 def test_writer_error_fails_the_query(spark):
     stream, path = _stage(spark, [(0, "A", 1.0, 1_700_000_000_000)], 1)
 

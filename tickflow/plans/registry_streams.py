@@ -19,10 +19,10 @@ from tickflow.plans.registry_reports import KV_CELLS_SQL, KV_SQL
 from tickflow.schema import ANOMALY_KEYS, MOVING_AVG_KEYS, WINDOWED_KEYS
 from tickflow.session import scratch_path
 from tickflow.sources.codec import decode_trades, encode_trades, with_trade_time
-from tickflow.sources.files import read_file_trades, read_metadata, stage_replay, write_metadata
+from tickflow.sources.files import read_metadata, write_metadata
 from tickflow.sources.testdata import events_as_messages, events_as_trades, load_table
 from tickflow.streaming.jobs import enriched_writer, fan_out, kv_writer, split_writer, start_query, store_writer
-from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done
+from tickflow.streaming.replay import AVAILABLE_NOW, replay_events, run_until_done, stage_messages
 from tickflow.streaming.watch import TickAccount, counted_input, open_windows
 
 N_FILES = 5
@@ -247,8 +247,8 @@ def _late_run(spark: SparkSession, sf_dir: str):
     late = (F.col("ts") < LATE_BEFORE_MS) & (F.col("ts") % LATE_ONE_IN == 0)
     messages = events_as_messages(load_table(spark, sf_dir, "events"), keep_ts=True)
     messages = messages.withColumn("turn", F.struct(late.alias("late"), "ts"))
-    stage_replay(messages, f"{root}/in", N_FILES, "turn")
-    ticks = with_trade_time(decode_trades(read_file_trades(spark, f"{root}/in"), fields=FIELDS), "event_time")
+    staged = stage_messages(spark, messages, f"{root}/in", N_FILES, "turn")
+    ticks = with_trade_time(decode_trades(staged, fields=FIELDS), "event_time")
     name = root.rsplit("/", 1)[1]
     account = TickAccount(name)
     spark.streams.addListener(account)
@@ -316,8 +316,8 @@ def q_stream_rejected_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = ticks.withColumns({"price": F.when(ms % NO_PRICE != 0, F.col("price")), "symbol": F.when(ms % NO_SYMBOL != 0, F.col("symbol")), "ts": ms})
     messages = encode_trades(ticks, keep=["ts"])
     cut = F.when(F.col("ts") % CUT_TEXT == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
-    stage_replay(messages.withColumn("value", cut), f"{root}/in", N_FILES, "ts")
-    decoded = decode_trades(read_file_trades(spark, f"{root}/in"), fields=FIELDS, keep_corrupt=True)
+    staged = stage_messages(spark, messages.withColumn("value", cut), f"{root}/in", N_FILES, "ts")
+    decoded = decode_trades(staged, fields=FIELDS, keep_corrupt=True)
     q = start_query(decoded, "stream_rejected_ticks", split_writer(f"{root}/good", f"{root}/bad"),
                     f"{root}/checkpoint/split", output_mode="append", trigger=AVAILABLE_NOW)
     run_until_done(q)
